@@ -10,8 +10,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flightlake.operators import marts
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from flightlake.functions.columns import year_month_key, zero_pad
+from flightlake.operators import analytics, marts, quality
+from flightlake.operators.enrich import combine, guarded_counts
+from flightlake.operators.joins import lookup_join
+from flightlake.operators.transform import PARTITION_KEY, transform_population, with_partition_key
 from flightlake.plans import flows
+from flightlake.schemas import FLIGHT_REQUIRED, FLIGHTS
+from flightlake.session import scratch_path
+from flightlake.sinks import upsert as upsert_sink
+from flightlake.sinks.writers import path_bytes, write_partitioned
+from flightlake.sources import fixtures
+from flightlake.sources.files import read_census_json, read_layer
+from flightlake.streaming.daily_load import run_daily_load
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -49,5 +63,280 @@ def state_monthly(spark, sf_dir):
     return marts.state_monthly(flows.combined(spark, sf_dir))
 
 
+# ------------------------------------------------------------- single joins
+
+FLIGHT_ID = ["fl_date", "op_carrier_fl_num", "origin", "destination"]
+
+
+@register("join_origin_state")
+def join_origin_state(spark, sf_dir):
+    t = flows.typed(spark, sf_dir)
+    j = lookup_join(t.flights, t.lookups.airports, "origin", "airport",
+                    {"airport_state_name": "origin_state_name",
+                     "airport_state_code": "origin_state_code"})
+    return j.select(*FLIGHT_ID, "origin_state_name", "origin_state_code")
+
+
+@register("join_destination_state")
+def join_destination_state(spark, sf_dir):
+    t = flows.typed(spark, sf_dir)
+    j = lookup_join(t.flights, t.lookups.airports, "destination", "airport",
+                    {"airport_state_name": "destination_state_name",
+                     "airport_state_code": "destination_state_code"})
+    return j.select(*FLIGHT_ID, "destination_state_name", "destination_state_code")
+
+
+@register("join_population_both")
+def join_population_both(spark, sf_dir):
+    return flows.combined(spark, sf_dir).select(
+        *FLIGHT_ID, "origin_state_name", "destination_state_name",
+        "origin_state_population", "destination_state_population")
+
+
+@register("join_cancellation")
+def join_cancellation(spark, sf_dir):
+    t = flows.typed(spark, sf_dir)
+    j = lookup_join(t.flights, t.lookups.cancellation_codes, "cancelled", "STATUS",
+                    {"CANCELLATION_REASON": "cancellation_reason"})
+    return j.select(*FLIGHT_ID, "cancelled", "cancellation_reason")
+
+
+@register("join_weather")
+def join_weather(spark, sf_dir):
+    t = flows.typed(spark, sf_dir)
+    j = lookup_join(t.flights, t.lookups.weather_codes, "active_weather", "STATUS",
+                    {"WEATHER_DESCRIPTION": "weather_description"})
+    return j.select(*FLIGHT_ID, "active_weather", "weather_description")
+
+
+@register("join_carrier_roles")
+def join_carrier_roles(spark, sf_dir):
+    t = flows.typed(spark, sf_dir)
+    j = lookup_join(t.flights, t.lookups.carriers, "mkt_unique_carrier", "CODE",
+                    {"DESCRIPTION": "mkt_carrier_name"})
+    j = lookup_join(j, t.lookups.carriers, "op_unique_carrier", "CODE",
+                    {"DESCRIPTION": "op_carrier_name"})
+    return j.select(*FLIGHT_ID, "mkt_unique_carrier", "op_unique_carrier",
+                    "mkt_carrier_name", "op_carrier_name")
+
+
+@register("join_cardinality_guard")
+def join_cardinality_guard(spark, sf_dir):
+    t = flows.typed(spark, sf_dir)
+    return guarded_counts(t.flights, combine(t.flights, t.lookups))
+
+
+@register("airport_missing_arrivals")
+def airport_missing_arrivals(spark, sf_dir):
+    # Flights into one state are removed: its airports still depart but no
+    # longer receive arrivals, so the inner join drops them from the mart.
+    c = flows.combined(spark, sf_dir)
+    c = c.where(~F.col("destination_state_name").eqNullSafe(F.lit(MISSING_ARRIVALS_STATE)))
+    return marts.departure_airport(c)
+
+
+MISSING_ARRIVALS_STATE = "EUROPE"
+
+
+# ------------------------------------------------------ typing, partitions
+
+@register("zero_pad_flight_number")
+def zero_pad_flight_number(spark, sf_dir):
+    raw = fixtures.raw_flights(spark, sf_dir)
+    nums = (raw.select(F.col("OP_CARRIER_FL_NUM").alias("flight_number"))
+            .unionByName(raw.select(F.col("MKT_CARRIER_FL_NUM").alias("flight_number")))
+            .distinct())
+    padded = zero_pad("flight_number")
+    return nums.select("flight_number", padded.alias("padded"),
+                       F.length(padded).cast("bigint").alias("padded_length"))
+
+
+@register("population_typed")
+def population_typed(spark, sf_dir):
+    return transform_population(fixtures.population_records(spark, sf_dir))
+
+
+@register("partition_month_counts")
+def partition_month_counts(spark, sf_dir):
+    path = scratch_path(spark, "flights-by-month")
+    write_partitioned(with_partition_key(flows.typed(spark, sf_dir).flights), path)
+    layer = read_layer(spark, path, FLIGHTS)
+    return layer.groupBy(PARTITION_KEY).agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("partition_year_month_counts")
+def partition_year_month_counts(spark, sf_dir):
+    path = scratch_path(spark, "flights-by-year-month")
+    f = flows.typed(spark, sf_dir).flights.withColumns({
+        "year": F.date_format("fl_date", "yyyy"), "month": F.date_format("fl_date", "MM")})
+    (f.hint("rebalance", "year", "month").sortWithinPartitions("fl_date")
+     .write.mode("overwrite").partitionBy("year", "month").parquet(path))
+    schema = T.StructType(FLIGHTS.fields + [T.StructField("year", T.StringType()),
+                                            T.StructField("month", T.StringType())])
+    layer = spark.read.schema(schema).parquet(path)
+    return layer.groupBy("year", "month").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("monthly_concat")
+def monthly_concat(spark, sf_dir):
+    # Two separately landed sets of months, aggregated apart and concatenated.
+    c = flows.combined(spark, sf_dir)
+    odd = F.month("fl_date") % 2 == 1
+    return (marts.carrier_daily(c.where(odd), sort=False)
+            .unionByName(marts.carrier_daily(c.where(~odd), sort=False)))
+
+
+# ------------------------------------------------------------ data quality
+
+@register("dq_flights_metrics")
+def dq_flights_metrics(spark, sf_dir):
+    f = with_partition_key(flows.typed(spark, sf_dir).flights)
+    return quality.flight_metrics(f, PARTITION_KEY, FLIGHT_REQUIRED)
+
+
+@register("dq_airports_metrics")
+def dq_airports_metrics(spark, sf_dir):
+    a = flows.typed(spark, sf_dir).lookups.airports
+    prof = quality.profile(a, a.columns)
+    dup = quality.duplicate_summary(a)
+    # Both sides are single-row aggregates joined on a constant key.
+    one = F.lit(1)
+    return prof.withColumn("__k", one).join(dup.withColumn("__k", one), "__k").drop("__k")
+
+
+@register("dq_population_metrics")
+def dq_population_metrics(spark, sf_dir):
+    p = transform_population(fixtures.population_records(spark, sf_dir))
+    return p.agg(F.count(F.lit(1)).alias("rows"),
+                 F.count_if(F.col("population") < 0).cast("bigint").alias("negative_population"),
+                 *quality.null_count_exprs(p.columns))
+
+
+@register("dq_duplicates")
+def dq_duplicates(spark, sf_dir):
+    # Seeded copies: the flights of hour 0 are landed twice.
+    f = with_partition_key(flows.typed(spark, sf_dir).flights)
+    seeded = f.unionByName(f.where(F.col("dep_hour") == 0))
+    return quality.duplicate_summary(seeded, group=PARTITION_KEY)
+
+
+@register("null_profile_long")
+def null_profile_long(spark, sf_dir):
+    return quality.null_profile_long(flows.combined(spark, sf_dir))
+
+
+# --------------------------------------------------------------- analytics
+
+@register("top_delayed_airlines")
+def top_delayed_airlines(spark, sf_dir):
+    return analytics.most_delayed(flows.combined(spark, sf_dir), "op_unique_carrier")
+
+
+@register("top_delayed_airports")
+def top_delayed_airports(spark, sf_dir):
+    return analytics.most_delayed(flows.combined(spark, sf_dir), "origin")
+
+
+@register("on_time_performance")
+def on_time_performance(spark, sf_dir):
+    return analytics.on_time_performance(flows.combined(spark, sf_dir))
+
+
+@register("busiest_airports_monthly")
+def busiest_airports_monthly(spark, sf_dir):
+    return analytics.busiest_airports(flows.combined(spark, sf_dir))
+
+
+@register("cancellation_reasons_by_month")
+def cancellation_reasons_by_month(spark, sf_dir):
+    return analytics.cancellation_reasons(flows.combined(spark, sf_dir), "month")
+
+
+@register("cancellation_reasons_by_airport")
+def cancellation_reasons_by_airport(spark, sf_dir):
+    return analytics.cancellation_reasons(flows.combined(spark, sf_dir), "airport")
+
+
+@register("cancellation_reasons_by_airline")
+def cancellation_reasons_by_airline(spark, sf_dir):
+    return analytics.cancellation_reasons(flows.combined(spark, sf_dir), "airline")
+
+
+@register("cancellation_reasons_all")
+def cancellation_reasons_all(spark, sf_dir):
+    return analytics.cancellation_reasons_all(flows.combined(spark, sf_dir))
+
+
+@register("state_rank_population_vs_flights")
+def state_rank_population_vs_flights(spark, sf_dir):
+    return analytics.population_vs_flights(flows.combined(spark, sf_dir))
+
+
+@register("state_population_flight_correlation")
+def state_population_flight_correlation(spark, sf_dir):
+    return analytics.population_flight_correlation(flows.combined(spark, sf_dir))
+
+
+@register("state_flights_per_thousand")
+def state_flights_per_thousand(spark, sf_dir):
+    return analytics.flights_per_inhabitants(flows.combined(spark, sf_dir), 1_000)
+
+
+# ------------------------------------------------- sources, sinks, streams
+
+@register("census_json_table")
+def census_json_table(spark, sf_dir):
+    # Land a census-style response built from the data, then read it back.
+    path = scratch_path(spark, "census-response")
+    fixtures.census_document(spark, sf_dir).write.mode("overwrite").text(path)
+    return transform_population(read_census_json(spark, path))
+
+
+@register("upsert_months")
+def upsert_months(spark, sf_dir):
+    # Initial load carries stale December rows; the new load brings the
+    # December months again, and the upsert must give the full table.
+    f = flows.typed(spark, sf_dir).flights
+    december = F.month("fl_date") == 12
+    stale = f.withColumn("dep_delay", F.when(december, F.col("dep_delay") + 1000)
+                         .otherwise(F.col("dep_delay")))
+    table = scratch_path(spark, "flights-upsert")
+    upsert_sink.initial_load(stale, table)
+    upsert_sink.upsert_months(spark, table, f.where(december))
+    return read_layer(spark, table, FLIGHTS).drop(PARTITION_KEY)
+
+
+@register("stream_daily_load")
+def stream_daily_load(spark, sf_dir):
+    # Land one folder per day, drain it with an availableNow stream that
+    # merges every micro-batch into the month-partitioned table.
+    f = flows.typed(spark, sf_dir).flights
+    landing = scratch_path(spark, "landing")
+    (f.withColumn("landing_day", F.date_format("fl_date", "yyyy-MM-dd"))
+     .hint("rebalance", "landing_day")
+     .write.mode("overwrite").partitionBy("landing_day").parquet(landing))
+    table = scratch_path(spark, "flights-streamed")
+    run_daily_load(spark, landing, table, FLIGHTS)
+    return upsert_sink.month_counts(spark, table)
+
+
+@register("layer_size_audit")
+def layer_size_audit(spark, sf_dir):
+    # Bytes of the raw layer (CSV text) against the typed layer (Parquet).
+    raw = fixtures.raw_flights(spark, sf_dir)
+    raw_path, typed_path = scratch_path(spark, "raw-csv"), scratch_path(spark, "typed-parquet")
+    raw.write.mode("overwrite").option("header", True).csv(raw_path)
+    typed = flows.typed(spark, sf_dir).flights
+    write_partitioned(with_partition_key(typed), typed_path)
+    b_raw, b_typed = path_bytes(spark, raw_path), path_bytes(spark, typed_path)
+    rows = spark.read.parquet(typed_path).agg(F.count(F.lit(1)).alias("rows"))
+    return rows.select(
+        F.lit(b_raw).cast("bigint").alias("raw_bytes"),
+        F.lit(b_typed).cast("bigint").alias("typed_bytes"),
+        F.try_divide(F.lit(b_typed - b_raw).cast("double"), F.lit(b_raw).cast("double"))
+         .alias("relative_change"),
+        "rows")
+
+
 def queries() -> dict[str, Query]:
     return dict(_REGISTRY)

@@ -122,7 +122,11 @@ combined AS (
 
 
 def with_views(select: str) -> str:
-    return "WITH" + RAW + "," + TYPED + "\n" + select.strip()
+    body = select.strip()
+    if body.startswith(","):
+        # extra CTEs: ", name AS (...)\nSELECT ..."
+        return "WITH" + RAW + "," + TYPED + body
+    return "WITH" + RAW + "," + TYPED + "\n" + body
 
 
 _Q: dict[str, str] = {}
@@ -170,5 +174,213 @@ FROM (SELECT CAST(date_trunc('month', fl_date) AS DATE) AS month, origin_state_n
 ORDER BY month, count_departures DESC, origin_state_name""")
 
 
+FID = "f.fl_date, f.op_carrier_fl_num, f.origin, f.destination"
+
+q("join_origin_state", f"""
+SELECT {FID}, a.airport_state_name AS origin_state_name, a.airport_state_code AS origin_state_code
+FROM flights f LEFT JOIN airports a ON f.origin = a.airport""")
+
+q("join_destination_state", f"""
+SELECT {FID}, a.airport_state_name AS destination_state_name, a.airport_state_code AS destination_state_code
+FROM flights f LEFT JOIN airports a ON f.destination = a.airport""")
+
+q("join_population_both", """
+SELECT fl_date, op_carrier_fl_num, origin, destination, origin_state_name, destination_state_name,
+ origin_state_population, destination_state_population FROM combined""")
+
+q("join_cancellation", f"""
+SELECT {FID}, f.cancelled, c.cancellation_reason
+FROM flights f LEFT JOIN cancellation_codes c ON f.cancelled = c.status""")
+
+q("join_weather", f"""
+SELECT {FID}, f.active_weather, w.weather_description
+FROM flights f LEFT JOIN weather_codes w ON f.active_weather = w.status""")
+
+q("join_carrier_roles", f"""
+SELECT {FID}, f.mkt_unique_carrier, f.op_unique_carrier,
+ m.description AS mkt_carrier_name, o.description AS op_carrier_name
+FROM flights f LEFT JOIN carriers m ON f.mkt_unique_carrier = m.code
+ LEFT JOIN carriers o ON f.op_unique_carrier = o.code""")
+
+q("join_cardinality_guard", """
+SELECT b.rows_before, a.rows_after, b.rows_before = a.rows_after AS counts_match
+FROM (SELECT CAST(count(*) AS BIGINT) AS rows_before FROM flights) b,
+     (SELECT CAST(count(*) AS BIGINT) AS rows_after FROM combined) a""")
+
+q("airport_missing_arrivals", """
+SELECT d.origin, d.count_connections, d.count_departures, a.count_arrivals
+FROM (SELECT origin, CAST(count(DISTINCT destination) AS BIGINT) AS count_connections,
+             CAST(count(*) AS BIGINT) AS count_departures
+      FROM combined WHERE destination_state_name IS DISTINCT FROM 'EUROPE' GROUP BY origin) d
+JOIN (SELECT destination, CAST(count(*) AS BIGINT) AS count_arrivals
+      FROM combined WHERE destination_state_name IS DISTINCT FROM 'EUROPE' GROUP BY destination) a
+  ON d.origin = a.destination""")
+
+PAD = ("CASE WHEN length(CAST(flight_number AS VARCHAR)) < 4 THEN lpad(CAST(flight_number AS VARCHAR), 4, '0') "
+       "ELSE CAST(flight_number AS VARCHAR) END")
+q("zero_pad_flight_number", f"""
+SELECT flight_number, {PAD} AS padded, CAST(length({PAD}) AS BIGINT) AS padded_length
+FROM (SELECT "OP_CARRIER_FL_NUM" AS flight_number FROM raw_flights
+      UNION SELECT "MKT_CARRIER_FL_NUM" FROM raw_flights) n""")
+
+q("population_typed", "SELECT name, last_update_date, state, population FROM population ORDER BY name")
+q("census_json_table", "SELECT name, last_update_date, state, population FROM population ORDER BY name")
+
+MONTH_COUNTS = """
+SELECT strftime(fl_date, '%Y_%m') AS year_month, CAST(count(*) AS BIGINT) AS rows
+FROM flights GROUP BY 1"""
+q("partition_month_counts", MONTH_COUNTS)
+q("stream_daily_load", MONTH_COUNTS)
+
+q("partition_year_month_counts", """
+SELECT strftime(fl_date, '%Y') AS year, strftime(fl_date, '%m') AS month, CAST(count(*) AS BIGINT) AS rows
+FROM flights GROUP BY 1, 2""")
+
+q("monthly_concat", """
+SELECT fl_date, op_unique_carrier,
+ CAST(sum(dep_delay) AS BIGINT) AS total_departure_delay, avg(dep_delay) AS avg_departure_delay,
+ CAST(median(dep_delay) AS DOUBLE) AS median_departure_delay,
+ CAST(sum(air_time) AS BIGINT) AS total_airtime, avg(air_time) AS avg_airtime,
+ CAST(median(air_time) AS DOUBLE) AS median_airtime,
+ CAST(sum(distance) AS BIGINT) AS total_distance, avg(distance) AS avg_distance,
+ CAST(median(distance) AS DOUBLE) AS median_distance
+FROM combined GROUP BY fl_date, op_unique_carrier""")
+
+REQ = ["fl_date", "origin", "destination", "op_unique_carrier", "mkt_unique_carrier"]
+NULLS_REQ = ",\n ".join(f"CAST(count_if({c} IS NULL) AS BIGINT) AS null_{c}" for c in REQ)
+q("dq_flights_metrics", f"""
+SELECT m.*, CAST(coalesce(d.duplicate_groups, 0) AS BIGINT) AS duplicate_groups,
+ CAST(coalesce(d.surplus_rows, 0) AS BIGINT) AS surplus_rows
+FROM (SELECT strftime(fl_date, '%Y_%m') AS year_month, CAST(count(*) AS BIGINT) AS rows,
+        CAST(count_if(NOT (latitude BETWEEN -90 AND 90)) AS BIGINT) AS latitude_out_of_range,
+        CAST(count_if(NOT (longitude BETWEEN -180 AND 180)) AS BIGINT) AS longitude_out_of_range,
+        {NULLS_REQ}
+      FROM flights GROUP BY 1) m
+LEFT JOIN (SELECT year_month, count(*) AS duplicate_groups, sum(c - 1) AS surplus_rows
+           FROM (SELECT strftime(fl_date, '%Y_%m') AS year_month, c
+                 FROM (SELECT *, count(*) AS c FROM flights GROUP BY ALL HAVING count(*) > 1) x) y
+           GROUP BY year_month) d
+  ON m.year_month IS NOT DISTINCT FROM d.year_month""")
+
+AIRPORT_COLS = ["airport", "airport_state_name", "airport_state_code", "latitude", "longitude"]
+NULLS_AP = ",\n ".join(f"CAST(count_if({c} IS NULL) AS BIGINT) AS null_{c}" for c in AIRPORT_COLS)
+q("dq_airports_metrics", f"""
+SELECT m.*, d.duplicate_groups, d.surplus_rows
+FROM (SELECT CAST(count(*) AS BIGINT) AS rows,
+        CAST(count_if(NOT (latitude BETWEEN -90 AND 90)) AS BIGINT) AS latitude_out_of_range,
+        CAST(count_if(NOT (longitude BETWEEN -180 AND 180)) AS BIGINT) AS longitude_out_of_range,
+        {NULLS_AP}
+      FROM airports) m,
+     (SELECT CAST(count(*) AS BIGINT) AS duplicate_groups, CAST(coalesce(sum(c - 1), 0) AS BIGINT) AS surplus_rows
+      FROM (SELECT {", ".join(AIRPORT_COLS)}, count(*) AS c FROM airports GROUP BY ALL HAVING count(*) > 1) x) d""")
+
+POP_COLS = ["name", "last_update_date", "state", "population"]
+q("dq_population_metrics", f"""
+SELECT CAST(count(*) AS BIGINT) AS rows, CAST(count_if(population < 0) AS BIGINT) AS negative_population,
+ {", ".join(f"CAST(count_if({c} IS NULL) AS BIGINT) AS null_{c}" for c in POP_COLS)}
+FROM population""")
+
+q("dq_duplicates", """
+SELECT year_month, CAST(count(*) AS BIGINT) AS duplicate_groups, CAST(sum(c - 1) AS BIGINT) AS surplus_rows
+FROM (SELECT *, count(*) AS c
+      FROM (SELECT *, strftime(fl_date, '%Y_%m') AS year_month FROM flights
+            UNION ALL SELECT *, strftime(fl_date, '%Y_%m') AS year_month FROM flights WHERE dep_hour = 0) s
+      GROUP BY ALL HAVING count(*) > 1) x
+GROUP BY year_month""")
+
+COMBINED_COLS = [
+    "fl_date", "dep_hour", "mkt_unique_carrier", "mkt_carrier_fl_num", "op_unique_carrier",
+    "op_carrier_fl_num", "tail_num", "origin", "destination", "dep_time", "crs_dep_time",
+    "taxi_out", "dep_delay", "air_time", "distance", "cancelled", "latitude", "longitude",
+    "elevation", "mesonet_station", "year_of_manufacture", "manufacturer", "range", "width",
+    "wind_dir", "wind_spd", "wind_gust", "visibility", "temperature", "dew_point",
+    "rel_humidity", "altimeter", "lowest_cloud_layer", "n_cloud_layer", "low_level_cloud",
+    "mid_level_cloud", "high_level_cloud", "cloud_cover", "active_weather", "icao_type",
+    "origin_state_name", "origin_state_code", "destination_state_name", "destination_state_code",
+    "origin_state_population", "destination_state_population", "cancellation_reason",
+    "weather_description", "mkt_carrier_name", "op_carrier_name",
+]
+q("null_profile_long", "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", CAST(count(*) - count(\"{c}\") AS BIGINT) AS null_count FROM combined"
+    for c in COMBINED_COLS))
+
+
+def _most_delayed(by: str) -> str:
+    return f"""
+SELECT {by}, CAST(count(*) AS BIGINT) AS flights, CAST(count_if(dep_delay > 0) AS BIGINT) AS delayed_flights,
+ CAST(coalesce(sum(CASE WHEN dep_delay > 0 THEN dep_delay END), 0) AS BIGINT) AS total_delay_minutes
+FROM combined GROUP BY {by}
+ORDER BY total_delay_minutes DESC, delayed_flights DESC, {by} LIMIT 10"""
+
+
+q("top_delayed_airlines", _most_delayed("op_unique_carrier"))
+q("top_delayed_airports", _most_delayed("origin"))
+
+q("on_time_performance", """
+SELECT op_unique_carrier, CAST(count(dep_delay) AS BIGINT) AS flights_with_delay,
+ CAST(count_if(dep_delay IS NULL) AS BIGINT) AS flights_without_delay,
+ CAST(count_if(dep_delay <= 15) AS BIGINT) AS on_time_flights,
+ CASE WHEN count(dep_delay) = 0 THEN NULL
+      ELSE CAST(count_if(dep_delay <= 15) AS DOUBLE) / CAST(count(dep_delay) AS DOUBLE) END AS on_time_ratio
+FROM combined GROUP BY op_unique_carrier""")
+
+q("busiest_airports_monthly", """
+SELECT * FROM (
+ SELECT month, origin, departures,
+  row_number() OVER (PARTITION BY month ORDER BY departures DESC, origin) AS rank
+ FROM (SELECT CAST(date_trunc('month', fl_date) AS DATE) AS month, origin, CAST(count(*) AS BIGINT) AS departures
+       FROM combined GROUP BY 1, 2) p) r
+WHERE rank <= 3""")
+
+CANCEL_KEYS = {
+    "month": "CAST(date_trunc('month', fl_date) AS DATE)",
+    "airport": "origin",
+    "airline": "op_unique_carrier",
+}
+for dim, expr in CANCEL_KEYS.items():
+    q(f"cancellation_reasons_by_{dim}", f"""
+SELECT {dim}, cancellation_reason, cancellations,
+ row_number() OVER (PARTITION BY {dim} ORDER BY cancellations DESC, cancellation_reason NULLS LAST) AS rank
+FROM (SELECT {expr} AS {dim}, cancellation_reason, CAST(count(*) AS BIGINT) AS cancellations
+      FROM combined WHERE cancelled <> 0 GROUP BY 1, 2) p""")
+
+q("cancellation_reasons_all", "SELECT dimension, value, cancellation_reason, cancellations,\n"
+  " row_number() OVER (PARTITION BY dimension, value ORDER BY cancellations DESC,"
+  " cancellation_reason NULLS LAST) AS rank\nFROM (" + "\n UNION ALL ".join(
+      f"SELECT '{dim}' AS dimension, CAST({expr} AS VARCHAR) AS value, cancellation_reason,"
+      f" CAST(count(*) AS BIGINT) AS cancellations FROM combined WHERE cancelled <> 0 GROUP BY 2, 3"
+      for dim, expr in CANCEL_KEYS.items()) + ") p")
+
+STATES = """states AS (
+ SELECT origin_state_name, CAST(count(*) AS BIGINT) AS departures,
+  CAST(count(DISTINCT origin) AS BIGINT) AS airports, min(origin_state_population) AS population
+ FROM combined WHERE origin_state_name IS NOT NULL GROUP BY origin_state_name)"""
+
+q("state_rank_population_vs_flights", f"""
+, {STATES}
+SELECT *, population_rank - departures_rank AS rank_gap FROM (
+ SELECT origin_state_name, population, departures,
+  row_number() OVER (ORDER BY population DESC NULLS LAST, origin_state_name) AS population_rank,
+  row_number() OVER (ORDER BY departures DESC, origin_state_name) AS departures_rank
+ FROM states) r""")
+
+q("state_population_flight_correlation", f"""
+, {STATES}
+SELECT CAST(count(*) AS BIGINT) AS states,
+ corr(CAST(population AS DOUBLE), CAST(departures AS DOUBLE)) AS pearson_population_departures
+FROM states WHERE population IS NOT NULL""")
+
+q("state_flights_per_thousand", f"""
+, {STATES}
+SELECT origin_state_name, departures, airports, population,
+ CASE WHEN population = 0 THEN NULL ELSE CAST(1000 * departures AS DOUBLE) / population END
+   AS departures_per_thousand_inhabitants,
+ CASE WHEN population = 0 THEN NULL ELSE CAST(1000 * airports AS DOUBLE) / population END
+   AS airports_per_thousand_inhabitants
+FROM states""")
+
+q("upsert_months", "SELECT * FROM flights")
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(_Q)

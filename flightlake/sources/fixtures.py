@@ -176,6 +176,24 @@ def population_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def census_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A census-style response (JSON array of arrays, header first) as one
+    text row, built from :func:`population_records`.
+
+    The response format is one document with one record per state, so this
+    gathers at most one small record per region into a single row.
+    """
+    from flightlake.schemas import CENSUS_HEADER
+
+    # Rename by position first: the header holds both STATE and state.
+    n = len(CENSUS_HEADER)
+    recs = population_records(spark, sf_dir).toDF(*[f"c{i}" for i in range(n)])
+    rows = recs.select(F.array(*[F.col(f"c{i}") for i in range(n)]).alias("r"))
+    body = rows.agg(F.sort_array(F.collect_list("r")).alias("rs"))
+    header = F.array(*[F.lit(h) for h in CENSUS_HEADER])
+    return body.select(F.to_json(F.concat(F.array(header), F.col("rs"))).alias("value"))
+
+
 @dataclass
 class RawInputs:
     flights: DataFrame
