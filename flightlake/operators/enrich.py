@@ -7,7 +7,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flightlake.operators.joins import assert_same_count, lookup_join
+from flightlake.operators.joins import assert_same_count, fits, lookup_join
+
+
+LOOKUP_NAMES = ("airports", "population", "cancellation_codes", "weather_codes", "carriers")
 
 
 @dataclass
@@ -17,6 +20,18 @@ class Lookups:
     cancellation_codes: DataFrame
     weather_codes: DataFrame
     carriers: DataFrame
+    _small: dict | None = None
+
+    def small(self) -> dict[str, bool]:
+        """Per lookup: does a row count prove it fits a broadcast? (cached)"""
+        if self._small is None:
+            self._small = {n: fits(getattr(self, n)) for n in LOOKUP_NAMES}
+        return self._small
+
+    def all_broadcast(self) -> bool:
+        """True when every lookup join is map-side, so the fact keeps its
+        partitioning (no shuffle anywhere in :func:`combine`)."""
+        return all(self.small().values())
 
 
 def combine(flights: DataFrame, lk: Lookups) -> DataFrame:
@@ -26,24 +41,28 @@ def combine(flights: DataFrame, lk: Lookups) -> DataFrame:
     fit the broadcast bound; beyond it they fall back to shuffle joins.
     Population is joined on the state names produced by the airport joins.
     """
+    # Each lookup is size-checked once, then used in both of its roles.
+    small = lk.small()
     df = lookup_join(flights, lk.airports, "origin", "airport",
                      {"airport_state_name": "origin_state_name",
-                      "airport_state_code": "origin_state_code"})
+                      "airport_state_code": "origin_state_code"}, known_small=small["airports"])
     df = lookup_join(df, lk.airports, "destination", "airport",
                      {"airport_state_name": "destination_state_name",
-                      "airport_state_code": "destination_state_code"})
+                      "airport_state_code": "destination_state_code"}, known_small=small["airports"])
     df = lookup_join(df, lk.population, "origin_state_name", "name",
-                     {"population": "origin_state_population"})
+                     {"population": "origin_state_population"}, known_small=small["population"])
     df = lookup_join(df, lk.population, "destination_state_name", "name",
-                     {"population": "destination_state_population"})
+                     {"population": "destination_state_population"}, known_small=small["population"])
     df = lookup_join(df, lk.cancellation_codes, "cancelled", "STATUS",
-                     {"CANCELLATION_REASON": "cancellation_reason"})
+                     {"CANCELLATION_REASON": "cancellation_reason"},
+                     known_small=small["cancellation_codes"])
     df = lookup_join(df, lk.weather_codes, "active_weather", "STATUS",
-                     {"WEATHER_DESCRIPTION": "weather_description"})
+                     {"WEATHER_DESCRIPTION": "weather_description"},
+                     known_small=small["weather_codes"])
     df = lookup_join(df, lk.carriers, "mkt_unique_carrier", "CODE",
-                     {"DESCRIPTION": "mkt_carrier_name"})
+                     {"DESCRIPTION": "mkt_carrier_name"}, known_small=small["carriers"])
     df = lookup_join(df, lk.carriers, "op_unique_carrier", "CODE",
-                     {"DESCRIPTION": "op_carrier_name"})
+                     {"DESCRIPTION": "op_carrier_name"}, known_small=small["carriers"])
     return df
 
 

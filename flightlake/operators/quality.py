@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flightlake.operators.joins import sized_broadcast
+from flightlake.operators.joins import BROADCAST_MAX_ROWS, sized_broadcast
 
 LAT_RANGE = (-90.0, 90.0)
 LON_RANGE = (-180.0, 180.0)
@@ -62,20 +62,27 @@ def duplicate_groups(df: DataFrame, cols: Sequence[str] | None = None,
     """Whole-row duplicates, exact, shuffling 8-byte hashes instead of rows.
 
     1. hash every row to 64 bits and keep the hashes seen more than once
-       (partial aggregation collapses even a hot hash map-side);
-    2. semi-join the rows back to those few hashes and group the full rows
-       to confirm (hash collisions of distinct rows drop out here).
+       (partial aggregation collapses even a hot hash map-side); their
+       number is counted eagerly, and a clean table stops here;
+    2. otherwise semi-join the rows to those hashes and group the full rows
+       to confirm (hash collisions of distinct rows drop out here); the
+       candidate side is broadcast only when its count allows.
     Returns one row per duplicated row value: ``group`` key (if any),
     the row hash and ``copies`` (>= 2).
     """
     cols = list(cols or [c for c in df.columns if c != group])
     keyed = df.withColumn("__h", F.xxhash64(*cols))
     by = ([group] if group else []) + ["__h"]
+    out_cols = by + ["copies"]
     cand = keyed.groupBy(*by).count().where("count > 1").select(*by)
-    hits = keyed.join(sized_broadcast(cand), by, "left_semi")
-    full = ([group] if group else []) + ["__h"] + [c for c in cols if c != group]
+    n_cand = cand.count()
+    if n_cand == 0:
+        return keyed.select(*by, F.lit(0).cast("bigint").alias("copies")).limit(0)
+    hits = keyed.join(sized_broadcast(cand, known_small=n_cand <= BROADCAST_MAX_ROWS),
+                      by, "left_semi")
+    full = by + [c for c in cols if c != group]
     return (hits.groupBy(*full).agg(F.count(F.lit(1)).alias("copies"))
-            .where("copies > 1").select(*(([group] if group else []) + ["__h", "copies"])))
+            .where("copies > 1").select(*out_cols))
 
 
 def duplicate_summary(df: DataFrame, cols: Sequence[str] | None = None,

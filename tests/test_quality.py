@@ -1,0 +1,104 @@
+"""Validators: pass and fail cases, order of checks, month naming, empty input."""
+
+import datetime as dt
+
+import pytest
+
+from flightlake.operators.quality import (
+    DataQualityError,
+    check_airports,
+    check_flights,
+    check_population,
+    duplicate_summary,
+    null_profile_long,
+)
+
+AIRPORT_SCHEMA = "airport string, airport_state_name string, latitude double, longitude double"
+FLIGHT_SCHEMA = ("year_month string, fl_date date, origin string, destination string, "
+                 "op_unique_carrier string, mkt_unique_carrier string, latitude double, longitude double")
+
+
+def airports(spark, rows):
+    return spark.createDataFrame(rows, AIRPORT_SCHEMA)
+
+
+def test_airports_pass(spark):
+    df = airports(spark, [("A", "S", -90.0, -180.0), ("B", "S", 90.0, 180.0)])
+    assert check_airports(df) is df
+
+
+@pytest.mark.parametrize("rows,check", [
+    ([], "empty"),
+    ([("A", "S", 90.01, 0.0)], "latitude"),
+    ([("A", "S", 0.0, -180.01)], "longitude"),
+    ([("A", "S", 1.0, 1.0), ("A", "S", 1.0, 1.0)], "duplicates"),
+    ([("A", None, 1.0, 1.0)], "nulls"),
+])
+def test_airports_fail(spark, rows, check):
+    with pytest.raises(DataQualityError) as e:
+        check_airports(airports(spark, rows))
+    assert e.value.check == check
+
+
+def test_airports_order_of_checks(spark):
+    # bad latitude AND duplicates AND nulls: latitude is reported first
+    df = airports(spark, [("A", None, 95.0, 1.0), ("A", None, 95.0, 1.0)])
+    with pytest.raises(DataQualityError) as e:
+        check_airports(df)
+    assert e.value.check == "latitude"
+
+
+def test_population_negative(spark):
+    ok = spark.createDataFrame([("x", 0)], "name string, population bigint")
+    check_population(ok)
+    bad = spark.createDataFrame([("x", -1)], "name string, population bigint")
+    with pytest.raises(DataQualityError):
+        check_population(bad)
+
+
+def flight(ym, day, origin="A", lat=1.0, lon=1.0):
+    return (ym, day, origin, "B", "OP", "MK", lat, lon)
+
+
+def test_flights_pass_with_null_coordinates(spark):
+    df = spark.createDataFrame([flight("2022_01", dt.date(2022, 1, 1), lat=None, lon=None),
+                                flight("2022_02", dt.date(2022, 2, 1))], FLIGHT_SCHEMA)
+    check_flights(df)
+
+
+def test_flights_null_names_the_month(spark):
+    df = spark.createDataFrame([flight("2022_01", dt.date(2022, 1, 1)),
+                                flight("2022_02", dt.date(2022, 2, 1), origin=None)], FLIGHT_SCHEMA)
+    with pytest.raises(DataQualityError, match="2022_02") as e:
+        check_flights(df)
+    assert e.value.check == "nulls"
+
+
+def test_flights_first_failing_month_wins(spark):
+    df = spark.createDataFrame([
+        flight("2022_03", dt.date(2022, 3, 1), lat=100.0),
+        flight("2022_02", dt.date(2022, 2, 1)), flight("2022_02", dt.date(2022, 2, 1)),
+    ], FLIGHT_SCHEMA)
+    with pytest.raises(DataQualityError, match="2022_02") as e:
+        check_flights(df)
+    assert e.value.check == "duplicates"
+
+
+def test_flights_empty_is_an_error(spark):
+    with pytest.raises(DataQualityError):
+        check_flights(spark.createDataFrame([], FLIGHT_SCHEMA))
+
+
+def test_duplicate_summary_exact(spark):
+    rows = [(i % 7, f"v{i % 7}") for i in range(50)] + [(100, "u")]
+    df = spark.createDataFrame(rows, "k int, v string")
+    r = duplicate_summary(df).first()
+    assert (r["duplicate_groups"], r["surplus_rows"]) == (7, 50 - 7)
+    clean = spark.createDataFrame([(1, "a"), (2, "a")], "k int, v string")
+    assert duplicate_summary(clean).first()["surplus_rows"] == 0
+
+
+def test_null_profile_long(spark):
+    df = spark.createDataFrame([(1, None), (None, None)], "a int, b string")
+    got = {r["column"]: r["null_count"] for r in null_profile_long(df).collect()}
+    assert got == {"a": 1, "b": 2}
