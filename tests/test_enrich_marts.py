@@ -105,3 +105,25 @@ def test_state_monthly_null_state_and_zero_population(spark):
     s4 = by[(D1, "S4")]                                   # no population row -> NULL
     assert s4["count_citizens"] is None and s4["departures_per_million_citizens"] is None
     assert marts.state_monthly(c).schema.simpleString().startswith("struct<month:date")
+
+
+def test_histogram_median_equals_builtin(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(7)
+    rows = []
+    for g in range(6):
+        for _ in range(rnd.randint(1, 40)):
+            rows.append((D1, f"C{g}", rnd.choice([None, rnd.randint(-20, 60)]),
+                         rnd.randint(0, 9), None if g == 5 else rnd.randint(100, 105),
+                         "A", "B", "MK", 0, 3))
+    df = spark.createDataFrame(rows, "fl_date date, op_unique_carrier string, dep_delay bigint, "
+                                     "air_time bigint, distance bigint, origin string, destination string, "
+                                     "mkt_unique_carrier string, cancelled bigint, active_weather bigint")
+    a = marts.carrier_daily(df, sort=False)
+    b = marts.carrier_daily_direct(df).select(*a.columns)
+    assert a.count() == b.count() == 6
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert a.where(F.col("op_unique_carrier") == "C5").first()["median_distance"] is None
