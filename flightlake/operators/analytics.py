@@ -130,12 +130,33 @@ def population_vs_flights(combined: DataFrame) -> DataFrame:
                      "population_rank", "departures_rank", "rank_gap"))
 
 
+def exact_pearson(df: DataFrame, x: str, y: str, name: str) -> DataFrame:
+    """Pearson correlation from exact integer moments (one row).
+
+    ``n``, the sums, sums of squares and the cross sum are aggregated as
+    DECIMAL(38,0), so they are exact and independent of partitioning; one
+    fixed double expression then forms
+    ``(n*Sxy - Sx*Sy) / sqrt((n*Sxx - Sx^2) * (n*Syy - Sy^2))``.
+    The result is reproducible run to run (``corr`` merges floating moments
+    in task order). NULL when either variable is constant.
+    """
+    d = "decimal(38,0)"
+    xv, yv = F.col(x).cast(d), F.col(y).cast(d)
+    m = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(xv).alias("sx"), F.sum(yv).alias("sy"),
+        F.sum(xv * xv).alias("sxx"), F.sum(yv * yv).alias("syy"), F.sum(xv * yv).alias("sxy"))
+    n = F.col("n").cast(d)
+    num = (n * F.col("sxy") - F.col("sx") * F.col("sy")).cast("double")
+    den = F.sqrt((n * F.col("sxx") - F.col("sx") * F.col("sx")).cast("double")
+                 * (n * F.col("syy") - F.col("sy") * F.col("sy")).cast("double"))
+    r = F.when(den > 0, num / den)
+    return m.select(F.col("n").alias("states"), r.alias(name))
+
+
 def population_flight_correlation(combined: DataFrame) -> DataFrame:
     """Pearson correlation of state population and departures (one row)."""
-    s = state_departures(combined).where(F.col("population").isNotNull())
-    return s.agg(F.count(F.lit(1)).alias("states"),
-                 F.corr(F.col("population").cast("double"),
-                        F.col("departures").cast("double")).alias("pearson_population_departures"))
+    return exact_pearson(state_departures(combined), "population", "departures",
+                         "pearson_population_departures")
 
 
 def flights_per_inhabitants(combined: DataFrame, scale: int = 1_000) -> DataFrame:

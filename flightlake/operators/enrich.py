@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flightlake.operators.joins import assert_same_count, fits, lookup_join
+from flightlake.schemas import ENRICHMENT
 
 
 LOOKUP_NAMES = ("airports", "population", "cancellation_codes", "weather_codes", "carriers")
@@ -34,25 +35,38 @@ class Lookups:
         return all(self.small().values())
 
 
+def airport_states(lk: Lookups) -> DataFrame:
+    """Airport -> state name, code and population (lookup joined to lookup).
+
+    Joining population to the airports once, instead of to every flight
+    twice, gives the same rows: an airport without a state or a state
+    without population yields NULLs, and a repeated state name fans out
+    here exactly as it would on the flights (the guard still sees it).
+    """
+    return lookup_join(lk.airports.select("airport", "airport_state_name", "airport_state_code"),
+                       lk.population, "airport_state_name", "name",
+                       {"population": "airport_state_population"},
+                       known_small=lk.small()["population"])
+
+
 def combine(flights: DataFrame, lk: Lookups) -> DataFrame:
-    """Eight left lookup joins; each lookup is size-checked and broadcast.
+    """Enrich flights with states, populations, code texts and carrier names.
 
-    All joins are map-side (no shuffle of the fact table) while the lookups
-    fit the broadcast bound; beyond it they fall back to shuffle joins.
-    Population is joined on the state names produced by the airport joins.
+    Six left lookup joins (origin/destination airport-state, cancellation,
+    weather, marketing/operating carrier); every lookup is size-checked and
+    broadcast, so the fact table is never shuffled while they fit. Beyond
+    the bound a lookup falls back to a shuffle join. Flight columns keep
+    their order, followed by the ten enrichment columns.
     """
-    # Each lookup is size-checked once, then used in both of its roles.
     small = lk.small()
-    df = lookup_join(flights, lk.airports, "origin", "airport",
-                     {"airport_state_name": "origin_state_name",
-                      "airport_state_code": "origin_state_code"}, known_small=small["airports"])
-    df = lookup_join(df, lk.airports, "destination", "airport",
-                     {"airport_state_name": "destination_state_name",
-                      "airport_state_code": "destination_state_code"}, known_small=small["airports"])
-    df = lookup_join(df, lk.population, "origin_state_name", "name",
-                     {"population": "origin_state_population"}, known_small=small["population"])
-    df = lookup_join(df, lk.population, "destination_state_name", "name",
-                     {"population": "destination_state_population"}, known_small=small["population"])
+    states = airport_states(lk)
+    states_small = small["airports"] and small["population"]
+    cols = {"airport_state_name": "_state_name", "airport_state_code": "_state_code",
+            "airport_state_population": "_state_population"}
+    df = lookup_join(flights, states, "origin", "airport",
+                     {k: "origin" + v for k, v in cols.items()}, known_small=states_small)
+    df = lookup_join(df, states, "destination", "airport",
+                     {k: "destination" + v for k, v in cols.items()}, known_small=states_small)
     df = lookup_join(df, lk.cancellation_codes, "cancelled", "STATUS",
                      {"CANCELLATION_REASON": "cancellation_reason"},
                      known_small=small["cancellation_codes"])
@@ -63,7 +77,7 @@ def combine(flights: DataFrame, lk: Lookups) -> DataFrame:
                      {"DESCRIPTION": "mkt_carrier_name"}, known_small=small["carriers"])
     df = lookup_join(df, lk.carriers, "op_unique_carrier", "CODE",
                      {"DESCRIPTION": "op_carrier_name"}, known_small=small["carriers"])
-    return df
+    return df.select(*flights.columns, *ENRICHMENT.fieldNames())
 
 
 def guarded_counts(flights: DataFrame, combined: DataFrame) -> DataFrame:

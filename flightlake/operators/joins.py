@@ -16,10 +16,13 @@ BROADCAST_MAX_ROWS = 1_000_000
 def fits(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    ``limit(max_rows + 1).count()`` stops reading once the bound is passed,
-    so it is cheap on a large table and exact on a small one.
+    ``select().offset(max_rows).isEmpty()`` plans an incremental take over a
+    zero-column scan: partitions are read a few at a time and it stops as
+    soon as row ``max_rows + 1`` exists, so it is cheap on a huge table and
+    exact on a small one. (``limit(n).count()`` would instead make every
+    scan task ship up to ``n`` rows into a single-partition shuffle.)
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    return df.select().offset(max_rows).isEmpty()
 
 
 def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,

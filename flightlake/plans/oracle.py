@@ -365,10 +365,20 @@ SELECT *, population_rank - departures_rank AS rank_gap FROM (
  FROM states) r""")
 
 q("state_population_flight_correlation", f"""
-, {STATES}
-SELECT CAST(count(*) AS BIGINT) AS states,
- corr(CAST(population AS DOUBLE), CAST(departures AS DOUBLE)) AS pearson_population_departures
-FROM states WHERE population IS NOT NULL""")
+, {STATES},
+m AS (
+ SELECT count(*) AS n, sum(CAST(population AS DECIMAL(38,0))) AS sx, sum(CAST(departures AS DECIMAL(38,0))) AS sy,
+  sum(CAST(population AS DECIMAL(38,0)) * CAST(population AS DECIMAL(38,0))) AS sxx,
+  sum(CAST(departures AS DECIMAL(38,0)) * CAST(departures AS DECIMAL(38,0))) AS syy,
+  sum(CAST(population AS DECIMAL(38,0)) * CAST(departures AS DECIMAL(38,0))) AS sxy
+ FROM states WHERE population IS NOT NULL AND departures IS NOT NULL),
+p AS (
+ SELECT n, CAST(CAST(n AS DECIMAL(38,0)) * sxy - sx * sy AS DOUBLE) AS num,
+  sqrt(CAST(CAST(n AS DECIMAL(38,0)) * sxx - sx * sx AS DOUBLE)
+       * CAST(CAST(n AS DECIMAL(38,0)) * syy - sy * sy AS DOUBLE)) AS den
+ FROM m)
+SELECT CAST(n AS BIGINT) AS states, CASE WHEN den > 0 THEN num / den END AS pearson_population_departures
+FROM p""")
 
 q("state_flights_per_thousand", f"""
 , {STATES}
