@@ -169,7 +169,7 @@ def partition_year_month_counts(spark, sf_dir):
     path = scratch_path(spark, "flights-by-year-month")
     f = flows.typed(spark, sf_dir).flights.withColumns({
         "year": F.date_format("fl_date", "yyyy"), "month": F.date_format("fl_date", "MM")})
-    (f.hint("rebalance", "year", "month").sortWithinPartitions("fl_date")
+    (f.hint("rebalance", "year", "month").sortWithinPartitions("year", "month", "fl_date")
      .write.mode("overwrite").partitionBy("year", "month").parquet(path))
     schema = T.StructType(FLIGHTS.fields + [T.StructField("year", T.StringType()),
                                             T.StructField("month", T.StringType())])
