@@ -22,7 +22,7 @@ from flightlake.plans import flows
 from flightlake.schemas import FLIGHT_REQUIRED, FLIGHTS
 from flightlake.session import scratch_path
 from flightlake.sinks import upsert as upsert_sink
-from flightlake.sinks.writers import path_bytes, write_partitioned
+from flightlake.sinks.writers import path_bytes, schema_dictionary, write_partitioned
 from flightlake.sources import fixtures
 from flightlake.sources.files import read_census_json, read_layer
 from flightlake.streaming.daily_load import run_daily_load
@@ -320,6 +320,25 @@ def stream_daily_load(spark, sf_dir):
     return upsert_sink.month_counts(spark, table)
 
 
+@register("dictionary_export")
+def dictionary_export(spark, sf_dir):
+    # Publish the combined table, read it back, and report the data
+    # dictionary (column -> Spark SQL type) of it and of the three marts
+    # built on the published copy.
+    path = scratch_path(spark, "combined-published")
+    write_partitioned(with_partition_key(flows.combined(spark, sf_dir)), path)
+    published = read_layer(spark, path).drop(PARTITION_KEY)
+    outputs = {
+        "complete_data": published,
+        "operating_carrier_stats": marts.carrier_daily(published),
+        "departure_airport_stats": marts.departure_airport(published),
+        "state_stats": marts.state_monthly(published),
+    }
+    rows = [(name, col, typ) for name, df in outputs.items()
+            for col, typ in schema_dictionary(df).items()]
+    return spark.createDataFrame(rows, "dataset string, column string, data_type string")
+
+
 @register("layer_size_audit")
 def layer_size_audit(spark, sf_dir):
     # Bytes of the raw layer (CSV text) against the typed layer (Parquet).

@@ -392,5 +392,15 @@ FROM states""")
 q("upsert_months", "SELECT * FROM flights")
 
 
+# Data dictionary: DuckDB type names spelled the way Spark prints them.
+SPARK_TYPE = ("CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' "
+              "ELSE lower(column_type) END")
+_Q["dictionary_export"] = "\nUNION ALL\n".join(
+    f"SELECT '{ds}' AS dataset, column_name AS \"column\", {SPARK_TYPE} AS data_type "
+    f"FROM (DESCRIBE {_Q[key]})"
+    for ds, key in [("complete_data", "combined_wide"), ("operating_carrier_stats", "carrier_daily"),
+                    ("departure_airport_stats", "departure_airport"), ("state_stats", "state_monthly")])
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(_Q)
