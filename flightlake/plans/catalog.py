@@ -138,6 +138,12 @@ def airport_missing_arrivals(spark, sf_dir):
 MISSING_ARRIVALS_STATE = "EUROPE"
 
 
+@register("departure_airport_via_routes")
+def departure_airport_via_routes(spark, sf_dir):
+    # The same mart computed from month-partitionable route counts.
+    return marts.departure_airport_from_routes(marts.route_counts(flows.combined(spark, sf_dir)))
+
+
 # ------------------------------------------------------ typing, partitions
 
 @register("zero_pad_flight_number")

@@ -158,6 +158,8 @@ JOIN (SELECT destination, CAST(count(*) AS BIGINT) AS count_arrivals FROM combin
   ON d.origin = a.destination
 ORDER BY count_connections DESC, origin""")
 
+_Q["departure_airport_via_routes"] = _Q["departure_airport"]
+
 q("state_monthly", """
 SELECT month, origin_state_name, origin_state_code, count_departures, count_unique_airports,
  count_unique_operating_carriers, count_citizens,
