@@ -19,7 +19,7 @@ from flightlake.operators.enrich import combine, guarded_counts
 from flightlake.operators.joins import lookup_join
 from flightlake.operators.transform import PARTITION_KEY, transform_population, with_partition_key
 from flightlake.plans import flows
-from flightlake.schemas import FLIGHT_REQUIRED, FLIGHTS
+from flightlake.schemas import CARRIER_DAILY, FLIGHT_REQUIRED, FLIGHTS
 from flightlake.session import scratch_path
 from flightlake.sinks import upsert as upsert_sink
 from flightlake.sinks.writers import path_bytes, schema_dictionary, write_partitioned
@@ -345,6 +345,28 @@ def dictionary_export(spark, sf_dir):
     return spark.createDataFrame(rows, "dataset string, column string, data_type string")
 
 
+@register("incremental_refresh")
+def incremental_refresh(spark, sf_dir):
+    # The file pipeline end to end: land raw files, build the lake without
+    # January, then the daily refresh brings January and re-sends part of
+    # February; the published carrier mart must equal a full build.
+    from flightlake.plans.pipeline import Layout, land_raw_inputs, run, run_incremental
+
+    raw, out = scratch_path(spark, "raw"), scratch_path(spark, "lake")
+    land_raw_inputs(spark, sf_dir, raw)
+    rf = fixtures.raw_flights(spark, sf_dir)
+    month = F.substring("FL_DATE", 6, 2)
+    rf.where(month != "01").write.mode("overwrite").option("header", True).csv(
+        Layout(raw, out).raw("flights"))
+    daily = scratch_path(spark, "daily")
+    (rf.where((month == "01") | ((month == "02") & (F.col("DEP_HOUR") < 6)))
+     .write.option("header", True).csv(daily))
+    run(spark, raw, out)
+    run_incremental(spark, raw, out, daily)
+    return (spark.read.schema(CARRIER_DAILY).option("header", True)
+            .csv(Layout(raw, out).layer("marts", "operating_carrier_stats")))
+
+
 @register("layer_size_audit")
 def layer_size_audit(spark, sf_dir):
     # Bytes of the raw layer (CSV text) against the typed layer (Parquet).

@@ -159,6 +159,7 @@ JOIN (SELECT destination, CAST(count(*) AS BIGINT) AS count_arrivals FROM combin
 ORDER BY count_connections DESC, origin""")
 
 _Q["departure_airport_via_routes"] = _Q["departure_airport"]
+_Q["incremental_refresh"] = _Q["carrier_daily"]
 
 q("state_monthly", """
 SELECT month, origin_state_name, origin_state_code, count_departures, count_unique_airports,
