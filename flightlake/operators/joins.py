@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A side is broadcast only when a count proves it holds at most this many
@@ -54,6 +54,22 @@ def lookup_join(fact: DataFrame, lookup: DataFrame, left_on: str, right_on: str,
     return fact.join(side, fact[left_on] == side[key], how).drop(key)
 
 
+def null_safe_keys(left: DataFrame, right: DataFrame, keys: Sequence[str],
+                   prefix: str = "__r_") -> tuple[DataFrame, Column]:
+    """Rename ``right``'s key columns and build a NULL-safe equality on them.
+
+    Plain ``join(.., on=keys)`` never matches a NULL key; with ``<=>`` a NULL
+    matches a NULL, which set-like operations (replace by key, confirm a
+    candidate) need. ``<=>`` keys still plan as hash/sort-merge join keys.
+    """
+    r = right.select(*[F.col(k).alias(prefix + k) for k in keys])
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(r[prefix + k])
+        cond = c if cond is None else cond & c
+    return r, cond
+
+
 def assert_same_count(before: int, after: int, what: str = "join") -> None:
     """Join cardinality guard: a lookup join must neither add nor lose rows."""
     if before != after:

@@ -102,3 +102,11 @@ def test_null_profile_long(spark):
     df = spark.createDataFrame([(1, None), (None, None)], "a int, b string")
     got = {r["column"]: r["null_count"] for r in null_profile_long(df).collect()}
     assert got == {"a": 1, "b": 2}
+
+
+def test_duplicates_in_null_month_are_found(spark):
+    # T9: rows without a date form the NULL month; their copies count too.
+    df = spark.createDataFrame([flight(None, None), flight(None, None),
+                                flight("2022_01", dt.date(2022, 1, 1))], FLIGHT_SCHEMA)
+    got = {r["year_month"]: r["surplus_rows"] for r in duplicate_summary(df, group="year_month").collect()}
+    assert got == {None: 1}
