@@ -138,8 +138,7 @@ def check_airports(airports: DataFrame) -> DataFrame:
 
 def check_population(population: DataFrame) -> DataFrame:
     """No negative population."""
-    neg = population.where(F.col("population") < 0).limit(1).count()
-    if neg:
+    if not population.where(F.col("population") < 0).isEmpty():
         raise DataQualityError("negative_population", "Negative population values found")
     return population
 
