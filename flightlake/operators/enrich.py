@@ -32,6 +32,8 @@ class Lookups:
     def all_broadcast(self) -> bool:
         """True when every lookup join is map-side, so the fact keeps its
         partitioning (no shuffle anywhere in :func:`combine`)."""
+        if "airport_states" not in self.small():
+            self._small["airport_states"] = fits(airport_states(self))
         return all(self.small().values())
 
 
@@ -60,7 +62,11 @@ def combine(flights: DataFrame, lk: Lookups) -> DataFrame:
     """
     small = lk.small()
     states = airport_states(lk)
-    states_small = small["airports"] and small["population"]
+    # Checked on the joined lookup itself: a repeated state name could fan
+    # it out beyond the size of its inputs.
+    if "airport_states" not in small:
+        small["airport_states"] = small["airports"] and small["population"] and fits(states)
+    states_small = small["airport_states"]
     cols = {"airport_state_name": "_state_name", "airport_state_code": "_state_code",
             "airport_state_population": "_state_population"}
     df = lookup_join(flights, states, "origin", "airport",

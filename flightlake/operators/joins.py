@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A side is broadcast only when a count proves it holds at most this many
-# rows. Lookups here are narrow (a key plus one or two short strings), so
-# this stays well under the broadcast limits of a default executor.
-BROADCAST_MAX_ROWS = 1_000_000
+# rows. Lookups here are narrow (a key plus one to three short strings), so
+# the bound keeps a broadcast to roughly 25 MB per executor; real lookups
+# (airports, carriers, states, codes) hold hundreds to a few thousand rows.
+BROADCAST_MAX_ROWS = 250_000
 
 
 def fits(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
