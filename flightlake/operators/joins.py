@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 250_000
 
 
-def fits(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+def fits(df: DataFrame, max_rows: int | None = None) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
     ``select().offset(max_rows).isEmpty()`` plans an incremental take over a
@@ -23,10 +23,10 @@ def fits(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
     exact on a small one. (``limit(n).count()`` would instead make every
     scan task ship up to ``n`` rows into a single-partition shuffle.)
     """
-    return df.select().offset(max_rows).isEmpty()
+    return df.select().offset(BROADCAST_MAX_ROWS if max_rows is None else max_rows).isEmpty()
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+def sized_broadcast(df: DataFrame, max_rows: int | None = None,
                     known_small: bool | None = None) -> DataFrame:
     """Hint a broadcast only for a side whose row count is checked.
 
@@ -40,7 +40,7 @@ def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
 
 def lookup_join(fact: DataFrame, lookup: DataFrame, left_on: str, right_on: str,
                 columns: dict[str, str], how: str = "left",
-                max_rows: int = BROADCAST_MAX_ROWS,
+                max_rows: int | None = None,
                 known_small: bool | None = None) -> DataFrame:
     """Join ``fact`` to a lookup and append ``columns`` (source -> new name).
 

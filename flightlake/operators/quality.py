@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flightlake.operators.joins import BROADCAST_MAX_ROWS, null_safe_keys, sized_broadcast
+from flightlake.operators.joins import null_safe_keys, sized_broadcast
 
 LAT_RANGE = (-90.0, 90.0)
 LON_RANGE = (-180.0, 180.0)
@@ -79,7 +79,9 @@ def duplicate_groups(df: DataFrame, cols: Sequence[str] | None = None,
     if n_cand == 0:
         return keyed.select(*by, F.lit(0).cast("bigint").alias("copies")).limit(0)
     cand_keys, same = null_safe_keys(keyed, cand, by)     # a NULL month is a group too
-    hits = keyed.join(sized_broadcast(cand_keys, known_small=n_cand <= BROADCAST_MAX_ROWS),
+    from flightlake.operators import joins
+
+    hits = keyed.join(sized_broadcast(cand_keys, known_small=n_cand <= joins.BROADCAST_MAX_ROWS),
                       same, "left_semi")
     full = by + [c for c in cols if c != group]
     return (hits.groupBy(*full).agg(F.count(F.lit(1)).alias("copies"))
