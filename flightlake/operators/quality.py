@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flightlake.operators.joins import null_safe_keys, sized_broadcast
+from flightlake.operators.joins import sized_broadcast
 
 LAT_RANGE = (-90.0, 90.0)
 LON_RANGE = (-180.0, 180.0)
@@ -74,15 +74,17 @@ def duplicate_groups(df: DataFrame, cols: Sequence[str] | None = None,
     keyed = df.withColumn("__h", F.xxhash64(*cols))
     by = ([group] if group else []) + ["__h"]
     out_cols = by + ["copies"]
-    cand = keyed.groupBy(*by).count().where("count > 1").select(*by)
+    # Candidates by hash alone: for mostly unique rows this shuffle carries
+    # one (8-byte hash, count) pair per row and nothing else. The group is
+    # restored in the confirmation below, which is exact.
+    cand = keyed.groupBy("__h").count().where("count > 1").select("__h")
     n_cand = cand.count()
     if n_cand == 0:
         return keyed.select(*by, F.lit(0).cast("bigint").alias("copies")).limit(0)
-    cand_keys, same = null_safe_keys(keyed, cand, by)     # a NULL month is a group too
     from flightlake.operators import joins
 
-    hits = keyed.join(sized_broadcast(cand_keys, known_small=n_cand <= joins.BROADCAST_MAX_ROWS),
-                      same, "left_semi")
+    hits = keyed.join(sized_broadcast(cand, known_small=n_cand <= joins.BROADCAST_MAX_ROWS),
+                      "__h", "left_semi")
     full = by + [c for c in cols if c != group]
     return (hits.groupBy(*full).agg(F.count(F.lit(1)).alias("copies"))
             .where("copies > 1").select(*out_cols))
