@@ -67,3 +67,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if base.startswith("file:"):
         base = base[len("file:"):]
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+# Target bytes of input per initial shuffle partition (AQE merges small
+# ones afterwards, but it cannot split an aggregation's partitions).
+SHUFFLE_TARGET_BYTES = 256 * 1024 * 1024
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int,
+                  target_bytes: int = SHUFFLE_TARGET_BYTES) -> int | None:
+    """Size AQE's initial shuffle partition count from the input size.
+
+    About one partition per ``target_bytes`` of input (never fewer than the
+    default parallelism), so aggregations and sorts over 100 TB start with
+    tens of thousands of partitions that fit executor memory, and AQE then
+    coalesces the small ones. Respects a value the user already set; returns
+    the count set, or None.
+    """
+    if spark.conf.get(INITIAL_PARTITIONS, None):
+        return None
+    n = max(spark.sparkContext.defaultParallelism, -(-int(input_bytes) // target_bytes))
+    spark.conf.set(INITIAL_PARTITIONS, str(n))
+    return n

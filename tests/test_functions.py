@@ -71,3 +71,18 @@ def test_ansi_is_on(spark):
     df = spark.createDataFrame([("12x",)], "s string")
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         df.select(F.col("s").cast("bigint")).collect()
+
+
+def test_size_shuffles_respects_user_setting(spark):
+    from flightlake.session import INITIAL_PARTITIONS, size_shuffles
+
+    prev = spark.conf.get(INITIAL_PARTITIONS, None)
+    try:
+        spark.conf.unset(INITIAL_PARTITIONS)
+        assert size_shuffles(spark, 100 * 1024 ** 4) == 100 * 1024 ** 4 // (256 * 1024 ** 2)
+        assert size_shuffles(spark, 10) is None           # already set: left alone
+    finally:
+        if prev is None:
+            spark.conf.unset(INITIAL_PARTITIONS)
+        else:
+            spark.conf.set(INITIAL_PARTITIONS, prev)
