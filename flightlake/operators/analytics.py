@@ -84,11 +84,14 @@ def cancellation_reasons_all(combined: DataFrame,
     """
     dims = cancellation_dimensions()
     names = list(dims)
+    # Pre-aggregate to (month, airport, airline, reason) so the grouping-sets
+    # expansion runs over that small set, not over every cancelled flight.
     base = (combined.where(F.col("cancelled") != not_cancelled)
-            .select(*[c.alias(n) for n, c in dims.items()], "cancellation_reason"))
+            .groupBy(*[c.alias(n) for n, c in dims.items()], "cancellation_reason")
+            .agg(F.count(F.lit(1)).alias("n")))
     sets = [[F.col(d), F.col("cancellation_reason")] for d in names]
     g = base.groupingSets(sets, *[F.col(d) for d in names], "cancellation_reason").agg(
-        F.count(F.lit(1)).alias("cancellations"),
+        F.sum("n").cast("bigint").alias("cancellations"),
         F.grouping_id(*[F.col(d) for d in names], F.col("cancellation_reason")).alias("gid"))
     # grouping_id has one bit per grouping column (dimensions, then the
     # reason), set when the column is aggregated away.
