@@ -12,9 +12,10 @@ from pyspark.sql import SparkSession
 def local_session(cores: int | str = "*", app: str = "flightlake") -> SparkSession:
     """A local session with the settings the library relies on.
 
-    On a cluster the session comes from the platform; only the settings
-    below matter there: UTC session zone (zone-less datetimes), AQE on,
-    dynamic partition overwrite for month upserts.
+    On a cluster the session comes from the platform. AQE (on by default)
+    is the setting that matters there; the code does not depend on the
+    session time zone (dates and ``timestamp_ntz`` only), and dynamic
+    partition overwrite is requested per write where months are swapped.
     """
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -26,7 +27,6 @@ def local_session(cores: int | str = "*", app: str = "flightlake") -> SparkSessi
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         .config("spark.driver.memory", "8g")
     )
     spark = builder.getOrCreate()
@@ -36,9 +36,12 @@ def local_session(cores: int | str = "*", app: str = "flightlake") -> SparkSessi
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the session settings every plan here assumes."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    """Hook for a caller's session; changes no session-wide setting.
+
+    Nothing here relies on the session time zone, and partition overwrite
+    mode is chosen per write (static for full rebuilds, dynamic for month
+    swaps), so a host application's session keeps its own behaviour.
+    """
     return spark
 
 
