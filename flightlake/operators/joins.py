@@ -76,8 +76,3 @@ def assert_same_count(before: int, after: int, what: str = "join") -> None:
     if before != after:
         raise AssertionError(
             f"Row count mismatch after {what}. Expected {before:,}. Found {after:,}")
-
-
-def key_multiplicity(lookup: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Lookup keys that occur more than once (would fan out a join)."""
-    return lookup.groupBy(*keys).count().where("count > 1")
