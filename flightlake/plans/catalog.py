@@ -9,11 +9,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flightlake.functions.columns import year_month_key, zero_pad
+from flightlake.functions.columns import zero_pad
 from flightlake.operators import analytics, marts, quality
 from flightlake.operators.enrich import combine, guarded_counts
 from flightlake.operators.joins import lookup_join
