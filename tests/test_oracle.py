@@ -29,9 +29,25 @@ def test_every_query_has_an_oracle_or_is_listed():
     assert no_oracle == {"layer_size_audit"}
 
 
+PYTHON_OPERATORS = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas",
+                    "MapInPandas", "PythonUDF", "FlatMapCoGroupsInPandas")
+
+
+def plan_text(df) -> str:
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
+
+
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
+    plan = plan_text(df)
+    assert not any(op in plan for op in PYTHON_OPERATORS), "Python in the data path"
     cols, rows = df.columns, [tuple(r) for r in df.collect()]
     sql = E.oracle_sql().get(name)
     if sql is None:
