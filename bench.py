@@ -62,6 +62,7 @@ def main() -> None:
         "unit": "sec",
         "pipeline_sec": round(pipeline_sec, 3),
         "rows": r.counts.get("flights"),
+        "sizes": r.sizes,
         "rows_per_sec_pipeline": round(r.counts.get("flights", 0) / pipeline_sec, 1),
         "queries": timings,
         "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),
