@@ -137,6 +137,12 @@ def airport_missing_arrivals(spark, sf_dir):
 MISSING_ARRIVALS_STATE = "EUROPE"
 
 
+@register("state_monthly_via_routes")
+def state_monthly_via_routes(spark, sf_dir):
+    # The state mart computed from the same month-partitionable route counts.
+    return marts.state_monthly_from_routes(marts.route_counts(flows.combined(spark, sf_dir)))
+
+
 @register("departure_airport_via_routes")
 def departure_airport_via_routes(spark, sf_dir):
     # The same mart computed from month-partitionable route counts.

@@ -176,6 +176,7 @@ FROM (SELECT CAST(date_trunc('month', fl_date) AS DATE) AS month, origin_state_n
       FROM combined GROUP BY 1, 2, 3) s
 ORDER BY month, count_departures DESC, origin_state_name""")
 
+_Q["state_monthly_via_routes"] = _Q["state_monthly"]
 
 FID = "f.fl_date, f.op_carrier_fl_num, f.origin, f.destination"
 
