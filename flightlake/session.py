@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -93,3 +94,15 @@ def size_shuffles(spark: SparkSession, input_bytes: int,
     n = max(spark.sparkContext.defaultParallelism, -(-int(input_bytes) // target_bytes))
     spark.conf.set(INITIAL_PARTITIONS, str(n))
     return n
+
+
+@contextlib.contextmanager
+def sized_shuffles(spark: SparkSession, input_bytes: int):
+    """:func:`size_shuffles` for the duration of one run, then restored, so
+    a host application's session keeps its own setting afterwards."""
+    n = size_shuffles(spark, input_bytes)
+    try:
+        yield n
+    finally:
+        if n is not None:
+            spark.conf.unset(INITIAL_PARTITIONS)

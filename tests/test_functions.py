@@ -86,3 +86,17 @@ def test_size_shuffles_respects_user_setting(spark):
             spark.conf.unset(INITIAL_PARTITIONS)
         else:
             spark.conf.set(INITIAL_PARTITIONS, prev)
+
+
+def test_sized_shuffles_is_scoped(spark):
+    from flightlake.session import INITIAL_PARTITIONS, sized_shuffles
+
+    prev = spark.conf.get(INITIAL_PARTITIONS, None)
+    spark.conf.unset(INITIAL_PARTITIONS)
+    try:
+        with sized_shuffles(spark, 10 * 1024 ** 4) as n:
+            assert spark.conf.get(INITIAL_PARTITIONS) == str(n)
+        assert spark.conf.get(INITIAL_PARTITIONS, None) is None
+    finally:
+        if prev is not None:
+            spark.conf.set(INITIAL_PARTITIONS, prev)
