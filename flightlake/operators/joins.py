@@ -12,18 +12,29 @@ from pyspark.sql import functions as F
 # the bound keeps a broadcast to roughly 25 MB per executor; real lookups
 # (airports, carriers, states, codes) hold hundreds to a few thousand rows.
 BROADCAST_MAX_ROWS = 250_000
+# ...and only when its measured size is at most this many bytes.
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
-def fits(df: DataFrame, max_rows: int | None = None) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+def fits(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes.
 
-    ``select().offset(max_rows).isEmpty()`` plans an incremental take over a
-    zero-column scan: partitions are read a few at a time and it stops as
-    soon as row ``max_rows + 1`` exists, so it is cheap on a huge table and
-    exact on a small one. (``limit(n).count()`` would instead make every
-    scan task ship up to ``n`` rows into a single-partition shuffle.)
+    Rows first: ``select().offset(max_rows).isEmpty()`` plans an incremental
+    take over a zero-column scan that stops as soon as row ``max_rows + 1``
+    exists, so it is cheap on a huge table. (``limit(n).count()`` would make
+    every scan task ship up to ``n`` rows into a single-partition shuffle.)
+    Only then, with the rows known to be few, their size is summed exactly
+    (text length of every value), so a few wide rows cannot slip through.
     """
-    return df.select().offset(BROADCAST_MAX_ROWS if max_rows is None else max_rows).isEmpty()
+    rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
+    limit = BROADCAST_MAX_BYTES if max_bytes is None else max_bytes
+    if not df.select().offset(rows).isEmpty():
+        return False
+    if not df.columns:
+        return True
+    size = df.agg(F.sum(sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0))
+                             for c in df.columns), F.lit(0)))).first()[0]
+    return (size or 0) <= limit
 
 
 def sized_broadcast(df: DataFrame, max_rows: int | None = None,

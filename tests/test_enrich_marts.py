@@ -127,3 +127,12 @@ def test_histogram_median_equals_builtin(spark):
     assert a.count() == b.count() == 6
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     assert a.where(F.col("op_unique_carrier") == "C5").first()["median_distance"] is None
+
+
+def test_fits_checks_rows_and_bytes(spark):
+    from flightlake.operators.joins import fits
+
+    df = spark.createDataFrame([("a" * 1000,), ("b" * 1000,)], "s string")
+    assert fits(df, max_rows=2, max_bytes=4000)
+    assert not fits(df, max_rows=1, max_bytes=4000)       # too many rows
+    assert not fits(df, max_rows=2, max_bytes=1500)       # few but wide rows
