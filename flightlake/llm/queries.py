@@ -7,22 +7,31 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import tokens
+from . import near_dedup, sharding, sql, tokens
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKEN_LIMIT = 2048
+SHARDS = 8
+
+
+def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents")).drop("node")
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), TOKEN_LIMIT)
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_by_size(table(spark, sf_dir, "documents"), SHARDS)
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op4_token_counts,
+        op1_near_duplicates, op4_token_counts, op5_sharding,
     )}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_near_duplicates": sql.OP1, "op5_sharding": sql.OP5}
