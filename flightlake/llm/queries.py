@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import near_dedup, sharding, sql, tokens
+from . import decontaminate, near_dedup, quality, secrets, sharding, sql, tokens
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,9 +27,22 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_size(table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score_quality(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.find_secrets(table(spark, sf_dir, "documents")))
+
+
+def op9_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op1_near_duplicates, op4_token_counts, op5_sharding,
+        op1_near_duplicates, op4_token_counts, op5_sharding, op6_quality, op8_secrets, op9_benchmark_leaks,
     )}
 
 
