@@ -6,19 +6,27 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, near_dedup, quality, secrets, sharding, sql, tokens
+from . import decontaminate, licenses, near_dedup, neighbours, pii, quality, secrets, sharding, sql, tokens
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKEN_LIMIT = 2048
 SHARDS = 8
+NEAREST = 10
+#: The key of the surrogates; a deployment passes its own secret.
+PII_KEY = b"demonstration key"
 
 
 def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents")).drop("node")
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), TOKEN_LIMIT)
 
@@ -32,6 +40,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(table(spark, sf_dir, "documents"), PII_KEY)
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(table(spark, sf_dir, "documents")))
 
@@ -40,9 +52,13 @@ def op9_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, NEAREST)
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op1_near_duplicates, op4_token_counts, op5_sharding, op6_quality, op8_secrets, op9_benchmark_leaks,
+        op1_near_duplicates, op3_licenses, op4_token_counts, op5_sharding, op6_quality, op7_pii, op8_secrets, op9_benchmark_leaks, op10_nearest,
     )}
 
 
