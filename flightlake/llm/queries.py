@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, licenses, near_dedup, neighbours, pii, quality, secrets, sharding, sql, tokens
+from . import decontaminate, licenses, mixing, near_dedup, neighbours, pii, quality, secrets, sharding, sql, tokens
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,12 +17,22 @@ SHARDS = 8
 NEAREST = 10
 #: The key of the surrogates; a deployment passes its own secret.
 PII_KEY = b"demonstration key"
+#: Domains told by the labelled table, and the weights of the mixture.
+MIXTURE = {"clean": 0.97, "low": 0.02, "toxic": 0.01}
+
+
+def domain() -> Column:
+    return F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 0, "low").when(F.col("quality") == 1, "clean")
 
 
 def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents")).drop("node")
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixing_rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), domain(), MIXTURE)
+
+
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
@@ -58,7 +68,7 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op1_near_duplicates, op3_licenses, op4_token_counts, op5_sharding, op6_quality, op7_pii, op8_secrets, op9_benchmark_leaks, op10_nearest,
+        op1_near_duplicates, op2_mixing, op3_licenses, op4_token_counts, op5_sharding, op6_quality, op7_pii, op8_secrets, op9_benchmark_leaks, op10_nearest,
     )}
 
 
