@@ -21,14 +21,14 @@ def components(edges: DataFrame, rounds: int = 200) -> DataFrame:
     labels = written(spark, both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least"))
                      .select("node", F.least("node", "least").alias("label")), "labels")
     for _ in range(rounds):
-        near = both.join(labels.withColumnRenamed("node", "b"), "b").select(F.col("a").alias("node"), "label")
-        spread = near.union(labels).groupBy("node").agg(F.min("label").alias("label"))
+        near = both.join(labels.withColumnRenamed("node", "b"), "b").select(F.col("a").alias("node"), "label", F.lit(None).alias("was"))
+        own = labels.select("node", "label", F.col("label").alias("was"))
+        spread = near.union(own).groupBy("node").agg(F.min("label").alias("label"), F.min("was").alias("was"))
         jump = labels.select(F.col("node").alias("label"), F.col("label").alias("further"))
         after = written(spark, spread.join(jump, "label", "left").select(
-            "node", F.least("label", "further").alias("label")), "labels")
-        moved = after.join(labels.select("node", F.col("label").alias("was")), "node").where("label <> was")
-        labels = after
-        if moved.isEmpty():
+            "node", F.least("label", "further").alias("label"), "was"), "labels")
+        labels = after.select("node", "label")
+        if after.where("label <> was").isEmpty():
             break
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")

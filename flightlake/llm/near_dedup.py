@@ -7,10 +7,11 @@ on average) and sends a set on to the child named by the coordinate's minwise to
 follow a common path with high probability, others part quickly. Children with at most ``LEAF``
 sets are compared exhaustively; larger ones branch again.
 
-A large child whose sets are near copies of each other would not shrink. Its sets are first linked
-to a few pivots; children whose sets already form one component have nothing left to find and end.
-Mixed ones branch on, and what is still large after ``DEPTH`` levels is compared in blocks, so no
-case is dropped.
+A large child whose sets are near copies of each other would not shrink. The sets of large children of
+the first level are linked to a few pivots; a child whose sets already form one component has nothing
+left to find and ends. In one with at most ``LEAF`` sets outside its largest component, those are
+compared with all others, dealt out in parts. The rest branch on, and what is still large after ``DEPTH``
+levels is compared in blocks, so no case is dropped.
 
 Candidate pairs pass if their minwise agreement is within ``SLACK`` of the threshold (four standard
 deviations) and their sizes allow the similarity; they are then confirmed on the full sets.
@@ -49,6 +50,7 @@ BROADCAST_IDS = 200_000
 _RNG = np.random.default_rng(75)
 _MUL = _RNG.integers(0, 2**32, WIDTH, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
 _XOR = _RNG.integers(0, 2**32, WIDTH, dtype=np.uint64).astype(np.uint32)
+_WIDE_MUL = _RNG.integers(0, 2**63, WIDTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def sketch(shingles: np.ndarray) -> np.ndarray:
@@ -60,6 +62,23 @@ def sketch(shingles: np.ndarray) -> np.ndarray:
     return (least ^ (least >> np.uint32(16))).astype(np.uint16)
 
 
+def _choices(path: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The coordinates that the tree nodes ``path`` branch on: a first, a second, and whether the second is used."""
+    first = (_tags(path, 1) % np.uint64(WIDTH)).astype(np.int64)
+    second = (_tags(path, 2) % np.uint64(WIDTH)).astype(np.int64)
+    return first, second, (_tags(path, 3) % np.uint64(3) == 0) & (first != second)
+
+
+def roots(shingles: np.ndarray, trees: int) -> np.ndarray:
+    """Children of the ``trees`` roots that a set goes to; their tokens are 64-bit minwise values, so that
+    unrelated sets do not meet by chance however many there are."""
+    tree = np.arange(trees, dtype=np.uint64)
+    first, second, both = _choices(tree)
+    tree, coordinate = np.concatenate([tree, tree[both]]), np.concatenate([first, second[both]])
+    least = np.array([(shingles * _WIDE_MUL[c]).min() for c in coordinate])
+    return hashing.mix(_tags(tree, 4) + least * np.uint64(0xD6E8FEB86659FD93) + coordinate.astype(np.uint64))
+
+
 def _sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
     """The shingle set of every row of a binary column."""
     for _, _, (_, _, h), counts in hashing.words_of_rows(column, hashing.SPACE):
@@ -72,17 +91,18 @@ def _key(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
-def _signatures(size: int):
+def _signatures(size: int, trees: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            node, n, sk = [], [], []
+            node, n, sk, paths = [], [], [], []
             for s in _sets(batch.column(1), size):
                 n.append(len(s))
                 node.append(_key(s) if len(s) else None)
                 sk.append(sketch(s).tobytes() if len(s) else None)
+                paths.append(roots(s, trees).view(np.int64) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(node, pa.binary()), pa.array(n, pa.int64()), pa.array(sk, pa.binary())],
-                names=["doc_id", "node", "n", "sketch"])
+                [batch.column(0), batch.column(2), pa.array(node, pa.binary()), pa.array(n, pa.int64()), pa.array(sk, pa.binary()),
+                 pa.array(paths, pa.list_(pa.int64()))], names=["doc_id", "text_key", "node", "n", "sketch", "paths"])
     return run
 
 
@@ -96,28 +116,18 @@ def _tags(paths: np.ndarray, what: int) -> np.ndarray:
     return hashing.mix(paths * np.uint64(hashing.BASE) + np.uint64(what))
 
 
-def _branch(trees: int | None):
-    """Children of every row: ``(path, node)``. ``trees``: start that many trees instead."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            names = batch.schema.names
-            sk, node = _matrix(batch.column(names.index("sketch"))), batch.column(names.index("node"))
-            rows = np.arange(batch.num_rows)
-            roots = [np.full(len(rows), t, np.uint64) for t in range(trees)] if trees else [
-                batch.column(names.index("path")).to_numpy(zero_copy_only=False).view(np.uint64)]
-            for path in roots:
-                first = (_tags(path, 1) % np.uint64(WIDTH)).astype(np.int64)
-                second = (_tags(path, 2) % np.uint64(WIDTH)).astype(np.int64)
-                both = (_tags(path, 3) % np.uint64(3) == 0) & (first != second)
-                for coordinate, some in ((first, rows), (second, rows[both])):
-                    c = coordinate[some]
-                    value = sk[some, c].astype(np.uint64) + (c.astype(np.uint64) << np.uint64(16))
-                    child = hashing.mix(_tags(path[some], 4) + value * np.uint64(0xD6E8FEB86659FD93))
-                    if len(some):
-                        yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), node.take(pa.array(some))], names=["path", "node"])
-    return run
+def _branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Children of every row (path, node, sketch): ``(path, node)``."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        path, node, sk = batch.column(0).to_numpy().view(np.uint64), batch.column(1), _matrix(batch.column(2))
+        rows = np.arange(batch.num_rows)
+        first, second, both = _choices(path)
+        for c, some in ((first, rows), (second[both], rows[both])):
+            value = sk[some, c].astype(np.uint64) + (c.astype(np.uint64) << np.uint64(16))
+            child = hashing.mix(_tags(path[some], 4) + value * np.uint64(0xD6E8FEB86659FD93))
+            yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), node.take(pa.array(some))], names=["path", "node"])
 
 
 def _agree(sk: np.ndarray, n: np.ndarray, i: np.ndarray, j: np.ndarray, part: float) -> np.ndarray:
@@ -170,17 +180,17 @@ def _leaf_pairs(part: float, cross: bool):
 
 
 def _star_pairs(part: float):
+    """Pairs of each row (node, n, sketch) with its path's pivots (three columns each)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            names = batch.schema.names
-            col = lambda c: batch.column(names.index(c))
-            sk = np.concatenate([_matrix(col("sketch")), _matrix(col("p_sketch"))])
-            n = np.concatenate([col("n").to_numpy(), col("p_n").to_numpy()])
             i = np.arange(batch.num_rows)
-            keep = pa.array(_agree(sk, n, i, i + batch.num_rows, part))
-            yield pa.RecordBatch.from_arrays([col("p_node").filter(keep), col("node").filter(keep)], names=["x", "y"])
+            for at in range(3, batch.num_columns, 3):
+                sk = np.concatenate([_matrix(batch.column(2)), _matrix(batch.column(at + 2))])
+                n = np.concatenate([batch.column(1).to_numpy(), batch.column(at + 1).to_numpy()])
+                keep = pa.array(_agree(sk, n, i, i + batch.num_rows, part))
+                yield pa.RecordBatch.from_arrays([batch.column(at).filter(keep), batch.column(0).filter(keep)], names=["x", "y"])
     return run
 
 
@@ -233,45 +243,76 @@ def _confirm(docs: DataFrame, reps: DataFrame, pairs: DataFrame, size: int, thre
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                     threshold: tuple[int, int] = THRESHOLD, trees: int = TREES, leaf: int = LEAF, depth: int = DEPTH) -> DataFrame:
-    """One row per document: ``doc_id, n_shingles, component_id, kept, node`` (``node`` names the set)."""
+    """One row per document: ``doc_id, n_shingles, component_id, kept``, and ``node``, which names the set,
+    and ``text_key``, a hash of the text."""
     spark = docs.sparkSession
     ship(spark)
     part = threshold[0] / threshold[1]
-    texts = columns(docs, F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    rows = written(spark, texts.mapInArrow(_signatures(shingle), "doc_id long, node binary, n long, sketch binary"), "signatures")
+    texts = columns(docs, F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"), F.xxhash64(text_col).alias("text_key"))
+    rows = written(spark, texts.mapInArrow(
+        _signatures(shingle, trees), "doc_id long, text_key long, node binary, n long, sketch binary, paths array<long>"), "signatures")
     reps = written(spark, rows.where("node is not null").groupBy("node").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "nodes")
+        F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("n", "sketch", "paths")]), "nodes")
 
     edges, candidates = [], []
-    labels = spark.createDataFrame([], "node binary, label binary")
-    frontier = reps.mapInArrow(_branch(trees), "path long, node binary")
+    labels = None
+    frontier = reps.select(F.explode("paths").alias("path"), "node")
     for level in range(depth):
         sizes = frontier.groupBy("path").agg(F.count("*").alias("size")).where("size > 1")
         held = frontier.join(sizes, "path").join(reps.select("node", "n", "sketch"), "node")
-        held = written(spark, held.join(labels, "node", "left"), "level")
-        small = held.where(F.col("size") <= leaf).withColumnRenamed("path", "group")
-        candidates.append(_in_groups(small, part, level > 0))
+        held = held.withColumn("label", F.col("node")) if labels is None else _labelled(held, labels)
+        held = written(spark, held, "level")
+        candidates.append(_in_groups(held.where(F.col("size") <= leaf).withColumnRenamed("path", "group"), part, labels is not None))
         large = held.where(F.col("size") > leaf)
         if large.isEmpty():
             break
-        edges.append(_confirm(texts, reps, _ordered(_stars(large, part)), shingle, threshold))
-        labels = components(_union(edges))
-        large = large.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        mixed = large.groupBy("path").agg(F.min("label").alias("one"), F.max("label").alias("other")).where("one <> other")
-        large = written(spark, large.join(mixed.select("path"), "path", "left_semi"), "mixed")
+        if labels is None:
+            edges.append(_confirm(texts, reps, _ordered(_stars(large, part)), shingle, threshold))
+            labels = components(edges[0])
+            large = written(spark, _labelled(large.drop("label"), labels), "large")
+        of_label = large.groupBy("path", "label").agg(F.count("*").alias("own"))
+        main = of_label.groupBy("path").agg(F.max(F.struct("own", "label")).alias("main"))
+        main = main.select("path", F.col("main.label").alias("main"), F.col("main.own").alias("own"))
+        large = large.join(main, "path").withColumn("others", F.col("size") - F.col("own")).where("others > 0")
+        large = written(spark, large, "mixed")
+        candidates.append(_against_others(large.where(F.col("others") <= leaf), part, leaf))
+        large = large.where(F.col("others") > leaf)
+        if large.isEmpty():
+            break
         if level == depth - 1:
             candidates.append(_in_blocks(large, part, leaf))
-        frontier = large.select("path", "node", "sketch").mapInArrow(_branch(None), "path long, node binary")
+        frontier = large.select("path", "node", "sketch").mapInArrow(_branch, "path long, node binary")
 
     edges.append(_confirm(texts, reps, _ordered(_union(candidates)), shingle, threshold))
     found = components(_union(edges))
     named = reps.select("node", "doc_id").join(found, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     classes = named.join(least, "label").select("node", "component_id")
-    out = rows.select("doc_id", "node", F.col("n").alias("n_shingles")).join(classes, "node", "left")
+    out = rows.select("doc_id", "text_key", "node", F.col("n").alias("n_shingles")).join(classes, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
-                      F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"), "node")
+                      F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"), "node", "text_key")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs``, all columns, without all but one document of each class; of repeated rows (same
+    id and text) one stays."""
+    spark = docs.sparkSession
+    classes = written(spark, near_duplicates(docs, id_col, text_col, **options).select("doc_id", "text_key", "kept"), "classes")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_key"))
+
+    def without(rows: DataFrame, keys: DataFrame) -> DataFrame:
+        some = not keys.offset(BROADCAST_IDS).limit(1).collect()
+        keys = F.broadcast(keys) if some else keys
+        return rows.join(keys, rows["doc_id"].eqNullSafe(keys["doc_id"]) & (rows["text_key"] == keys["text_key"]), "left_anti")
+
+    gone = classes.where(~F.col("kept")).select("doc_id", "text_key").distinct()
+    repeated = written(spark, classes.where("kept").groupBy("doc_id", "text_key").count().where("count > 1").drop("count"), "repeated")
+    left = without(rows, gone)
+    if repeated.isEmpty():
+        return left.select("row.*")
+    again = left.join(repeated, left["doc_id"].eqNullSafe(repeated["doc_id"]) & (left["text_key"] == repeated["text_key"]), "left_semi")
+    return without(left, repeated).unionByName(again.dropDuplicates(["doc_id", "text_key"])).select("row.*")
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -287,14 +328,25 @@ def _in_groups(rows: DataFrame, part: float, cross: bool) -> DataFrame:
     return rows.mapInArrow(_leaf_pairs(part, cross), "x binary, y binary")
 
 
+def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    return rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
 def _stars(large: DataFrame, part: float) -> DataFrame:
     """Every set of a large group against a few pivots of the group."""
-    stars = []
-    for k in range(PIVOTS):
-        pivot = large.groupBy("path").agg(F.min(F.struct(F.xxhash64("node", F.lit(k)), "node", "n", "sketch")).alias("p"))
-        pivot = pivot.select("path", F.col("p.node").alias("p_node"), F.col("p.n").alias("p_n"), F.col("p.sketch").alias("p_sketch"))
-        stars.append(large.select("path", "node", "n", "sketch").join(pivot, "path"))
-    return _union([s.mapInArrow(_star_pairs(part), "x binary, y binary") for s in stars])
+    least = [F.min(F.struct(F.xxhash64("node", F.lit(k)), "node", "n", "sketch")).alias(f"p{k}") for k in range(PIVOTS)]
+    rows = large.select("path", "node", "n", "sketch").join(large.groupBy("path").agg(*least), "path")
+    pivots = [F.col(f"p{k}.{c}").alias(f"{c}{k}") for k in range(PIVOTS) for c in ("node", "n", "sketch")]
+    return rows.select("node", "n", "sketch", *pivots).mapInArrow(_star_pairs(part), "x binary, y binary")
+
+
+def _against_others(mixed: DataFrame, part: float, leaf: int) -> DataFrame:
+    """Groups with a few sets outside their main component: those go to every part of the group."""
+    parts = F.ceil(F.col("size") / leaf).cast("int")
+    own = F.pmod(F.xxhash64("node"), parts).cast("int")
+    where = F.when(F.col("label") == F.col("main"), F.array(own)).otherwise(F.sequence(F.lit(0), parts - 1))
+    dealt = mixed.withColumn("part", F.explode(where))
+    return _in_groups(dealt.withColumn("group", F.xxhash64("path", "part")), part, True)
 
 
 def _in_blocks(large: DataFrame, part: float, leaf: int) -> DataFrame:

@@ -26,7 +26,7 @@ def domain() -> Column:
 
 
 def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_duplicates(table(spark, sf_dir, "documents")).drop("node")
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents")).drop("node", "text_key")
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,8 +5,7 @@ distinct ones becomes a prefix tree over character classes; states whose observe
 (Hoeffding bound on every continuation, recursively) are merged, which leaves a small probabilistic
 automaton. Candidates, all other runs of credential characters, are scored by their log likelihood per
 character under the best automaton against an automaton inferred from ordinary candidates. Those that
-beat it by ``MARGIN`` and are as likely as all but ``UNLIKELY`` of the kind's own sample become spans of
-kind ``format``.
+beat it by ``MARGIN`` and are as typical of the kind as its own sample become spans of kind ``format``.
 
 Texts are read once: a first pass writes base spans and candidate strings (a few bytes a document) to
 the shared folder, from which the samples are drawn and the candidates are scored.
@@ -45,8 +44,9 @@ TREE_DEPTH = 64
 ALPHA = 0.01
 #: Log likelihood per character by which a credential format must beat ordinary text.
 MARGIN = 0.25
-#: Share of a kind's own sample that may be less likely than a candidate's least rate.
-UNLIKELY = 0.02
+#: A candidate's rate lies between these quantiles of the kind's own sample, but for a slack below (shorter strings
+#: pay more for their end). More likely than nearly all of the sample is untypical too: a word in capitals, say.
+TYPICAL, BELOW = (0.02, 0.98), 0.15
 #: Ways (distinct strings) that a kind must have been seen, to be learned.
 LEAST_SAMPLE = 5
 #: Fixed value: the class of a character.
@@ -94,7 +94,7 @@ class Automaton:
         moves: list[dict[str, list[int]]] = [{}]
         for w in words:
             state = 0
-            for symbol in [*w[:TREE_DEPTH], _END]:
+            for symbol in [*w, _END] if len(w) <= TREE_DEPTH else w[:TREE_DEPTH]:
                 if symbol not in moves[state]:
                     moves[state][symbol] = [len(moves), 0]
                     moves.append({})
@@ -190,8 +190,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     return columns(docs, F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
 
 
-def learn(scanned: DataFrame) -> dict[str, tuple[list, float]]:
-    """Automata and least rates by kind (and ``ordinary``), each inferred in a task from a bounded sample."""
+def learn(scanned: DataFrame) -> dict[str, tuple[list, float, float]]:
+    """Automata and typical rates by kind (and ``ordinary``), each inferred in a task from a bounded sample."""
     known = scanned.select(F.explode(F.arrays_zip("kinds", "values")).alias("s")).select(F.col("s.kinds").alias("kind"), F.col("s.values").alias("value"))
     plain = scanned.select(F.lit("ordinary").alias("kind"), F.explode("c_values").alias("value"))
     sample = None
@@ -203,13 +203,14 @@ def learn(scanned: DataFrame) -> dict[str, tuple[list, float]]:
     def infer(key: tuple, table: pa.Table) -> pa.Table:
         words = [classes(v) for v in table["value"].to_pylist()]
         if len(words) < LEAST_SAMPLE:
-            return pa.table({"kind": pa.array([], pa.string()), "moves": pa.array([], pa.string()), "least": pa.array([], pa.float64())})
+            return pa.table({"kind": pa.array([], pa.string()), "moves": pa.array([], pa.string()), "least": pa.array([], pa.float64()), "most": pa.array([], pa.float64())})
         grown = Automaton.tree(sorted(words)).infer()
         rates = sorted(map(grown.rate, words))
-        return pa.table({"kind": [key[0].as_py()], "moves": [json.dumps(grown.moves)], "least": [rates[int(UNLIKELY * len(rates))]]})
+        least, most = (rates[int(q * (len(rates) - 1))] for q in TYPICAL)
+        return pa.table({"kind": [key[0].as_py()], "moves": [json.dumps(grown.moves)], "least": [least - BELOW], "most": [most]})
 
-    found = sample.groupBy("kind").applyInArrow(infer, "kind string, moves string, least double").collect()  # four automata
-    return {r["kind"]: (json.loads(r["moves"]), r["least"]) for r in found}
+    found = sample.groupBy("kind").applyInArrow(infer, "kind string, moves string, least double, most double").collect()  # four automata
+    return {r["kind"]: (json.loads(r["moves"]), r["least"], r["most"]) for r in found}
 
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", margin: float = MARGIN) -> DataFrame:
@@ -219,8 +220,8 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     automata = learn(scanned)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ready = {k: (Automaton(m), least) for k, (m, least) in automata.items()}
-        plain, _ = ready.pop("ordinary", (None, 0))
+        ready = {k: (Automaton(m), least, most) for k, (m, least, most) in automata.items()}
+        plain, *_ = ready.pop("ordinary", (None,))
         for batch in batches:
             rows = []
             for r in batch.to_pylist():
@@ -230,10 +231,10 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     if not ready or plain is None:
                         break
                     word = classes(value)
-                    rates = [(a.rate(word), least) for a, least in ready.values()]
-                    score = max(r for r, _ in rates) - plain.rate(word)
+                    rates = [(a.rate(word), least, most) for a, least, most in ready.values()]
+                    score = max(r for r, _, _ in rates) - plain.rate(word)
                     best = score if best is None else max(best, score)
-                    if score >= margin and any(r >= least for r, least in rates):
+                    if score >= margin and any(least <= r <= most for r, least, most in rates):
                         spans.append(("format", start, start + len(value)))
                 counts = [sum(k == kind for k in r["kinds"]) for kind in KINDS[:3]]
                 rows.append((r["doc_id"], *counts, joined(base), joined(sorted(spans, key=_place)), best))
