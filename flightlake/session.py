@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import contextlib
-import os
 import tempfile
 import uuid
 
@@ -47,51 +46,56 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster-shared folder named by ``spark.checkpoint.dir``.
+    """The cluster-shared folder named by ``spark.checkpoint.dir``, as a URI.
 
-    Read from the session. Only when nothing is configured (tests, a laptop)
-    a local folder is created and registered, so ``checkpoint()`` works too.
+    Read from the session. Only when nothing is configured and the master is
+    one local process (tests, a laptop) a local folder is created; on a
+    cluster a folder of one machine would lose data, so it raises there.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
-    if not current:
-        current = spark.conf.get("spark.checkpoint.dir", None)
-        if current:
-            sc.setCheckpointDir(current)
-    if not current:
-        current = tempfile.mkdtemp(prefix="flightlake-ckpt-")
-        sc.setCheckpointDir(current)
-        current = sc.getCheckpointDir() or current
-    return current
+    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if current:
+        return current
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir is not set: staging needs a folder that driver and executors share")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="flightlake-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared folder for a written layer."""
-    base = shared_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh, unique path (with its scheme) under the shared folder for a written layer."""
+    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-# Target bytes of input per initial shuffle partition (AQE merges small
-# ones afterwards, but it cannot split an aggregation's partitions).
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a staging copy through the Hadoop file system."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+# Target bytes read per initial shuffle partition (AQE merges small ones
+# afterwards, but it cannot split an aggregation's partitions), and the most
+# partitions: map outputs grow with maps x reducers, so very large shuffles
+# get larger partitions instead of more.
 SHUFFLE_TARGET_BYTES = 256 * 1024 * 1024
+SHUFFLE_MAX_PARTITIONS = 20_000
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
+def shuffle_partitions(input_bytes: int, parallelism: int, target_bytes: int = SHUFFLE_TARGET_BYTES) -> int:
+    """About one partition per ``target_bytes``, at least one per core, at most ``SHUFFLE_MAX_PARTITIONS``."""
+    return max(parallelism, min(SHUFFLE_MAX_PARTITIONS, -(-int(input_bytes) // target_bytes)))
+
+
 def size_shuffles(spark: SparkSession, input_bytes: int,
                   target_bytes: int = SHUFFLE_TARGET_BYTES) -> int | None:
-    """Size AQE's initial shuffle partition count from the input size.
+    """Set AQE's initial shuffle partition count from the bytes a run reads.
 
-    About one partition per ``target_bytes`` of input (never fewer than the
-    default parallelism), so aggregations and sorts over 100 TB start with
-    tens of thousands of partitions that fit executor memory, and AQE then
-    coalesces the small ones. Respects a value the user already set; returns
-    the count set, or None.
+    Respects a value the user already set; returns the count set, or None.
     """
     if spark.conf.get(INITIAL_PARTITIONS, None):
         return None
-    n = max(spark.sparkContext.defaultParallelism, -(-int(input_bytes) // target_bytes))
+    n = shuffle_partitions(input_bytes, spark.sparkContext.defaultParallelism, target_bytes)
     spark.conf.set(INITIAL_PARTITIONS, str(n))
     return n
 

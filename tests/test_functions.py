@@ -79,7 +79,7 @@ def test_size_shuffles_respects_user_setting(spark):
     prev = spark.conf.get(INITIAL_PARTITIONS, None)
     try:
         spark.conf.unset(INITIAL_PARTITIONS)
-        assert size_shuffles(spark, 100 * 1024 ** 4) == 100 * 1024 ** 4 // (256 * 1024 ** 2)
+        assert size_shuffles(spark, 1024 ** 4) == 1024 ** 4 // (256 * 1024 ** 2)
         assert size_shuffles(spark, 10) is None           # already set: left alone
     finally:
         if prev is None:
@@ -88,6 +88,16 @@ def test_size_shuffles_respects_user_setting(spark):
             spark.conf.set(INITIAL_PARTITIONS, prev)
 
 
+def test_shuffle_partitions_follow_the_bytes_and_are_bounded():
+    from flightlake.session import SHUFFLE_MAX_PARTITIONS, shuffle_partitions
+
+    gib = 1024 ** 3
+    assert shuffle_partitions(gib, 8) == 8
+    assert shuffle_partitions(1024 * gib, 8) == 4096
+    assert shuffle_partitions(100 * 1024 * gib, 8) == SHUFFLE_MAX_PARTITIONS
+    assert shuffle_partitions(gib + 8 * 1024 * gib, 8) == SHUFFLE_MAX_PARTITIONS   # a small day into a large month
+
+
 def test_sized_shuffles_is_scoped(spark):
     from flightlake.session import INITIAL_PARTITIONS, sized_shuffles
 

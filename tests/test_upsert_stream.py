@@ -1,0 +1,159 @@
+"""Month upsert and daily streams: versions of a flight, undated rows, batch size, staging."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from flightlake import session
+from flightlake.plans import catalog
+from flightlake.schemas import FLIGHT_KEY, FLIGHTS
+from flightlake.sinks import upsert
+from flightlake.sources.files import read_csv_table, read_layer
+from flightlake.streaming.daily_load import run_daily_flights, run_daily_load
+
+from tests.conftest import SF_SMALL
+
+
+@pytest.fixture(scope="module")
+def flights(spark):
+    return catalog.queries()["flights_typed"](spark, SF_SMALL).limit(300).cache()
+
+
+def delays(spark, table):
+    return sorted(map(str, read_layer(spark, table, FLIGHTS).select(*FLIGHT_KEY, "dep_delay").collect()))
+
+
+def land(flights, landing):
+    """Three landings, one after the other: all, corrected, corrected again in part."""
+    for version, delay in enumerate((1, 2, 3)):
+        rows = flights.where(F.col("dep_hour") % 3 <= 2 - version) if version else flights
+        path = os.path.join(landing, f"day{version}")
+        rows.withColumn("dep_delay", F.lit(delay).cast("bigint")).coalesce(1).write.parquet(path)
+        for name in os.listdir(path):
+            os.utime(os.path.join(path, name), (1_700_000_000 + version, 1_700_000_000 + version))
+
+
+@pytest.mark.parametrize("files", [1, 1000])
+def test_stream_result_does_not_depend_on_batch_size(spark, flights, tmp_out, files):
+    landing, table = os.path.join(tmp_out, "landing"), os.path.join(tmp_out, "table")
+    land(flights, landing)
+    run_daily_load(spark, landing, table, FLIGHTS, max_files_per_trigger=files)
+    last = F.when(F.col("dep_hour") % 3 == 0, 3).when(F.col("dep_hour") % 3 == 1, 2).otherwise(1).cast("bigint")
+    expected = sorted(map(str, flights.withColumn("dep_delay", last).select(*FLIGHT_KEY, "dep_delay").collect()))
+    assert delays(spark, table) == expected
+    run_daily_load(spark, landing, table, FLIGHTS, max_files_per_trigger=files)   # its checkpoint is the table's own
+    assert delays(spark, table) == expected
+
+
+def test_undated_rows_are_merged_like_a_month(spark, flights, tmp_out):
+    table = os.path.join(tmp_out, "table")
+    undated = flights.withColumn("fl_date", F.lit(None).cast("date"))
+    a, b = undated.where("dep_hour < 8"), undated.where("dep_hour >= 6")
+    upsert.initial_load(a.unionByName(flights), table)
+    months = upsert.upsert_months(spark, table, b)
+    assert months == [None]
+    left = read_layer(spark, table, FLIGHTS)
+    assert left.where("fl_date is null").count() == undated.select(*FLIGHT_KEY).distinct().count()
+    assert left.where("fl_date is not null").count() == flights.count()
+
+
+def test_staging_is_removed_and_read_back(spark, flights, tmp_out, monkeypatch):
+    made = []
+    path = session.scratch_path
+    monkeypatch.setattr(upsert, "scratch_path", lambda s, n: made.append(path(s, n)) or made[-1])
+    table = os.path.join(tmp_out, "table")
+    upsert.upsert_months(spark, table, flights)
+    assert len(made) == 2 and not any(upsert._exists(spark, m) for m in made)
+    flights.write.parquet(os.path.join(tmp_out, "short"))
+    with pytest.raises(RuntimeError, match="share"):
+        upsert.staged_copy(spark, os.path.join(tmp_out, "short"), FLIGHTS, flights.count() + 1)
+
+
+class _Cluster:
+    """A session on a cluster, without a checkpoint folder."""
+
+    class sparkContext:
+        master = "spark://head:7077"
+
+        @staticmethod
+        def getCheckpointDir():
+            return None
+
+    class conf:
+        @staticmethod
+        def get(key, default=None):
+            return default
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark):
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.scratch_path(_Cluster, "x")
+    assert session.scratch_path(spark, "x").startswith("file:")   # the scheme stays
+
+
+def test_csv_is_read_by_column_name(spark, tmp_out):
+    from pyspark.sql import types as T
+
+    path = os.path.join(tmp_out, "table.csv")
+    spark.createDataFrame([("x", 1.5, "a", 7)], "more string, d double, s string, l long").coalesce(1).write.option("header", True).csv(path)
+    schema = T.StructType([T.StructField("l", T.LongType()), T.StructField("s", T.StringType()), T.StructField("d", T.DoubleType())])
+    assert [tuple(r) for r in read_csv_table(spark, path, schema).collect()] == [(7, "a", 1.5)]
+    assert read_csv_table(spark, path, schema, keep_extra=True).columns == ["l", "s", "d", "more"]
+    with pytest.raises(ValueError, match="no column gone"):
+        read_csv_table(spark, path, T.StructType([*schema.fields, T.StructField("gone", T.LongType())]))
+
+
+def test_combined_files_are_sorted_by_date(spark, tmp_out):
+    from flightlake.operators.enrich import combine
+    from flightlake.operators.transform import with_partition_key
+    from flightlake.plans import flows
+    from flightlake.sinks.writers import write_partitioned
+
+    t = flows.typed(spark, SF_SMALL)
+    month = with_partition_key(t.flights).where("year_month = '1995_03'").repartition(1)
+    write_partitioned(combine(month, t.lookups), tmp_out + "/c", clustered=True)
+    dates = [r.fl_date for r in spark.read.parquet(tmp_out + "/c/year_month=1995_03").coalesce(1).collect()]
+    assert len(dates) > 10 and dates == sorted(dates)
+
+
+def test_daily_flights_stream_equals_a_full_build(spark, tmp_out):
+    from flightlake.plans.pipeline import Layout, land_raw_inputs, run
+    from flightlake.sources import fixtures
+
+    raw, out = os.path.join(tmp_out, "raw"), os.path.join(tmp_out, "out")
+    land_raw_inputs(spark, SF_SMALL, raw)
+    rf = fixtures.raw_flights(spark, SF_SMALL)
+    month = F.substring("FL_DATE", 6, 2)
+    rf.where(month != "01").write.mode("overwrite").option("header", True).csv(Layout(raw, raw).raw("flights"))
+    run(spark, raw, out)
+    landing = os.path.join(tmp_out, "landing")
+    rf.where(month == "01").withColumn("DEP_DELAY", F.lit(99).cast("bigint")).coalesce(1).write.option("header", True).csv(os.path.join(landing, "a"))
+    rf.where(month == "01").coalesce(1).write.option("header", True).csv(os.path.join(landing, "b"))
+    run_daily_flights(spark, landing, raw, out)
+    full = catalog.queries()["combined_wide"](spark, SF_SMALL)
+    got = read_layer(spark, os.path.join(out, "combined")).drop("year_month")
+    assert got.exceptAll(full).isEmpty() and full.exceptAll(got).isEmpty()
+
+
+@pytest.mark.parametrize("name,order", [
+    ("operating_carrier_stats", ["fl_date", "op_unique_carrier"]),
+    ("departure_airport_stats", ["-count_connections", "origin"]),
+    ("state_stats", ["month", "-count_departures", "origin_state_name"])])
+def test_published_marts_are_in_order(spark, tmp_out, name, order):
+    from flightlake.operators import marts
+    from flightlake.plans import flows
+    from flightlake.sinks.writers import write_mart
+
+    c = flows.combined(spark, SF_SMALL)
+    built = {"operating_carrier_stats": marts.carrier_daily, "departure_airport_stats": marts.departure_airport,
+             "state_stats": marts.state_monthly}[name](c)
+    write_mart(built, tmp_out + "/m")
+    rows = []
+    for part in sorted(p for p in os.listdir(tmp_out + "/m") if p.startswith("part-")):
+        rows += spark.read.option("header", True).schema(built.schema).csv(os.path.join(tmp_out, "m", part)).collect()
+
+    def key(r):
+        return [(0, "") if r[o.lstrip("-")] is None else (1, -r[o[1:]] if o[0] == "-" else r[o]) for o in order]
+
+    assert rows == sorted(rows, key=key) and len(rows) > 5
