@@ -24,7 +24,7 @@ class Lookups:
     _small: dict | None = None
 
     def small(self) -> dict[str, bool]:
-        """Per lookup: does a row count prove it fits a broadcast? (cached)"""
+        """Per lookup: are its files small enough to broadcast it? (cached, no job)"""
         if self._small is None:
             self._small = {n: fits(getattr(self, n)) for n in LOOKUP_NAMES}
         return self._small
@@ -62,10 +62,8 @@ def combine(flights: DataFrame, lk: Lookups) -> DataFrame:
     """
     small = lk.small()
     states = airport_states(lk)
-    # Checked on the joined lookup itself: a repeated state name could fan
-    # it out beyond the size of its inputs.
     if "airport_states" not in small:
-        small["airport_states"] = small["airports"] and small["population"] and fits(states)
+        small["airport_states"] = fits(states)   # the joined side is what is broadcast
     states_small = small["airport_states"]
     cols = {"airport_state_name": "_state_name", "airport_state_code": "_state_code",
             "airport_state_population": "_state_population"}

@@ -7,51 +7,40 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast only when a count proves it holds at most this many
-# rows. Lookups here are narrow (a key plus one to three short strings), so
-# the bound keeps a broadcast to roughly 25 MB per executor; real lookups
-# (airports, carriers, states, codes) hold hundreds to a few thousand rows.
-BROADCAST_MAX_ROWS = 250_000
-# ...and only when its measured size is at most this many bytes.
-BROADCAST_MAX_BYTES = 64 * 1024 * 1024
-
-
-def fits(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes.
-
-    Rows first: ``select().offset(max_rows).isEmpty()`` plans an incremental
-    take over a zero-column scan that stops as soon as row ``max_rows + 1``
-    exists, so it is cheap on a huge table. (``limit(n).count()`` would make
-    every scan task ship up to ``n`` rows into a single-partition shuffle.)
-    Only then, with the rows known to be few, their size is summed exactly
-    (text length of every value), so a few wide rows cannot slip through.
-    """
-    rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
-    limit = BROADCAST_MAX_BYTES if max_bytes is None else max_bytes
-    if not df.select().offset(rows).isEmpty():
-        return False
-    if not df.columns:
-        return True
-    size = df.agg(F.sum(sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0))
-                             for c in df.columns), F.lit(0)))).first()[0]
-    return (size or 0) <= limit
+# A side is broadcast only when the files behind it hold at most this many
+# bytes. Lookups here are narrow (a key plus one to three short strings);
+# Parquet and CSV grow a few times in memory, so the bound keeps a broadcast
+# to some 64 MB per executor.
+BROADCAST_MAX_FILE_BYTES = 16 * 1024 * 1024
+
+
+def source_bytes(df: DataFrame) -> int:
+    """Bytes of all sources behind ``df``, from file metadata: the leaves of
+    its optimized plan. No job runs. Unlike the plan's own estimate, which
+    multiplies the sides of a join, it bounds a lookup joined to lookups on
+    unique keys (repeated keys are caught by the cardinality guard)."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
+def fits(df: DataFrame, max_bytes: int | None = None) -> bool:
+    """True when the sources behind ``df`` are small enough to broadcast it."""
+    return source_bytes(df) <= (BROADCAST_MAX_FILE_BYTES if max_bytes is None else max_bytes)
 
 
-def sized_broadcast(df: DataFrame, max_rows: int | None = None,
-                    known_small: bool | None = None) -> DataFrame:
-    """Hint a broadcast only for a side whose row count is checked.
+def sized_broadcast(df: DataFrame, known_small: bool | None = None) -> DataFrame:
+    """Hint a broadcast only for a side whose size is checked.
 
     Beyond the bound the side is returned unhinted: the planner uses a
     shuffle join, and AQE may still switch to broadcast from runtime sizes
     or split skewed partitions.
     """
-    small = fits(df, max_rows) if known_small is None else known_small
+    small = fits(df) if known_small is None else known_small
     return F.broadcast(df) if small else df
 
 
 def lookup_join(fact: DataFrame, lookup: DataFrame, left_on: str, right_on: str,
                 columns: dict[str, str], how: str = "left",
-                max_rows: int | None = None,
                 known_small: bool | None = None) -> DataFrame:
     """Join ``fact`` to a lookup and append ``columns`` (source -> new name).
 
@@ -62,7 +51,7 @@ def lookup_join(fact: DataFrame, lookup: DataFrame, left_on: str, right_on: str,
     key = f"__lk_{right_on}"
     side = lookup.select(F.col(right_on).alias(key),
                          *[F.col(src).alias(dst) for src, dst in columns.items()])
-    side = sized_broadcast(side, max_rows, known_small)
+    side = sized_broadcast(side, known_small)
     return fact.join(side, fact[left_on] == side[key], how).drop(key)
 
 
@@ -86,4 +75,4 @@ def assert_same_count(before: int, after: int, what: str = "join") -> None:
     """Join cardinality guard: a lookup join must neither add nor lose rows."""
     if before != after:
         raise AssertionError(
-            f"Row count mismatch after {what}. Expected {before:,}. Found {after:,}")
+            f"{what} changed the number of rows: {before:,} went in, {after:,} came out")

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from flightlake.operators.joins import sized_broadcast
 
+# Duplicate candidates (8-byte hashes) that may be broadcast.
+BROADCAST_MAX_HASHES = 250_000
 LAT_RANGE = (-90.0, 90.0)
 LON_RANGE = (-180.0, 180.0)
 
@@ -81,10 +83,7 @@ def duplicate_groups(df: DataFrame, cols: Sequence[str] | None = None,
     n_cand = cand.count()
     if n_cand == 0:
         return keyed.select(*by, F.lit(0).cast("bigint").alias("copies")).limit(0)
-    from flightlake.operators import joins
-
-    hits = keyed.join(sized_broadcast(cand, known_small=n_cand <= joins.BROADCAST_MAX_ROWS),
-                      "__h", "left_semi")
+    hits = keyed.join(sized_broadcast(cand, known_small=n_cand <= BROADCAST_MAX_HASHES), "__h", "left_semi")
     full = by + [c for c in cols if c != group]
     return (hits.groupBy(*full).agg(F.count(F.lit(1)).alias("copies"))
             .where("copies > 1").select(*out_cols))
@@ -110,19 +109,17 @@ def null_profile_long(df: DataFrame, cols: Sequence[str] | None = None) -> DataF
 
 def _first_failure(m: dict, null_cols: Sequence[str], dup: int, where: str) -> tuple[str, str] | None:
     if m["rows"] == 0:
-        return "empty", f"Empty table{where}"
+        return "empty", f"no rows to check{where}"
     if m.get("latitude_out_of_range"):
-        return "latitude", (f"{m['latitude_out_of_range']:,} latitudes outside "
-                            f"[-90, 90] degrees{where}")
+        return "latitude", f"latitude rule (-90 to 90): {m['latitude_out_of_range']:,} rows break it{where}"
     if m.get("longitude_out_of_range"):
-        return "longitude", (f"{m['longitude_out_of_range']:,} longitudes outside "
-                             f"[-180, 180] degrees{where}")
+        return "longitude", f"longitude rule (-180 to 180): {m['longitude_out_of_range']:,} rows break it{where}"
     if dup:
-        return "duplicates", f"{dup:,} duplicate rows found{where}"
+        return "duplicates", f"uniqueness rule: {dup:,} surplus copies of rows{where}"
     nulls = {c: m[f"null_{c}"] for c in null_cols if m[f"null_{c}"]}
     if nulls:
         listed = ", ".join(f"{c}={n:,}" for c, n in nulls.items())
-        return "nulls", f"Null values detected{where}: {listed}"
+        return "nulls", f"required columns with NULLs{where}: {listed}"
     return None
 
 
@@ -143,7 +140,7 @@ def check_airports(airports: DataFrame) -> DataFrame:
 def check_population(population: DataFrame) -> DataFrame:
     """No negative population."""
     if not population.where(F.col("population") < 0).isEmpty():
-        raise DataQualityError("negative_population", "Negative population values found")
+        raise DataQualityError("negative_population", "population rule (0 or more): some rows are below 0")
     return population
 
 
@@ -170,7 +167,7 @@ def check_flights(flights: DataFrame, key: str = "year_month",
     required = list(required or FLIGHT_REQUIRED)
     rows = flight_metrics(flights, key, required).orderBy(F.asc_nulls_first(key)).collect()
     if not rows:
-        raise DataQualityError("empty", "Empty table: no month partitions")
+        raise DataQualityError("empty", "no rows to check: no month partitions")
     for r in rows:
         m = r.asDict()
         fail = _first_failure(m, required, m["surplus_rows"], f" in {m[key]} partition")

@@ -14,8 +14,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from flightlake.operators.joins import fits
+from flightlake.operators.joins import sized_broadcast
 
 # Fixed values of the fixture lookups (status code -> text).
 CANCELLATION_CODES = [(0, "Not Cancelled"), (1, "Reason 1"), (2, "Reason 2")]
@@ -26,8 +27,15 @@ REGION_WITHOUT_POPULATION = "ASIA"
 MARKETING_BRANDS = 30
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One driver table; its schema is read from the file footer once per path."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _s(c: Column) -> Column:
@@ -49,20 +57,20 @@ def raw_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
 
-    # nation is 25 rows by definition; other dimensions are size-checked.
-    dest_nation = F.broadcast(nation.select(F.col("n_nationkey").alias("c_nationkey"),
+    # every side is broadcast behind a check of its files
+    dest_nation = sized_broadcast(nation.select(F.col("n_nationkey").alias("c_nationkey"),
                                             F.col("n_name").alias("dest_name")))
-    orig_nation = F.broadcast(nation.select(F.col("n_nationkey").alias("s_nationkey"),
+    orig_nation = sized_broadcast(nation.select(F.col("n_nationkey").alias("s_nationkey"),
                                             F.col("n_name").alias("origin_name")))
     cust = customer.join(dest_nation, "c_nationkey")
-    cust = F.broadcast(cust) if fits(customer) else cust
+    cust = sized_broadcast(cust)
     dest = orders.join(cust, orders.o_custkey == cust.c_custkey).select(
         F.col("o_orderkey"), "dest_name", F.col("c_nationkey").alias("dest_key"), "c_mktsegment")
-    dest = F.broadcast(dest) if fits(orders) else dest
+    dest = sized_broadcast(dest)
     orig = supplier.join(orig_nation, "s_nationkey").select(
         "s_suppkey", "origin_name", F.col("s_nationkey").alias("origin_key"))
-    orig = F.broadcast(orig) if fits(supplier) else orig
-    part = F.broadcast(part) if fits(part) else part
+    orig = sized_broadcast(orig)
+    part = sized_broadcast(part)
 
     f = (li.join(dest, li.l_orderkey == dest.o_orderkey)
            .join(orig, li.l_suppkey == orig.s_suppkey)
@@ -124,7 +132,7 @@ def raw_airports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Airports: one per nation, located in its region (the 'state')."""
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
-    j = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
+    j = nation.join(sized_broadcast(region), nation.n_regionkey == region.r_regionkey)
     return j.select(
         F.col("n_name").alias("AIRPORT"),
         F.concat(F.col("n_name"), F.lit(" City")).alias("DISPLAY_AIRPORT_CITY_NAME_FULL"),
@@ -143,12 +151,18 @@ def raw_carriers(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.concat(F.lit("Carrier "), F.col("p_brand")).alias("DESCRIPTION"))
 
 
+def _literal_rows(spark: SparkSession, rows: list[tuple[int, str]], key: str, value: str) -> DataFrame:
+    """A few code rows as a plan literal, so that the planner knows their size."""
+    entries = [F.struct(F.lit(k).cast("bigint").alias(key), F.lit(v).alias(value)) for k, v in rows]
+    return spark.range(1).select(F.inline(F.array(*entries)))
+
+
 def raw_cancellation_codes(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(CANCELLATION_CODES, "STATUS bigint, CANCELLATION_REASON string")
+    return _literal_rows(spark, CANCELLATION_CODES, "STATUS", "CANCELLATION_REASON")
 
 
 def raw_weather_codes(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(WEATHER_CODES, "STATUS bigint, WEATHER_DESCRIPTION string")
+    return _literal_rows(spark, WEATHER_CODES, "STATUS", "WEATHER_DESCRIPTION")
 
 
 def population_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,9 +175,9 @@ def population_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     region = table(spark, sf_dir, "region")
     per_nation = customer.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n"))
-    per_region = (per_nation.join(F.broadcast(nation), per_nation.c_nationkey == nation.n_nationkey)
+    per_region = (per_nation.join(sized_broadcast(nation), per_nation.c_nationkey == nation.n_nationkey)
                   .groupBy("n_regionkey").agg(F.sum("n").alias("pop")))
-    j = (per_region.join(F.broadcast(region), per_region.n_regionkey == region.r_regionkey)
+    j = (per_region.join(sized_broadcast(region), per_region.n_regionkey == region.r_regionkey)
          .where(F.col("r_name") != REGION_WITHOUT_POPULATION))
     code = _two(F.col("r_regionkey"))
     return j.select(

@@ -1,10 +1,13 @@
 """Lookup joins, the cardinality guard, and mart edge cases (literal rows)."""
 
 import datetime as dt
+import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from flightlake.operators import marts
+from tests.reference import carrier_daily_direct
 from flightlake.operators.enrich import Lookups, check_cardinality, combine
 from flightlake.operators.joins import lookup_join
 
@@ -58,7 +61,7 @@ def test_combine_left_joins_keep_rows(spark):
 def test_cardinality_guard_fails_on_fan_out(spark):
     f = flights(spark)
     lk = lookups(spark, carriers=[("OP", "Op Air"), ("OP", "Op Air 2"), ("MK", "Mk Air")])
-    with pytest.raises(AssertionError, match="Row count mismatch"):
+    with pytest.raises(AssertionError, match="changed the number of rows"):
         check_cardinality(f, combine(f, lk))
 
 
@@ -123,16 +126,23 @@ def test_histogram_median_equals_builtin(spark):
                                      "air_time bigint, distance bigint, origin string, destination string, "
                                      "mkt_unique_carrier string, cancelled bigint, active_weather bigint")
     a = marts.carrier_daily(df, sort=False)
-    b = marts.carrier_daily_direct(df).select(*a.columns)
+    b = carrier_daily_direct(df).select(*a.columns)
     assert a.count() == b.count() == 6
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     assert a.where(F.col("op_unique_carrier") == "C5").first()["median_distance"] is None
 
 
-def test_fits_checks_rows_and_bytes(spark):
-    from flightlake.operators.joins import fits
-
-    df = spark.createDataFrame([("a" * 1000,), ("b" * 1000,)], "s string")
-    assert fits(df, max_rows=2, max_bytes=4000)
-    assert not fits(df, max_rows=1, max_bytes=4000)       # too many rows
-    assert not fits(df, max_rows=2, max_bytes=1500)       # few but wide rows
+def test_fits_reads_file_sizes_without_a_job(spark, tmp_out):
+    from flightlake.operators.joins import fits, source_bytes
+
+    path = os.path.join(tmp_out, "side")
+    spark.range(1000).withColumn("s", F.col("id").cast("string")).coalesce(1).write.parquet(path)
+    schema = spark.read.parquet(path).schema
+    spark.sparkContext.setJobGroup("size-check", "size-check")
+    df = spark.read.schema(schema).parquet(path)
+    joined = df.join(df.withColumnRenamed("s", "t"), "id").groupBy("t").count()
+    size = source_bytes(df)
+    assert 1000 < size < 100_000 and size <= source_bytes(joined) <= 2 * size
+    assert fits(df, size) and not fits(df, size - 1)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("size-check")
+    spark.sparkContext.setJobGroup("other", "other")

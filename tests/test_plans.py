@@ -51,7 +51,7 @@ def test_combine_never_shuffles_the_fact(spark, tmp_out):
 def test_lookups_beyond_bound_fall_back_to_shuffle_joins(spark, tmp_out, monkeypatch):
     t, fl = layer(spark, tmp_out)
     expected = combine(fl, t.lookups)
-    monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", 2)
+    monkeypatch.setattr(joins, "BROADCAST_MAX_FILE_BYTES", 2)
     prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -84,3 +84,18 @@ def test_top_n_per_month_is_limited_before_the_window(spark):
 
     p = plan(busiest_airports(flows.combined(spark, SF_SMALL)))
     assert "WindowGroupLimit" in p
+
+
+def test_building_the_combined_query_starts_no_job(spark):
+    flows.combined(spark, SF_SMALL)                       # reads each file's schema once
+    sc = spark.sparkContext
+    sc.setJobGroup("build-only", "build-only")
+    flows.combined(spark, SF_SMALL)
+    marts.carrier_daily(flows.combined(spark, SF_SMALL))
+    assert not sc.statusTracker().getJobIdsForGroup("build-only")
+    sc.setJobGroup("other", "other")
+
+
+def test_carrier_mart_has_no_window(spark):
+    p = plan(marts.carrier_daily(flows.combined(spark, SF_SMALL)))
+    assert "Window" not in p and "percentile" in p
