@@ -16,14 +16,20 @@ from flightlake.functions.columns import zero_pad
 from flightlake.operators import analytics, marts, quality
 from flightlake.operators.enrich import combine, guarded_counts
 from flightlake.operators.joins import lookup_join
-from flightlake.operators.transform import PARTITION_KEY, transform_population, with_partition_key
+from flightlake.operators.transform import (
+    PARTITION_KEY,
+    transform_airports,
+    transform_flights,
+    transform_population,
+    with_partition_key,
+)
 from flightlake.plans import flows
-from flightlake.schemas import CARRIER_DAILY, FLIGHT_REQUIRED, FLIGHTS
+from flightlake.schemas import CARRIER_DAILY, FLIGHT_REQUIRED, FLIGHTS, RAW_AIRPORTS, RAW_FLIGHTS
 from flightlake.session import scratch_path
 from flightlake.sinks import upsert as upsert_sink
-from flightlake.sinks.writers import path_bytes, schema_dictionary, write_partitioned
+from flightlake.sinks.writers import schema_dictionary, write_partitioned
 from flightlake.sources import fixtures
-from flightlake.sources.files import read_census_json, read_layer
+from flightlake.sources.files import read_census_json, read_csv_table, read_layer
 from flightlake.streaming.daily_load import run_daily_load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -192,7 +198,7 @@ def partition_year_month_counts(spark, sf_dir):
 def monthly_concat(spark, sf_dir):
     # Two separately landed sets of months, aggregated apart and concatenated.
     c = flows.combined(spark, sf_dir)
-    odd = F.month("fl_date") % 2 == 1
+    odd = F.coalesce(F.month("fl_date") % 2 == 1, F.lit(False))   # rows without a date go with the even months
     return (marts.carrier_daily(c.where(odd), sort=False)
             .unionByName(marts.carrier_daily(c.where(~odd), sort=False)))
 
@@ -207,7 +213,10 @@ def dq_flights_metrics(spark, sf_dir):
 
 @register("dq_airports_metrics")
 def dq_airports_metrics(spark, sf_dir):
-    a = flows.typed(spark, sf_dir).lookups.airports
+    return _profile_with_duplicates(flows.typed(spark, sf_dir).lookups.airports)
+
+
+def _profile_with_duplicates(a):
     prof = quality.profile(a, a.columns)
     dup = quality.duplicate_summary(a)
     # Both sides are single-row aggregates joined on a constant key.
@@ -223,6 +232,45 @@ def dq_population_metrics(spark, sf_dir):
                  *quality.null_count_exprs(p.columns))
 
 
+def _broken_flights(f):
+    """Flights of four hours broken in one way each, and two of them landed twice."""
+    hour = F.col("dep_hour")
+    return f.withColumns({
+        "latitude": F.when(hour == 1, F.lit(90.5)).otherwise(F.col("latitude")),
+        "longitude": F.when(hour == 2, F.lit(-180.5)).otherwise(F.col("longitude")),
+        "destination": F.when(hour == 3, F.lit(None).cast("string")).otherwise(F.col("destination")),
+        "fl_date": F.when(hour == 4, F.lit(None).cast("date")).otherwise(F.col("fl_date")),
+    }).unionByName(f.where(hour == 5)).unionByName(f.where(hour == 5))
+
+
+@register("dq_flights_violations")
+def dq_flights_violations(spark, sf_dir):
+    f = with_partition_key(_broken_flights(flows.typed(spark, sf_dir).flights))
+    return quality.flight_metrics(f, PARTITION_KEY, FLIGHT_REQUIRED)
+
+
+@register("dq_airports_violations")
+def dq_airports_violations(spark, sf_dir):
+    # Every nation's airport, some of them off the map, nameless, or landed twice.
+    a = flows.typed(spark, sf_dir).lookups.airports
+    code = F.col("airport_state_code")
+    broken = a.withColumns({
+        "latitude": F.when(code == "AF", F.col("latitude") - 100).otherwise(F.col("latitude")),
+        "longitude": F.when(code == "EU", F.col("longitude") + 400).otherwise(F.col("longitude")),
+        "airport_state_name": F.when(code == "AS", F.lit(None).cast("string")).otherwise(F.col("airport_state_name")),
+    }).unionByName(a.where(code == "AM"))
+    return _profile_with_duplicates(broken)
+
+
+@register("dq_population_violations")
+def dq_population_violations(spark, sf_dir):
+    p = transform_population(fixtures.population_records(spark, sf_dir))
+    p = p.withColumn("population", F.when(F.col("name") == "EUROPE", -F.col("population")).otherwise(F.col("population")))
+    return p.agg(F.count(F.lit(1)).alias("rows"),
+                 F.count_if(F.col("population") < 0).cast("bigint").alias("negative_population"),
+                 *quality.null_count_exprs(p.columns))
+
+
 @register("dq_duplicates")
 def dq_duplicates(spark, sf_dir):
     # Seeded copies: the flights of hour 0 are landed twice.
@@ -305,49 +353,61 @@ def census_json_table(spark, sf_dir):
 
 @register("upsert_months")
 def upsert_months(spark, sf_dir):
-    # Initial load carries stale December rows; the new load brings the
-    # December months again, and the upsert must give the full table.
+    # Initial load carries stale December rows and rows without a date; the
+    # new load brings the December months again, some flights in two
+    # versions, and more rows without a date. The later version must stay,
+    # and no undated row may be lost.
     f = flows.typed(spark, sf_dir).flights
     december = F.month("fl_date") == 12
+    undated = F.lit(None).cast("date")
     stale = f.withColumn("dep_delay", F.when(december, F.col("dep_delay") + 1000)
                          .otherwise(F.col("dep_delay")))
+    first = stale.unionByName(f.where("dep_hour = 1").withColumn("fl_date", undated))
+    earlier = f.where(december & (F.col("dep_hour") < 12)).withColumn("dep_delay", F.lit(-1).cast("bigint"))
+    later = f.where(december).unionByName(f.where("dep_hour = 2").withColumn("fl_date", undated))
+    load = (upsert_sink.with_load_order(earlier.withColumn("landed", F.lit(1)), "landed")
+            .unionByName(upsert_sink.with_load_order(later.withColumn("landed", F.lit(2)), "landed")).drop("landed"))
     table = scratch_path(spark, "flights-upsert")
-    upsert_sink.initial_load(stale, table)
-    upsert_sink.upsert_months(spark, table, f.where(december))
+    upsert_sink.initial_load(first, table)
+    upsert_sink.upsert_months(spark, table, load)
     return read_layer(spark, table, FLIGHTS).drop(PARTITION_KEY)
 
 
 @register("stream_daily_load")
 def stream_daily_load(spark, sf_dir):
-    # Land one folder per day, drain it with an availableNow stream that
-    # merges every micro-batch into the month-partitioned table.
+    # Land the flights in two versions, the earlier one first, drain them with
+    # an availableNow stream that merges every micro-batch into the
+    # month-partitioned table; the later version must stay.
     f = flows.typed(spark, sf_dir).flights
     landing = scratch_path(spark, "landing")
-    (f.withColumn("landing_day", F.date_format("fl_date", "yyyy-MM-dd"))
-     .hint("rebalance", "landing_day")
-     .write.mode("overwrite").partitionBy("landing_day").parquet(landing))
+    for version, rows in enumerate((f.where("dep_hour < 6").withColumn("dep_delay", F.lit(-1).cast("bigint")), f)):
+        rows.write.mode("append").parquet(f"{landing}/version={version}")
     table = scratch_path(spark, "flights-streamed")
     run_daily_load(spark, landing, table, FLIGHTS)
-    return upsert_sink.month_counts(spark, table)
+    layer = read_layer(spark, table, FLIGHTS)
+    return layer.groupBy(PARTITION_KEY).agg(F.count(F.lit(1)).alias("rows"), F.sum("dep_delay").alias("delay"))
 
 
 @register("dictionary_export")
 def dictionary_export(spark, sf_dir):
-    # Publish the combined table, read it back, and report the data
-    # dictionary (column -> Spark SQL type) of it and of the three marts
-    # built on the published copy.
-    path = scratch_path(spark, "combined-published")
-    write_partitioned(with_partition_key(flows.combined(spark, sf_dir)), path)
-    published = read_layer(spark, path).drop(PARTITION_KEY)
+    # The data dictionary (column -> Spark SQL type) of the combined table and
+    # the three marts, from their plans, with the rows each column has.
+    combined = flows.combined(spark, sf_dir)
     outputs = {
-        "complete_data": published,
-        "operating_carrier_stats": marts.carrier_daily(published),
-        "departure_airport_stats": marts.departure_airport(published),
-        "state_stats": marts.state_monthly(published),
+        "complete_data": combined,
+        "operating_carrier_stats": marts.carrier_daily(combined, sort=False),
+        "departure_airport_stats": marts.departure_airport(combined, sort=False),
+        "state_stats": marts.state_monthly(combined, sort=False),
     }
     rows = [(name, col, typ) for name, df in outputs.items()
             for col, typ in schema_dictionary(df).items()]
-    return spark.createDataFrame(rows, "dataset string, column string, data_type string")
+    names = spark.createDataFrame(rows, "dataset string, column string, data_type string")
+    filled = None
+    for name, df in outputs.items():
+        counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns])
+        long = counts.unpivot([], df.columns, "column", "filled_rows").withColumn("dataset", F.lit(name))
+        filled = long if filled is None else filled.unionByName(long)
+    return names.join(filled, ["dataset", "column"]).select("dataset", "column", "data_type", "filled_rows")
 
 
 @register("incremental_refresh")
@@ -374,20 +434,42 @@ def incremental_refresh(spark, sf_dir):
 
 @register("layer_size_audit")
 def layer_size_audit(spark, sf_dir):
-    # Bytes of the raw layer (CSV text) against the typed layer (Parquet).
+    # Rows and columns of the raw layer (CSV text) and the typed layer
+    # (Parquet), both read back (bytes on storage are in Run.sizes).
     raw = fixtures.raw_flights(spark, sf_dir)
     raw_path, typed_path = scratch_path(spark, "raw-csv"), scratch_path(spark, "typed-parquet")
     raw.write.mode("overwrite").option("header", True).csv(raw_path)
-    typed = flows.typed(spark, sf_dir).flights
-    write_partitioned(with_partition_key(typed), typed_path)
-    b_raw, b_typed = path_bytes(spark, raw_path), path_bytes(spark, typed_path)
-    rows = spark.read.parquet(typed_path).agg(F.count(F.lit(1)).alias("rows"))
-    return rows.select(
-        F.lit(b_raw).cast("bigint").alias("raw_bytes"),
-        F.lit(b_typed).cast("bigint").alias("typed_bytes"),
-        F.try_divide(F.lit(b_typed - b_raw).cast("double"), F.lit(b_raw).cast("double"))
-         .alias("relative_change"),
-        "rows")
+    landed = read_csv_table(spark, raw_path, RAW_FLIGHTS)
+    write_partitioned(with_partition_key(transform_flights(landed)), typed_path)
+    layer = read_layer(spark, typed_path, FLIGHTS).drop(PARTITION_KEY)
+    count = F.count(F.lit(1))
+    before = landed.agg(count.alias("raw_rows"), F.lit(len(landed.columns)).cast("bigint").alias("raw_columns"))
+    after = layer.agg(count.alias("typed_rows"), F.lit(len(layer.columns)).cast("bigint").alias("typed_columns"))
+    one = F.lit(1)   # two one-row aggregates side by side
+    return (before.withColumn("__k", one).join(after.withColumn("__k", one), "__k").drop("__k"))
+
+
+@register("flights_typed_reordered")
+def flights_typed_reordered(spark, sf_dir):
+    # The raw file with its columns in another order and some that nobody asked for.
+    raw = fixtures.raw_flights(spark, sf_dir)
+    shuffled = [F.col(f"`{c}`") for c in sorted(raw.columns, reverse=True)]
+    path = scratch_path(spark, "raw-reordered")
+    (raw.select(F.lit("x").alias("REMARK"), *shuffled[:7], F.lit(1).alias("SOURCE ROW"), *shuffled[7:])
+     .write.option("header", True).csv(path))
+    return transform_flights(read_csv_table(spark, path, RAW_FLIGHTS))
+
+
+@register("airports_extra_columns")
+def airports_extra_columns(spark, sf_dir):
+    # Extra airport columns are kept and checked for NULLs like the others.
+    raw = fixtures.raw_inputs(spark, sf_dir).airports
+    path = scratch_path(spark, "airports-extra")
+    code = F.col("AIRPORT_STATE_CODE")
+    (raw.select(F.when(code == "AS", F.lit(None)).otherwise(F.lower(code)).alias("TIME ZONE"), *reversed(raw.columns))
+     .write.option("header", True).csv(path))
+    landed = transform_airports(read_csv_table(spark, path, RAW_AIRPORTS, keep_extra=True))
+    return _profile_with_duplicates(landed.withColumnRenamed("time zone", "time_zone"))
 
 
 def queries() -> dict[str, Query]:

@@ -234,7 +234,9 @@ MONTH_COUNTS = """
 SELECT strftime(fl_date, '%Y_%m') AS year_month, CAST(count(*) AS BIGINT) AS rows
 FROM flights GROUP BY 1"""
 q("partition_month_counts", MONTH_COUNTS)
-q("stream_daily_load", MONTH_COUNTS)
+q("stream_daily_load", """
+SELECT strftime(fl_date, '%Y_%m') AS year_month, CAST(count(*) AS BIGINT) AS rows, CAST(sum(dep_delay) AS BIGINT) AS delay
+FROM flights GROUP BY 1""")
 
 q("partition_year_month_counts", """
 SELECT strftime(fl_date, '%Y') AS year, strftime(fl_date, '%m') AS month, CAST(count(*) AS BIGINT) AS rows
@@ -252,31 +254,58 @@ FROM combined GROUP BY fl_date, op_unique_carrier""")
 
 REQ = ["fl_date", "origin", "destination", "op_unique_carrier", "mkt_unique_carrier"]
 NULLS_REQ = ",\n ".join(f"CAST(count_if({c} IS NULL) AS BIGINT) AS null_{c}" for c in REQ)
-q("dq_flights_metrics", f"""
+
+
+def _flight_metrics(flights: str) -> str:
+    return f"""
 SELECT m.*, CAST(coalesce(d.duplicate_groups, 0) AS BIGINT) AS duplicate_groups,
  CAST(coalesce(d.surplus_rows, 0) AS BIGINT) AS surplus_rows
 FROM (SELECT strftime(fl_date, '%Y_%m') AS year_month, CAST(count(*) AS BIGINT) AS rows,
         CAST(count_if(NOT (latitude BETWEEN -90 AND 90)) AS BIGINT) AS latitude_out_of_range,
         CAST(count_if(NOT (longitude BETWEEN -180 AND 180)) AS BIGINT) AS longitude_out_of_range,
         {NULLS_REQ}
-      FROM flights GROUP BY 1) m
+      FROM {flights} GROUP BY 1) m
 LEFT JOIN (SELECT year_month, count(*) AS duplicate_groups, sum(c - 1) AS surplus_rows
            FROM (SELECT strftime(fl_date, '%Y_%m') AS year_month, c
-                 FROM (SELECT *, count(*) AS c FROM flights GROUP BY ALL HAVING count(*) > 1) x) y
+                 FROM (SELECT *, count(*) AS c FROM {flights} GROUP BY ALL HAVING count(*) > 1) x) y
            GROUP BY year_month) d
-  ON m.year_month IS NOT DISTINCT FROM d.year_month""")
+  ON m.year_month IS NOT DISTINCT FROM d.year_month"""
+
+
+q("dq_flights_metrics", _flight_metrics("flights"))
+BROKEN = """
+(SELECT * REPLACE (CASE WHEN dep_hour = 1 THEN 90.5 ELSE latitude END AS latitude,
+   CASE WHEN dep_hour = 2 THEN -180.5 ELSE longitude END AS longitude,
+   CASE WHEN dep_hour = 3 THEN NULL ELSE destination END AS destination,
+   CASE WHEN dep_hour = 4 THEN NULL ELSE fl_date END AS fl_date) FROM flights
+ UNION ALL SELECT * FROM flights WHERE dep_hour = 5 UNION ALL SELECT * FROM flights WHERE dep_hour = 5)"""
+q("dq_flights_violations", _flight_metrics(BROKEN))
 
 AIRPORT_COLS = ["airport", "airport_state_name", "airport_state_code", "latitude", "longitude"]
-NULLS_AP = ",\n ".join(f"CAST(count_if({c} IS NULL) AS BIGINT) AS null_{c}" for c in AIRPORT_COLS)
-q("dq_airports_metrics", f"""
+
+
+def _airport_metrics(airports: str, columns: list[str]) -> str:
+    nulls = ", ".join(f"CAST(count_if({c} IS NULL) AS BIGINT) AS null_{c}" for c in columns)
+    return f"""
 SELECT m.*, d.duplicate_groups, d.surplus_rows
 FROM (SELECT CAST(count(*) AS BIGINT) AS rows,
         CAST(count_if(NOT (latitude BETWEEN -90 AND 90)) AS BIGINT) AS latitude_out_of_range,
         CAST(count_if(NOT (longitude BETWEEN -180 AND 180)) AS BIGINT) AS longitude_out_of_range,
-        {NULLS_AP}
-      FROM airports) m,
+        {nulls}
+      FROM {airports}) m,
      (SELECT CAST(count(*) AS BIGINT) AS duplicate_groups, CAST(coalesce(sum(c - 1), 0) AS BIGINT) AS surplus_rows
-      FROM (SELECT {", ".join(AIRPORT_COLS)}, count(*) AS c FROM airports GROUP BY ALL HAVING count(*) > 1) x) d""")
+      FROM (SELECT {", ".join(columns)}, count(*) AS c FROM {airports} GROUP BY ALL HAVING count(*) > 1) x) d"""
+
+
+q("dq_airports_metrics", _airport_metrics("airports", AIRPORT_COLS))
+q("dq_airports_violations", _airport_metrics("""
+(SELECT * REPLACE (CASE WHEN airport_state_code = 'AF' THEN latitude - 100 ELSE latitude END AS latitude,
+   CASE WHEN airport_state_code = 'EU' THEN longitude + 400 ELSE longitude END AS longitude,
+   CASE WHEN airport_state_code = 'AS' THEN NULL ELSE airport_state_name END AS airport_state_name) FROM airports
+ UNION ALL SELECT * FROM airports WHERE airport_state_code = 'AM')""", AIRPORT_COLS))
+q("airports_extra_columns", _airport_metrics("""
+(SELECT *, CASE WHEN airport_state_code <> 'AS' THEN lower(airport_state_code) END AS time_zone FROM airports)""",
+                                             [*AIRPORT_COLS, "time_zone"]))
 
 POP_COLS = ["name", "last_update_date", "state", "population"]
 q("dq_population_metrics", f"""
@@ -284,6 +313,11 @@ SELECT CAST(count(*) AS BIGINT) AS rows, CAST(count_if(population < 0) AS BIGINT
  {", ".join(f"CAST(count_if({c} IS NULL) AS BIGINT) AS null_{c}" for c in POP_COLS)}
 FROM population""")
 
+q("dq_population_violations", f"""
+SELECT CAST(count(*) AS BIGINT) AS rows, CAST(count_if(population < 0) AS BIGINT) AS negative_population,
+ {", ".join(f"CAST(count_if({c} IS NULL) AS BIGINT) AS null_{c}" for c in POP_COLS)}
+FROM (SELECT * REPLACE (CASE WHEN name = 'EUROPE' THEN -population ELSE population END AS population) FROM population)""")
+
 q("dq_duplicates", """
 SELECT year_month, CAST(count(*) AS BIGINT) AS duplicate_groups, CAST(sum(c - 1) AS BIGINT) AS surplus_rows
 FROM (SELECT *, count(*) AS c
@@ -393,15 +427,23 @@ SELECT origin_state_name, departures, airports, population,
    AS airports_per_thousand_inhabitants
 FROM states""")
 
-q("upsert_months", "SELECT * FROM flights")
+q("upsert_months", """
+SELECT * FROM flights
+UNION ALL SELECT * REPLACE (CAST(NULL AS DATE) AS fl_date) FROM flights WHERE dep_hour IN (1, 2)""")
+q("flights_typed_reordered", "SELECT * FROM flights")
+q("layer_size_audit", """
+SELECT CAST(count(*) AS BIGINT) AS raw_rows, CAST(40 AS BIGINT) AS raw_columns,
+ CAST(count(*) AS BIGINT) AS typed_rows, CAST(40 AS BIGINT) AS typed_columns
+FROM flights""")
 
 
 # Data dictionary: DuckDB type names spelled the way Spark prints them.
 SPARK_TYPE = ("CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' "
               "ELSE lower(column_type) END")
 _Q["dictionary_export"] = "\nUNION ALL\n".join(
-    f"SELECT '{ds}' AS dataset, column_name AS \"column\", {SPARK_TYPE} AS data_type "
-    f"FROM (DESCRIBE {_Q[key]})"
+    f"SELECT '{ds}' AS dataset, d.column_name AS \"column\", {SPARK_TYPE} AS data_type, c.filled_rows "
+    f"FROM (DESCRIBE {_Q[key]}) d JOIN (UNPIVOT (SELECT CAST(count(COLUMNS(*)) AS BIGINT) FROM ({_Q[key]})) "
+    f"ON * INTO NAME column_name VALUE filled_rows) c USING (column_name)"
     for ds, key in [("complete_data", "combined_wide"), ("operating_carrier_stats", "carrier_daily"),
                     ("departure_airport_stats", "departure_airport"), ("state_stats", "state_monthly")])
 
