@@ -42,7 +42,22 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _SCRATCH.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``written`` returned, once all that was computed from them is written too."""
+    for df in tables:
+        if df._scratch in _SCRATCH:
+            _SCRATCH.remove(df._scratch)
+            _delete(df.sparkSession, df._scratch)
+
+
+def _delete(spark: SparkSession, where: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(where)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 _SCRATCH: list[str] = []
@@ -50,10 +65,8 @@ _SCRATCH: list[str] = []
 
 def release(spark: SparkSession) -> None:
     """Delete the scratch tables of this application (once their results have been written)."""
-    jvm = spark.sparkContext._jvm
     while _SCRATCH:
-        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(spark, _SCRATCH.pop())
 
 
 def ship(spark: SparkSession) -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, written
 
 
 def components(edges: DataFrame, rounds: int = 200) -> DataFrame:
@@ -20,6 +20,7 @@ def components(edges: DataFrame, rounds: int = 200) -> DataFrame:
     both = written(spark, pairs.union(pairs.select("b", "a")).distinct(), "edges")
     labels = written(spark, both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least"))
                      .select("node", F.least("node", "least").alias("label")), "labels")
+    table = labels
     for _ in range(rounds):
         near = both.join(labels.withColumnRenamed("node", "b"), "b").select(F.col("a").alias("node"), "label", F.lit(None).alias("was"))
         own = labels.select("node", "label", F.col("label").alias("was"))
@@ -27,9 +28,11 @@ def components(edges: DataFrame, rounds: int = 200) -> DataFrame:
         jump = labels.select(F.col("node").alias("label"), F.col("label").alias("further"))
         after = written(spark, spread.join(jump, "label", "left").select(
             "node", F.least("label", "further").alias("label"), "was"), "labels")
-        labels = after.select("node", "label")
+        discard(table)
+        table, labels = after, after.select("node", "label")
         if after.where("label <> was").isEmpty():
             break
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
+    discard(both)
     return labels

@@ -34,14 +34,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import hashing
-from .common import columns, ship, written
+from .common import columns, discard, ship, written
 from .graph import components
 
 SHINGLE = 5
 THRESHOLD = (75, 100)
 WIDTH = 128
 TREES = 10
-LEAF = 64
+LEAF = 256
 DEPTH = 6
 PIVOTS = 3
 SLACK = 4 * (0.75 * 0.25 / WIDTH) ** 0.5
@@ -117,17 +117,17 @@ def _tags(paths: np.ndarray, what: int) -> np.ndarray:
 
 
 def _branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Children of every row (path, node, sketch): ``(path, node)``."""
+    """Children of every row (path, id, sketch): ``(path, id)``."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        path, node, sk = batch.column(0).to_numpy().view(np.uint64), batch.column(1), _matrix(batch.column(2))
+        path, name, sk = batch.column(0).to_numpy().view(np.uint64), batch.column(1), _matrix(batch.column(2))
         rows = np.arange(batch.num_rows)
         first, second, both = _choices(path)
         for c, some in ((first, rows), (second[both], rows[both])):
             value = sk[some, c].astype(np.uint64) + (c.astype(np.uint64) << np.uint64(16))
             child = hashing.mix(_tags(path[some], 4) + value * np.uint64(0xD6E8FEB86659FD93))
-            yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), node.take(pa.array(some))], names=["path", "node"])
+            yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), name.take(pa.array(some))], names=["path", "id"])
 
 
 def _agree(sk: np.ndarray, n: np.ndarray, i: np.ndarray, j: np.ndarray, part: float) -> np.ndarray:
@@ -204,8 +204,7 @@ def _lookup(docs: DataFrame, reps: DataFrame, pairs: DataFrame, size: int) -> Da
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     ids = written(spark, reps.join(wanted, "node", "left_semi").select("doc_id", "node"), "wanted")
     side = ids.select("doc_id").distinct()
-    if not side.offset(BROADCAST_IDS).limit(1).collect():
-        side = F.broadcast(side)
+    side = F.broadcast(side) if side.count() <= BROADCAST_IDS else side
     texts = docs.join(side, docs["doc_id"].eqNullSafe(side["doc_id"]), "left_semi")
 
     def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,7 +215,9 @@ def _lookup(docs: DataFrame, reps: DataFrame, pairs: DataFrame, size: int) -> Da
                  pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "items"])
 
     found = texts.mapInArrow(full, "node binary, items binary").join(ids.select("node"), "node", "left_semi")
-    return written(spark, found.groupBy("node").agg(F.first("items").alias("items")), "sets")
+    sets = written(spark, found.groupBy("node").agg(F.first("items").alias("items")), "sets")
+    discard(ids)
+    return sets
 
 
 def _confirm(docs: DataFrame, reps: DataFrame, pairs: DataFrame, size: int, threshold: tuple[int, int]) -> DataFrame:
@@ -238,7 +239,9 @@ def _confirm(docs: DataFrame, reps: DataFrame, pairs: DataFrame, size: int, thre
 
     rows = pairs.join(sets.select(F.col("node").alias("b"), F.col("items").alias("t")), "b")
     rows = rows.join(sets.select(F.col("node").alias("a"), F.col("items").alias("s")), "a").select("a", "b", "s", "t")
-    return written(spark, rows.mapInArrow(check, "a binary, b binary"), "links")
+    links = written(spark, rows.mapInArrow(check, "a binary, b binary"), "links")
+    discard(pairs, sets)
+    return links
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
@@ -254,14 +257,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reps = written(spark, rows.where("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("n", "sketch", "paths")]), "nodes")
 
-    edges, candidates = [], []
+    edges, candidates, scratch = [], [], []
     labels = None
-    frontier = reps.select(F.explode("paths").alias("path"), "node")
+    # tree nodes hold short ids of sets; should two sets share one, both are compared, which costs only time
+    short = reps.select(F.xxhash64("node").alias("id"), "node", "n", "sketch")
+    frontier = reps.select(F.explode("paths").alias("path"), F.xxhash64("node").alias("id"))
     for level in range(depth):
         sizes = frontier.groupBy("path").agg(F.count("*").alias("size")).where("size > 1")
-        held = frontier.join(sizes, "path").join(reps.select("node", "n", "sketch"), "node")
+        held = frontier.join(sizes, "path").join(short, "id").drop("id")
         held = held.withColumn("label", F.col("node")) if labels is None else _labelled(held, labels)
         held = written(spark, held, "level")
+        scratch.append(held)
         candidates.append(_in_groups(held.where(F.col("size") <= leaf).withColumnRenamed("path", "group"), part, labels is not None))
         large = held.where(F.col("size") > leaf)
         if large.isEmpty():
@@ -270,20 +276,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             edges.append(_confirm(texts, reps, _ordered(_stars(large, part)), shingle, threshold))
             labels = components(edges[0])
             large = written(spark, _labelled(large.drop("label"), labels), "large")
+            scratch.append(large)
         of_label = large.groupBy("path", "label").agg(F.count("*").alias("own"))
         main = of_label.groupBy("path").agg(F.max(F.struct("own", "label")).alias("main"))
         main = main.select("path", F.col("main.label").alias("main"), F.col("main.own").alias("own"))
         large = large.join(main, "path").withColumn("others", F.col("size") - F.col("own")).where("others > 0")
         large = written(spark, large, "mixed")
+        scratch.append(large)
         candidates.append(_against_others(large.where(F.col("others") <= leaf), part, leaf))
         large = large.where(F.col("others") > leaf)
         if large.isEmpty():
             break
         if level == depth - 1:
             candidates.append(_in_blocks(large, part, leaf))
-        frontier = large.select("path", "node", "sketch").mapInArrow(_branch, "path long, node binary")
+        frontier = large.select("path", F.xxhash64("node").alias("id"), "sketch").mapInArrow(_branch, "path long, id long")
 
     edges.append(_confirm(texts, reps, _ordered(_union(candidates)), shingle, threshold))
+    discard(*scratch)
     found = components(_union(edges))
     named = reps.select("node", "doc_id").join(found, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
@@ -302,8 +311,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_key"))
 
     def without(rows: DataFrame, keys: DataFrame) -> DataFrame:
-        some = not keys.offset(BROADCAST_IDS).limit(1).collect()
-        keys = F.broadcast(keys) if some else keys
+        keys = F.broadcast(keys) if keys.count() <= BROADCAST_IDS else keys
         return rows.join(keys, rows["doc_id"].eqNullSafe(keys["doc_id"]) & (rows["text_key"] == keys["text_key"]), "left_anti")
 
     gone = classes.where(~F.col("kept")).select("doc_id", "text_key").distinct()
