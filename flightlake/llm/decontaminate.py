@@ -7,7 +7,7 @@ meet again, so few edits mean a small Hamming distance of what is written. A sam
 few steps of one walk; equal samples propose a candidate. ``WALKS`` random walks with ``SAMPLES``
 functions each are the repetitions that reach the target recall.
 
-Windows have the size of the shortest item of a size class (items of 9 words or more, shorter ones).
+Windows have a size fit for the shortest item of a size class (``WINDOWS``: least words of an item, words of a window).
 Every window of an item and every window of a document goes in, so a long item has as many chances as
 it has windows. Item keys are looked up while the document's walk goes on: a window whose samples so far
 fit no item ends there. A candidate names an item and the place in the document where it would start;
@@ -36,8 +36,8 @@ from . import hashing
 from .common import columns, ship
 
 EDITS = 0.25
-#: Words of a window, by size class of items.
-WINDOWS = (9, 6)
+#: Size classes: least words of an item, words of a window.
+WINDOWS = ((12, 9), (6, 5))
 LEAST_WORDS = 6
 WALKS, SAMPLES, STEPS_KEPT = 4, 3, 6
 BLOCK_ITEMS = 20_000
@@ -47,7 +47,7 @@ _BITMAP_BITS = 20
 SCHEMA = "doc_id long, item_id long, edits int, item_words int, first_word long, last_word long"
 
 
-_ODD = np.random.default_rng(4).integers(0, 2**63, (WALKS, 4 * max(WINDOWS)), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_ODD = np.random.default_rng(4).integers(0, 2**63, (WALKS, 4 * max(w for _, w in WINDOWS)), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def _advance(step: int, words: np.ndarray, walk: int) -> np.ndarray:
@@ -133,9 +133,9 @@ def _prefixes(found: dict):
 def build_index(items: list[tuple[int, np.ndarray]]) -> Index:
     """Keys of all windows of the items (id, word hashes)."""
     classes = []
-    for i, window in enumerate(WINDOWS):
-        upper = WINDOWS[i - 1] if i else np.inf
-        own = [k for k, (_, w) in enumerate(items) if max(window, LEAST_WORDS) <= len(w) < upper]
+    for i, (least, window) in enumerate(WINDOWS):
+        upper = WINDOWS[i - 1][0] if i else np.inf
+        own = [k for k, (_, w) in enumerate(items) if max(least, LEAST_WORDS) <= len(w) < upper]
         if not own:
             continue
         plan, seen, whole = _plan(window, 0), {}, {}
@@ -258,7 +258,8 @@ def _found(column: pa.Array, index: Index, unpacked: list) -> Iterator[tuple[int
 def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[Index]:
     """Indexes of the benchmark, ``BLOCK_ITEMS`` items at most in each."""
     items = columns(benchmark, F.col(id_col).cast("long").alias("item_id"), F.col(text_col).cast("binary").alias("text")).where("text is not null")
-    parts = -(-items.count() // (BLOCK_ITEMS // 2)) if items.offset(BLOCK_ITEMS).limit(1).collect() else 1
+    count = items.count()
+    parts = -(-count // (BLOCK_ITEMS // 2)) if count > BLOCK_ITEMS else 1
     for part in range(parts):
         mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part) if parts > 1 else items
         rows = mine.orderBy("item_id", "text").collect()  # a block of the benchmark: bounded by BLOCK_ITEMS

@@ -235,8 +235,7 @@ def mix(docs: DataFrame, labels: DataFrame, domain: Column, targets: dict[str, f
     rated = with_rates(rows, fit_rates(rows, domains, targets, most), most, "_id")
     # only what does not simply stay is looked up; the same id and text have the same rate
     odd = written(spark, rated.where("_copies <> 1").select("_id", "_text_key", "_copies").distinct(), "copies")
-    if not odd.offset(BROADCAST_ROWS).limit(1).collect():
-        odd = F.broadcast(odd)
+    odd = F.broadcast(odd) if odd.count() <= BROADCAST_ROWS else odd
     packed = docs.select(F.struct(*docs.columns).alias("_row"), *key)
     same = packed["_id"].eqNullSafe(odd["_id"]) & (packed["_text_key"] == odd["_text_key"])
     drawn = packed.join(odd, same, "left").select("_row", F.coalesce("_copies", F.lit(1)).alias("_copies")).where("_copies > 0")
