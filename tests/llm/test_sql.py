@@ -1,0 +1,17 @@
+import duckdb
+import pytest
+
+from flightlake.llm.queries import oracle_sql, queries
+
+SMALL = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
+def test_query_equals_its_sql(spark, name):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SMALL}/documents.parquet')")
+    found = queries()[name](spark, SMALL)
+    sql = con.execute(oracle_sql()[name])
+    names = [d[0] for d in sql.description]
+    assert sorted(names) == sorted(found.columns)
+    assert sorted(map(str, sql.fetchall())) == sorted(str(tuple(r)) for r in found.select(*names).collect())
