@@ -4,7 +4,9 @@ A classifier learned from a labelled table gives every document a posterior over
 nonnegative rate per document is then fitted so that the expected tokens of each domain,
 ``sum(rate * tokens * posterior)``, meet the targets: least squares by accelerated projected gradient from
 rate 1 on, so documents of a domain that is short of its target go up and others down. ``most`` also bounds
-rates from above (1: no document is repeated).
+rates from above (1: no document is repeated). ``keep`` names a domain whose sure documents (posterior of
+``SURE`` at least) stay: their rates are 1 or more. Copies are drawn by rate alone, so the tokens of the drawn
+mixture meet the fitted totals on average.
 
 Classifier: one logistic regression per domain over a few document-level features (shares of capitals,
 marks, digits and repeated words; how many words of each domain's own vocabulary occur), fitted by Newton
@@ -42,8 +44,8 @@ STEPS = 1000
 ROUNDS, TOLERANCE = 60, 1e-4
 #: Rows of decisions that may be broadcast; beyond it they are shuffled.
 BROADCAST_ROWS = 200_000
-#: Rates this close to a whole number are taken as that number when documents are drawn.
-SNAP = 0.1
+#: Posterior, of the domain that is to be kept, from which on a document stays.
+SURE = 0.9
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 FEATURES = ("capitals", "marks", "digits", "repeats")
 
@@ -154,7 +156,7 @@ def with_posteriors(docs: DataFrame, model: Classifier, text_col: str = "text")
     return rows.withColumn("_p", F.transform("_each", lambda p: F.round(p / whole * STEPS).cast("int"))).drop("_each")
 
 
-def fit_rates(rows: DataFrame, domains: list[str], targets: dict[str, float], most: float | None = None) -> list[list[float]]:
+def fit_rates(rows: DataFrame, domains: list[str], targets: dict[str, float], most: float | None = None, keep: str | None = None) -> list[list[float]]:
     """The steps that lead from rate 1 to the fitted rates: for each a move by domain, and a momentum.
 
     ``targets``: each domain's weight of the mixture. The mixture is as large as it can be with the first
@@ -172,6 +174,7 @@ def fit_rates(rows: DataFrame, domains: list[str], targets: dict[str, float], mo
     wanted = np.array([targets.get(d, 0.0) for d in domains]) * now[base] / max(targets[domains[base]], 1e-9)
     length = 1 / max(float(np.linalg.eigvalsh(gram).max()), 1e-12)
     near = TOLERANCE * max(1.0, float(np.abs(wanted).sum()))
+    sure = domains.index(keep) if keep is not None else None
     steps: list[list[float]] = []
     pace = 1.0
     for _ in range(ROUNDS):
@@ -181,7 +184,7 @@ def fit_rates(rows: DataFrame, domains: list[str], targets: dict[str, float], mo
         after = (1 + np.sqrt(1 + 4 * pace * pace)) / 2
         steps.append([*(length * miss / STEPS).tolist(), float((pace - 1) / after)])
         pace = after
-        rate = summed.select("_p", "_tokens", _rate(steps, most, "ahead").alias("rate"))
+        rate = summed.select("_p", "_tokens", _rate(steps, most, "ahead", sure).alias("rate"))
         then = np.array(list(rate.agg(*[F.sum(F.col("_tokens") * F.col("rate") * p[i]) for i in range(k)]).first()))
         if np.abs(then - now).max() <= near / 10:
             break
@@ -189,13 +192,15 @@ def fit_rates(rows: DataFrame, domains: list[str], targets: dict[str, float], mo
     return steps
 
 
-def _rate(steps: list[list[float]], most: float | None = None, which: str = "rate") -> Column:
-    """The fitted rate of a row with posterior ``_p``: all steps in turn. ``ahead``: where the next gradient is taken."""
+def _rate(steps: list[list[float]], most: float | None = None, which: str = "rate", sure: int | None = None) -> Column:
+    """The fitted rate of a row with posterior ``_p``: all steps in turn. ``ahead``: where the next gradient is taken.
+    ``sure``: the place of the domain that is kept."""
     if not steps:
         return F.lit(1.0)
+    least = F.lit(0.0) if sure is None else F.when(F.col("_p")[sure] >= SURE * STEPS, 1.0).otherwise(0.0)
 
     def one(state: Column, step: Column) -> Column:
-        down = F.greatest(F.lit(0.0), state["ahead"] - _dot(step, F.concat(F.col("_p").cast("array<double>"), F.array(F.lit(0.0)))))
+        down = F.greatest(least, state["ahead"] - _dot(step, F.concat(F.col("_p").cast("array<double>"), F.array(F.lit(0.0)))))
         down = F.least(F.lit(most), down) if most is not None else down
         both = F.transform(F.array(down), lambda r: F.struct(r.alias("rate"), (r + F.element_at(step, -1) * (r - state["rate"])).alias("ahead")))
         return both[0]
@@ -203,36 +208,34 @@ def _rate(steps: list[list[float]], most: float | None = None, which: str = "rat
     return F.aggregate(F.lit(steps), F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("ahead")), one)[which]
 
 
-def with_rates(rows: DataFrame, steps: list[list[float]], most: float | None = None, id_col: str = "doc_id") -> DataFrame:
+def with_rates(rows: DataFrame, steps: list[list[float]], most: float | None = None, id_col: str = "doc_id", sure: int | None = None) -> DataFrame:
     """Adds ``_rate`` and ``_copies``: the rate rounded up or down by a hash of the id, so that it holds on average."""
-    rows = rows.withColumn("_rate", F.round(_rate(steps, most), 6))
+    rows = rows.withColumn("_rate", F.round(_rate(steps, most, sure=sure), 6))
     chance = F.pmod(F.xxhash64(F.col(id_col), F.lit("mix")), F.lit(1 << 20)) / F.lit(1 << 20)
-    whole = F.round("_rate")
-    copies = F.when(F.abs(F.col("_rate") - whole) <= SNAP, whole).otherwise(F.floor(F.col("_rate") + chance))
-    return rows.withColumn("_copies", copies.cast("int"))
+    return rows.withColumn("_copies", F.floor(F.col("_rate") + chance).cast("int"))
 
 
 def mixing_rates(docs: DataFrame, labels: DataFrame, domain: Column, targets: dict[str, float], most: float | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_tokens, p_<domain>..., rate, copies`` for every document."""
+    """``doc_id, n_tokens, p_<domain>..., rate, copies`` for every document. The first domain of ``targets`` is kept."""
     spark = docs.sparkSession
     domains = list(targets)
     model = fit_classifier(docs, labels, domain, domains, id_col, text_col)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("_text"))
     rows = written(spark, with_posteriors(rows, model, "_text").select("doc_id", "_tokens", "_p"), "memberships")
-    rows = with_rates(rows, fit_rates(rows, domains, targets, most), most)
+    rows = with_rates(rows, fit_rates(rows, domains, targets, most, domains[0]), most, sure=0)
     return rows.select("doc_id", F.col("_tokens").alias("n_tokens"), *[(F.col("_p")[i] / STEPS).alias(f"p_{d}") for i, d in enumerate(domains)],
                        F.col("_rate").alias("rate"), F.col("_copies").alias("copies"))
 
 
 def mix(docs: DataFrame, labels: DataFrame, domain: Column, targets: dict[str, float], most: float | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, as often as their rate says."""
+    """The rows of ``docs``, all columns, as often as their rate says. The first domain of ``targets`` is kept."""
     spark = docs.sparkSession
     domains = list(targets)
     model = fit_classifier(docs, labels, domain, domains, id_col, text_col)
     key = [F.col(id_col).cast("long").alias("_id"), F.xxhash64(text_col).alias("_text_key")]
     rows = with_posteriors(docs.select(*key, F.col(text_col).alias("_text")), model, "_text")
     rows = written(spark, rows.select("_id", "_text_key", "_tokens", "_p"), "memberships")
-    rated = with_rates(rows, fit_rates(rows, domains, targets, most), most, "_id")
+    rated = with_rates(rows, fit_rates(rows, domains, targets, most, domains[0]), most, "_id", sure=0)
     # only what does not simply stay is looked up; the same id and text have the same rate
     odd = written(spark, rated.where("_copies <> 1").select("_id", "_text_key", "_copies").distinct(), "copies")
     odd = F.broadcast(odd) if odd.count() <= BROADCAST_ROWS else odd

@@ -100,6 +100,26 @@ def test_mixing_meets_targets_and_keeps_clean_documents(spark):
     assert clean.join(kept, "doc_id", "left_semi").count() >= 0.95 * clean.count()
 
 
+def labelled_posteriors(spark, shares, n=20_000):
+    """Near-certain posteriors of ``n`` documents, in domains of the given shares."""
+    rng = np.random.default_rng(5)
+    tokens = rng.integers(50, 500, n)
+    kinds = rng.choice(len(shares), n, p=shares)
+    kinds[:len(shares)] = range(len(shares))
+    rows = [(i, int(t), [mixing.STEPS if j == k else 0 for j in range(len(shares))]) for i, (t, k) in enumerate(zip(tokens, kinds))]
+    return spark.createDataFrame(rows, "doc_id long, _tokens long, _p array<int>")
+
+
+@pytest.mark.parametrize("most", [None, 1.0])
+def test_tokens_of_the_copies_meet_the_targets(spark, most):
+    rows = labelled_posteriors(spark, [0.76, 0.12, 0.12])
+    drawn = mixing.with_rates(rows, mixing.fit_rates(rows, list(MIXTURE), MIXTURE, most, "clean"), most, sure=0)
+    totals = drawn.agg(*[F.sum(F.col("_tokens") * F.col("_copies") * F.col("_p")[i]) / mixing.STEPS for i in range(3)]).first()
+    wanted = np.array(list(MIXTURE.values())) * rows.agg(F.sum(F.col("_tokens") * F.col("_p")[0])).first()[0] / mixing.STEPS / MIXTURE["clean"]
+    assert np.abs(np.array(totals) / wanted - 1).max() <= 0.2
+    assert drawn.where(f"_p[0] >= {mixing.SURE * mixing.STEPS} AND _copies < 1").count() == 0
+
+
 def test_mixing_odd_rows(spark, odd, docs_of):
     labels = spark.createDataFrame([(1, 1, 0), (2, None, None), (None, 0, 1)], "doc_id long, quality int, toxic int")
     rows = mixing.mixing_rates(odd, labels, domain(), MIXTURE).collect()
