@@ -15,7 +15,10 @@ of the id first). The vocabularies hold the ``VOCABULARY`` most telling words of
 
 Fit of the rates: all documents count. Posteriors are rounded to ``1 / STEPS``, and a document's rate
 depends on its posterior alone, so documents are first summed up by posterior; each gradient step is then an
-aggregate over that small table, and only one total per domain reaches the driver.
+aggregate over that small table, and only one total per domain reaches the driver. A domain's miss is
+scaled by the domain's own tokens, so that rare domains move as fast as large ones. The fit ends when
+every target is met, or when rates stand still: the targets left cannot be met within the bounds, and a warning
+says by how much (also after ``ROUNDS`` rounds).
 
 Defined results: null and empty texts have 0 tokens and get the posterior of empty features; null labels and
 null ids teach nothing; without labels all domains are equally likely; a domain without tokens cannot
@@ -25,6 +28,8 @@ other columns are ignored (``mix`` keeps them).
 
 from __future__ import annotations
 
+import json
+import warnings
 from dataclasses import dataclass
 
 import numpy as np
@@ -41,7 +46,8 @@ LEAST_DOCUMENTS = 5
 TELLING = 6.0
 RIDGE, NEWTON = 1e-2, 8
 STEPS = 1000
-ROUNDS, TOLERANCE = 60, 1e-4
+#: A target is met within this part of itself; the fit stands still if no domain moves by this part of its tokens.
+ROUNDS, TOLERANCE, STILL = 400, 1e-4, 1e-5
 #: Rows of decisions that may be broadcast; beyond it they are shuffled.
 BROADCAST_ROWS = 200_000
 #: Posterior, of the domain that is to be kept, from which on a document stays.
@@ -160,52 +166,58 @@ def fit_rates(rows: DataFrame, domains: list[str], targets: dict[str, float], mo
     """The steps that lead from rate 1 to the fitted rates: for each a move by domain, and a momentum.
 
     ``targets``: each domain's weight of the mixture. The mixture is as large as it can be with the first
-    domain of ``targets`` at its present size."""
+    domain of ``targets`` at its present size. Warns of targets that are not met."""
     spark = rows.sparkSession
     summed = written(spark, rows.groupBy("_p").agg(F.sum("_tokens").alias("_tokens")), "posteriors")
     k = len(domains)
     p = [F.col("_p")[i] / STEPS for i in range(k)]
-    first = list(summed.agg(*[F.sum(F.col("_tokens") * p[i]) for i in range(k)],
-                            *[F.sum(F.col("_tokens") * p[i] * p[j]) for i in range(k) for j in range(k)]).first())
+    first = list(summed.agg(*[F.sum(F.col("_tokens") * p[i]) for i in range(k)]).first())
     if first[0] is None:
         return []
-    now, gram = np.array(first[:k]), np.array(first[k:]).reshape(k, k)
+    own = np.array(first)
     base = domains.index(next(iter(targets)))
-    wanted = np.array([targets.get(d, 0.0) for d in domains]) * now[base] / max(targets[domains[base]], 1e-9)
-    length = 1 / max(float(np.linalg.eigvalsh(gram).max()), 1e-12)
-    near = TOLERANCE * max(1.0, float(np.abs(wanted).sum()))
+    wanted = np.array([targets.get(d, 0.0) for d in domains]) * own[base] / max(targets[domains[base]], 1e-9)
+    there = own > 0
+    scale = np.where(there, own, np.inf)
+    near = np.where(there, TOLERANCE * np.where(wanted > 0, wanted, own), np.inf)
     sure = domains.index(keep) if keep is not None else None
+    totals = [F.sum(F.col("_tokens") * c * p[i]) for c in (F.col("s.rate"), F.abs(F.col("s.rate") - F.col("s.was"))) for i in range(k)]
     steps: list[list[float]] = []
-    pace = 1.0
-    for _ in range(ROUNDS):
-        miss = now - wanted
-        if np.abs(miss).max() <= near:
-            break
+    now = ahead = own
+    pace, last, still = 1.0, np.inf, False
+    while (np.abs(now - wanted) > near).any() and not still and len(steps) < ROUNDS:
+        # posteriors sum to 1, so in this scale the largest curvature is 1, and so is the step's length
+        steps.append([*((ahead - wanted) / scale / STEPS).tolist(), 0.0])
+        state = _state(steps, most, sure)
+        sums = list(summed.select("_p", "_tokens", state.alias("s")).agg(*totals).first())
+        then, moved = np.array(sums[:k]), np.array(sums[k:])
+        still = bool((moved / scale).max() <= STILL)
+        loss = float(((then - wanted) ** 2 / scale).sum())
+        pace = 1.0 if loss > last else pace  # momentum that leads away is dropped
         after = (1 + np.sqrt(1 + 4 * pace * pace)) / 2
-        steps.append([*(length * miss / STEPS).tolist(), float((pace - 1) / after)])
-        pace = after
-        rate = summed.select("_p", "_tokens", _rate(steps, most, "ahead", sure).alias("rate"))
-        then = np.array(list(rate.agg(*[F.sum(F.col("_tokens") * F.col("rate") * p[i]) for i in range(k)]).first()))
-        if np.abs(then - now).max() <= near / 10:
-            break
-        now = then
+        steps[-1][-1] = float((pace - 1) / after)
+        ahead = then + steps[-1][-1] * (then - now)
+        now, pace, last = then, after, loss
+    missed = np.flatnonzero(there & (np.abs(now - wanted) > near))
+    if len(missed):
+        why = "out of reach of the bounds (rates stand still)" if still else f"not met in {ROUNDS} rounds"
+        warnings.warn(f"mixing targets {why}: " + ", ".join(f"{domains[i]} {now[i]:.6g} tokens for {wanted[i]:.6g}" for i in missed), RuntimeWarning, stacklevel=2)
     return steps
 
 
-def _rate(steps: list[list[float]], most: float | None = None, which: str = "rate", sure: int | None = None) -> Column:
-    """The fitted rate of a row with posterior ``_p``: all steps in turn. ``ahead``: where the next gradient is taken.
-    ``sure``: the place of the domain that is kept."""
-    if not steps:
-        return F.lit(1.0)
-    least = F.lit(0.0) if sure is None else F.when(F.col("_p")[sure] >= SURE * STEPS, 1.0).otherwise(0.0)
+def _rate(steps: list[list[float]], most: float | None = None, sure: int | None = None) -> Column:
+    """The fitted rate of a row with posterior ``_p``: all steps in turn. ``sure``: the place of the domain that is kept."""
+    return _state(steps, most, sure)["rate"] if steps else F.lit(1.0)
 
-    def one(state: Column, step: Column) -> Column:
-        down = F.greatest(least, state["ahead"] - _dot(step, F.concat(F.col("_p").cast("array<double>"), F.array(F.lit(0.0)))))
-        down = F.least(F.lit(most), down) if most is not None else down
-        both = F.transform(F.array(down), lambda r: F.struct(r.alias("rate"), (r + F.element_at(step, -1) * (r - state["rate"])).alias("ahead")))
-        return both[0]
 
-    return F.aggregate(F.lit(steps), F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("ahead")), one)[which]
+def _state(steps: list[list[float]], most: float | None, sure: int | None) -> Column:
+    """After all steps: ``rate``, ``ahead`` (where the next gradient is taken) and ``was`` (where the last one was).
+    As SQL text: a round then costs a few calls to the JVM, and new steps are new data and not new code."""
+    least = "0D" if sure is None else f"IF(_p[{sure}] >= {SURE * STEPS}, 1D, 0D)"
+    down = f"greatest({least}, s.ahead - aggregate(zip_with(x, _p, (a, b) -> IF(b IS NULL, 0D, a * b)), 0D, (t, v) -> t + v))"
+    down = f"least({float(most)}D, {down})" if most is not None else down
+    one = f"transform(array({down}), r -> named_struct('rate', r, 'ahead', r + element_at(x, -1) * (r - s.rate), 'was', s.ahead))[0]"
+    return F.expr(f"aggregate(from_json('{json.dumps(steps)}', 'array<array<double>>'), named_struct('rate', 1D, 'ahead', 1D, 'was', 1D), (s, x) -> {one})")
 
 
 def with_rates(rows: DataFrame, steps: list[list[float]], most: float | None = None, id_col: str = "doc_id", sure: int | None = None) -> DataFrame:

@@ -120,6 +120,22 @@ def test_tokens_of_the_copies_meet_the_targets(spark, most):
     assert drawn.where(f"_p[0] >= {mixing.SURE * mixing.STEPS} AND _copies < 1").count() == 0
 
 
+@pytest.mark.parametrize("shares", [[0.9985, 0.001, 0.0005], [0.9995, 0.0004, 0.0001]])
+def test_rare_domains_meet_their_targets(spark, shares):
+    rows = labelled_posteriors(spark, shares).withColumn("_p", F.transform("_p", lambda x: F.when(x > 0, 998).otherwise(1)))
+    steps = mixing.fit_rates(rows, list(MIXTURE), MIXTURE)
+    rated = rows.withColumn("rate", mixing._rate(steps))
+    now, got = (np.array(rated.agg(*[F.sum(F.col("_tokens") * r * F.col("_p")[i]) for i in range(3)]).first()) for r in (F.lit(1.0), F.col("rate")))
+    wanted = np.array(list(MIXTURE.values())) * now[0] / MIXTURE["clean"]
+    assert np.abs(got / wanted - 1).max() <= 0.001
+
+
+def test_targets_out_of_reach_are_reported(spark):
+    rows = labelled_posteriors(spark, [0.9985, 0.001, 0.0005])
+    with pytest.warns(RuntimeWarning, match="out of reach.*low .* toxic"):
+        mixing.fit_rates(rows, list(MIXTURE), MIXTURE, 1.0)
+
+
 def test_mixing_odd_rows(spark, odd, docs_of):
     labels = spark.createDataFrame([(1, 1, 0), (2, None, None), (None, 0, 1)], "doc_id long, quality int, toxic int")
     rows = mixing.mixing_rates(odd, labels, domain(), MIXTURE).collect()
