@@ -14,6 +14,10 @@ fit no item ends there. A candidate names an item and the place in the document
 there the item's edit distance to the best passage is computed exactly. An item counts as found with at
 most ``EDITS`` of its words edited.
 
+Items of fewer than ``SEEDED`` words have too few windows for that at the limit of edits. They are also cut into
+one run of words more than they may have edits: one run at least is left whole, and its exact match proposes the
+item, so every passage of such an item within the limit is proposed.
+
 The benchmark is the small side: it is read in blocks of at most ``BLOCK_ITEMS`` items, and each block is
 searched in all documents, so nothing grows without bound on the driver or in a broadcast.
 
@@ -39,6 +43,8 @@ EDITS = 0.25
 #: Size classes: least words of an item, words of a window.
 WINDOWS = ((12, 9), (6, 5))
 LEAST_WORDS = 6
+#: Items below this many words are also proposed by exact runs.
+SEEDED = 20
 WALKS, SAMPLES, STEPS_KEPT = 4, 3, 6
 BLOCK_ITEMS = 20_000
 #: Windows that are walked at a time.
@@ -80,6 +86,7 @@ class Index:
     items: list
     ids: list
     classes: list
+    seeds: dict  # by words of a run: bitmap of keys, sorted keys with item and word offset
 
 
 def _walk(words: np.ndarray, starts: np.ndarray, window: int, walk: int, plan: np.ndarray, alive):
@@ -157,13 +164,41 @@ def build_index(items: list[tuple[int, np.ndarray]]) -> Index:
             order = np.argsort(keys, kind="stable")
             tables[name] = (keys[order], item[order], offset[order])
         classes.append(Keys(window, plan, bitmaps, tables))
-    return Index([w for _, w in items], [i for i, _ in items], classes)
+    return Index([w for _, w in items], [i for i, _ in items], classes, _seeds(items))
+
+
+def _seeds(items: list[tuple[int, np.ndarray]]) -> dict:
+    """Runs of the items below ``SEEDED`` words, of which ``int(EDITS * n)`` edits leave one whole."""
+    runs: dict[int, list] = {}
+    for k, (_, words) in enumerate(items):
+        if LEAST_WORDS <= len(words) < SEEDED:
+            parts = int(EDITS * len(words)) + 1
+            cuts = [i * len(words) // parts for i in range(parts + 1)]
+            for a, b in zip(cuts, cuts[1:]):
+                runs.setdefault(b - a, []).append((hashing.shingles(words[a:b], b - a)[0], k, a))
+    out = {}
+    for size, found in runs.items():
+        keys, item, offset = np.array([f[0] for f in found], np.uint64), np.array([f[1] for f in found]), np.array([f[2] for f in found])
+        order = np.argsort(keys, kind="stable")
+        flags = np.zeros(1 << _BITMAP_BITS, bool)
+        flags[_bits(keys)] = True
+        out[size] = (np.packbits(flags), keys[order], item[order], offset[order])
+    return out
 
 
 def _candidates(words: np.ndarray, ends: np.ndarray, index: Index, unpacked: list) -> set[tuple[int, int]]:
     """(item, start in ``words``) proposed for a run of documents' words (each ended by padding)."""
     found: set[tuple[int, int]] = set()
     real = np.flatnonzero(words)
+    for size, (bitmap, table, item, offset) in index.seeds.items():
+        keys = hashing.shingles(words, size)
+        starts = real[real < len(keys)]
+        bits = _bits(keys[starts])
+        starts = starts[(bitmap[bits >> 3] >> (7 - (bits & 7)).astype(np.uint8)) & 1 == 1]
+        low, high = np.searchsorted(table, keys[starts], "left"), np.searchsorted(table, keys[starts], "right")
+        hit = np.flatnonzero(high > low)
+        for s, lo, hi in zip(starts[hit].tolist(), low[hit].tolist(), high[hit].tolist()):
+            found.update(zip(item[lo:hi].tolist(), (s - offset[lo:hi]).tolist()))
     for keys_of, maps in zip(index.classes, unpacked):
         padded = _padded(words, keys_of.window)
         for a in range(0, len(real), CHUNK):

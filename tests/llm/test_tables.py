@@ -186,6 +186,20 @@ def test_leaks_equal_exact_edit_search(spark, docs_of):
     assert len(set(exact) & set(found)) >= 0.97 * len(exact)
 
 
+@pytest.mark.parametrize("n", [6, 8, 12, 16, 19, 20, 32])
+def test_leaks_at_the_limit_of_edits(n):
+    rng, found, tried = random.Random(n), 0, 40
+    for _ in range(tried):
+        item = np.array([rng.getrandbits(63) + 1 for _ in range(n)], np.uint64)
+        text = item.copy()
+        text[rng.sample(range(n), int(decontaminate.EDITS * n))] = [rng.getrandbits(63) + 1 for _ in range(int(decontaminate.EDITS * n))]
+        around = np.array([rng.getrandbits(63) + 1 for _ in range(60)], np.uint64)
+        index = decontaminate.build_index([(1, item)])
+        rows = np.concatenate([around[:30], text, around[30:]])
+        found += bool(list(decontaminate._search(rows, np.array([len(rows)]), index, decontaminate._unpacked(index))))
+    assert found == tried if n < decontaminate.SEEDED else found >= 0.95 * tried
+
+
 def test_passage_distance_equals_the_table():
     rng = np.random.default_rng(0)
     for _ in range(200):
