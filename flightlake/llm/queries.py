@@ -8,13 +8,16 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, licenses, mixing, near_dedup, neighbours, pii, quality, secrets, sharding, sql, tokens
+from . import (
+    decontaminate, langid, licenses, mixing, near_dedup, neighbours, periodic, pii, quality, secrets, sharding, sql, tokens, whitening,
+)
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKEN_LIMIT = 2048
 SHARDS = 8
 NEAREST = 10
+COMPONENTS = 16
 #: The key of the surrogates; a deployment passes its own secret.
 PII_KEY = b"demonstration key"
 #: Domains told by the labelled table, and the weights of the mixture.
@@ -66,9 +69,24 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, NEAREST)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = whitening.whole_vectors(table(spark, sf_dir, "embeddings"))
+    return whitening.whiten(vectors, whitening.fit(vectors, COMPONENTS))
+
+
+def op12_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.fit(docs))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digest(periodic.find_runs(periodic.with_repeats(table(spark, sf_dir, "documents"))))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_near_duplicates, op2_mixing, op3_licenses, op4_token_counts, op5_sharding, op6_quality, op7_pii, op8_secrets, op9_benchmark_leaks, op10_nearest,
+        op11_whitening, op12_languages, op13_periodic_runs,
     )}
 
 

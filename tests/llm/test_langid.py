@@ -1,0 +1,104 @@
+"""Language identification: held-out accuracy, the score against plain numpy, calibration and odd rows."""
+
+import numpy as np
+import pytest
+
+from flightlake.llm import langid
+
+MID = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{MID}/documents.parquet")
+
+
+@pytest.fixture(scope="module")
+def model(docs):
+    return langid.fit(docs)
+
+
+def plain_subwords(text):
+    """Buckets of a short text, subword by subword."""
+    data, out = b" " + text + b" ", []
+    gap = [bool(langid._SEPARATOR[b]) for b in data]
+    for n in langid.GRAMS:
+        for i in range(len(data) - n + 1):
+            if any(gap[i + 1: i + n - 1]) or (n == 2 and gap[i] and gap[i + 1]):
+                continue
+            h = data[i]
+            for k in range(2, n + 1):
+                h = (h * 0x01000193 + data[i + k - 1] + k) % 2**32
+            out.append((h * 0x9E3779B1) % 2**32 >> 16)
+    word = [w for w in bytes(32 if g else b for b, g in zip(data, gap)).split()]
+    for w in word:
+        _, _, h = langid.hashing.words(np.frombuffer(w, np.uint8), langid._SEPARATOR)
+        out.append(int((int(h[0]) >> 40) % langid.BUCKETS))
+    return sorted(out)
+
+
+def test_subwords_equal_plain_ones():
+    for text in (b"", b"a", b"ab c", "été über, x1y!".encode(), b"...", b"hello  world"):
+        where, _ = langid.subwords(langid._framed([np.frombuffer(text, np.uint8)]))
+        assert sorted(where.tolist()) == plain_subwords(text)
+
+
+def test_score_is_the_mean_of_embeddings(model):
+    texts = [b"der die das und", "mañana los días".encode(), b"", b"the thing and that " * 5000, b"of"]
+    rows = [np.frombuffer(t, np.uint8) for t in texts]
+    found = model.logits(rows)
+    for t, r in zip(texts, found):
+        if len(t) < 1000:
+            at = plain_subwords(t)
+            want = (model.table[at].astype(float).mean(axis=0) if at else 0) + model.bias
+            assert np.allclose(r, want, atol=1e-5)
+    assert np.allclose(found[3], model.logits([rows[3][:19 * 1000]])[0], atol=1e-2)  # counted by bucket or together
+
+
+def test_held_out_accuracy(docs, model):
+    truth = {r.doc_id: r.lang for r in docs.collect()}
+    held = [r for r in langid.identify(docs, model).collect() if r.held_out and truth[r.doc_id] is not None]
+    right = [truth[r.doc_id] == r.lang_pred for r in held]
+    assert len(held) > 100 and np.mean(right) >= 0.97
+    accepted = [ok for ok, r in zip(right, held) if r.accepted]
+    assert len(accepted) >= 0.8 * len(held) and np.mean(accepted) >= 0.98
+
+
+def test_held_out_rows_and_other_columns_teach_nothing(docs, model):
+    from pyspark.sql import functions as F
+    hidden = docs.withColumns({"lang": F.when(langid.held_out(F.col("doc_id")), F.lit("xx")).otherwise(F.col("lang")), "source": F.lit("other")})
+    again = langid.fit(hidden)
+    assert again.languages == model.languages and np.array_equal(again.table, model.table) and again.threshold == model.threshold
+
+
+def test_odd_rows(model, odd, docs_of):
+    got = langid.identify(odd, model).collect()
+    assert len(got) == odd.count()
+    for r in got:
+        assert 0 <= r.score <= 1
+        if r.doc_id in (3, 4, 5):
+            assert (r.lang_pred, r.score, r.accepted) == ("und", 0.0, False)
+    letters = docs_of([(1, "12 34 !?"), (2, "1 x"), (3, "语言"), (4, "ÄÖ")])
+    told = {r.doc_id: r.lang_pred for r in langid.identify(letters, model).collect()}
+    assert told[1] == "und" and all(told[i] in model.languages for i in (2, 3, 4))
+    assert langid.identify(docs_of([]), model).count() == 0
+
+
+def test_nothing_to_learn(docs_of):
+    from pyspark.sql import functions as F
+    docs = docs_of([(i, f"some words {i}") for i in range(10)]).withColumn("lang", F.lit(None).cast("string"))
+    assert langid.fit(docs) is None
+    assert {(r.lang_pred, r.score) for r in langid.identify(docs, None).collect()} == {("und", 0.0)}
+
+
+def test_calibration_bounds_the_error():
+    rng = np.random.default_rng(1)
+    truth = rng.integers(0, 3, 3000)
+    logits = rng.normal(size=(3000, 3)) * 4
+    logits[np.arange(3000), truth] += 4
+    m = langid.Model(["a", "b", "c"], np.zeros((1, 3)), np.zeros(3))
+    langid.calibrate(m, logits, truth)
+    p = m.probabilities(logits)
+    taken = p.max(axis=1) >= m.threshold
+    assert 0 < taken.sum() < 3000 and np.mean(p.argmax(axis=1)[taken] != truth[taken]) <= langid.ERROR
+    assert abs(p.max(axis=1).mean() - np.mean(p.argmax(axis=1) == truth)) < 0.03
