@@ -36,6 +36,8 @@ DIM = 16
 PER_LANGUAGE = 1_000
 SAMPLE = 4_000
 CALIBRATION = 2_000
+#: Rows of a frequent language that are ranked, as a multiple of ``PER_LANGUAGE``.
+SURPLUS = 4
 TRAINERS = 4
 EPOCHS = 6
 RATE = 0.3
@@ -207,6 +209,17 @@ def calibrate(model: Model, logits: np.ndarray, truth: np.ndarray) -> None:
     model.threshold = float(score[order][fine[-1]]) if len(fine) else 1.0
 
 
+def _thinned(ids: DataFrame) -> DataFrame:
+    """Of each frequent language only the smallest places, several times ``PER_LANGUAGE`` rows: its rank is
+    then taken of a few thousand rows, however many the table has."""
+    frequent = ids.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(SAMPLE).collect()  # a bounded list
+    share = {r["lang"]: SURPLUS * PER_LANGUAGE / r["count"] for r in frequent if r["count"] > SURPLUS * PER_LANGUAGE}
+    if not share:
+        return ids
+    of = F.create_map(*[F.lit(v) for item in share.items() for v in item])
+    return ids.where((F.col("place") / F.lit(2.0 ** 64) + 0.5) < F.coalesce(F.try_element_at(of, "lang"), F.lit(2.0)))
+
+
 def fit(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text") -> Model | None:
     """The model of the bounded samples described above; None if there is nothing to learn from."""
     spark = docs.sparkSession
@@ -215,7 +228,7 @@ def fit(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_co
     known = known.where(F.col("id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("id")))
     ids = known.select("id", "lang", F.xxhash64("id").alias("place"), (F.pmod(F.xxhash64("id", F.lit(7)), F.lit(5)) == 0).alias("check"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("place", "id"))
-    chosen = ids.where(~F.col("check")).withColumn("rank", rank).where(F.col("rank") <= PER_LANGUAGE)
+    chosen = _thinned(ids.where(~F.col("check"))).withColumn("rank", rank).where(F.col("rank") <= PER_LANGUAGE)
     chosen = chosen.orderBy("rank", "place", "id").limit(SAMPLE).select("id", "check").distinct()
     tested = ids.where("check").orderBy("place", "id").limit(CALIBRATION).select("id", "check").distinct()
     # at most SAMPLE and CALIBRATION ids

@@ -102,3 +102,16 @@ def test_calibration_bounds_the_error():
     taken = p.max(axis=1) >= m.threshold
     assert 0 < taken.sum() < 3000 and np.mean(p.argmax(axis=1)[taken] != truth[taken]) <= langid.ERROR
     assert abs(p.max(axis=1).mean() - np.mean(p.argmax(axis=1) == truth)) < 0.03
+
+
+def test_thinning_keeps_the_smallest_places(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    ids = spark.range(5000).select("id", F.when(F.col("id") < 4000, "aa").when(F.col("id") < 4100, "bb").otherwise("cc").alias("lang"), F.xxhash64("id").alias("place"))
+    monkeypatch.setattr(langid, "PER_LANGUAGE", 100)
+    left = langid._thinned(ids).collect()
+    everyone = ids.collect()
+    for lang, least in (("aa", 100), ("bb", 100), ("cc", 100)):
+        places = sorted(r.place for r in everyone if r.lang == lang)
+        kept = sorted(r.place for r in left if r.lang == lang)
+        assert kept == places[:len(kept)] and len(kept) >= least
+    assert sum(r.lang == "aa" for r in left) < 600 and sum(r.lang == "bb" for r in left) == 100
