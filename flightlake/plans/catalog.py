@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flightlake.functions.columns import zero_pad
-from flightlake.operators import analytics, marts, quality
+from flightlake.functions.columns import first_of_month, zero_pad
+from flightlake.operators import analytics, marts, quality, stats
 from flightlake.operators.enrich import combine, guarded_counts
 from flightlake.operators.joins import lookup_join
 from flightlake.operators.transform import (
@@ -23,14 +23,23 @@ from flightlake.operators.transform import (
     transform_population,
     with_partition_key,
 )
-from flightlake.plans import flows
-from flightlake.schemas import CARRIER_DAILY, FLIGHT_REQUIRED, FLIGHTS, RAW_AIRPORTS, RAW_FLIGHTS
+from flightlake.plans import flows, lake
+from flightlake.plans.pipeline import Layout, land_raw_inputs
+from flightlake.schemas import (
+    CARRIER_DAILY,
+    DEPARTURE_AIRPORT,
+    FLIGHT_REQUIRED,
+    FLIGHTS,
+    RAW_AIRPORTS,
+    RAW_FLIGHTS,
+    STATE_MONTHLY,
+)
 from flightlake.session import scratch_path
 from flightlake.sinks import upsert as upsert_sink
 from flightlake.sinks.writers import schema_dictionary, write_partitioned
 from flightlake.sources import fixtures
 from flightlake.sources.files import read_census_json, read_csv_table, read_layer
-from flightlake.streaming.daily_load import run_daily_load
+from flightlake.streaming.daily_load import run_daily_lake, run_daily_load
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -472,5 +481,89 @@ def airports_extra_columns(spark, sf_dir):
     return _profile_with_duplicates(landed.withColumnRenamed("time zone", "time_zone"))
 
 
+# ------------------------------------------------------ lake on snapshots
+
+#: Rows per file in the lakes of these queries: files of a few days each, so that refreshes rewrite only a part.
+LAKE_FILE_ROWS = 50_000
+
+
+def _landed(rows, day):
+    return rows.select("*", F.lit(f"2024-01-{day:02d} 00:00:00").cast("timestamp").alias("landed"), F.lit(f"day{day}").alias("landed_file"))
+
+
+def _refreshed_lake(spark, sf_dir):
+    """A lake after a build and two refreshes that arrive in the wrong order.
+
+    The build lacks all Januaries and the 20th of each month, and sends early flights of each 7th to a place that no
+    airport has, with another delay. The load of day 3 brings January and the right flights of the 7th; then that of
+    day 2 brings the 20ths and stale rows of January, which must not replace newer ones.
+    """
+    f = flows.typed(spark, sf_dir).flights
+    day, january = F.dayofmonth("fl_date"), F.month("fl_date") == 1
+    seventh = (day == 7) & (F.col("dep_hour") < 6) & ~january
+    twentieth = (day == 20) & ~january
+    raw, root = scratch_path(spark, "raw"), scratch_path(spark, "lake")
+    land_raw_inputs(spark, sf_dir, raw, flights=False)
+    first = f.where(~january & ~twentieth).withColumns({
+        "destination": F.when(seventh, "NOWHERE").otherwise(F.col("destination")),
+        "dep_delay": F.when(seventh, F.lit(-77).cast("bigint")).otherwise(F.col("dep_delay"))})
+    stale = f.where(january & (F.col("dep_hour") < 12)).withColumn("dep_delay", F.lit(-5).cast("bigint"))
+    lake.build(spark, raw, root, _landed(first, 1), LAKE_FILE_ROWS)
+    lake.refresh(spark, raw, root, _landed(f.where(january | seventh), 3), file_rows=LAKE_FILE_ROWS)
+    lake.refresh(spark, raw, root, _landed(f.where(twentieth).unionByName(stale), 2), file_rows=LAKE_FILE_ROWS)
+    return lake.open_lake(spark, root)
+
+
+@register("lake_refresh_flights")
+def lake_refresh_flights(spark, sf_dir):
+    return _refreshed_lake(spark, sf_dir).read("flights").select(*FLIGHTS.fieldNames())
+
+
+@register("lake_refresh_carriers")
+def lake_refresh_carriers(spark, sf_dir):
+    # The carrier mart, kept from the stored histogram of the touched days only.
+    return _refreshed_lake(spark, sf_dir).read("carrier_daily")
+
+
+@register("lake_published_airports")
+def lake_published_airports(spark, sf_dir):
+    # The airport mart as published (CSV), read back. It is kept from signed route counts: connections to the place that
+    # the refresh corrects must end.
+    out = scratch_path(spark, "published")
+    lake.export_marts(_refreshed_lake(spark, sf_dir), out)
+    return spark.read.schema(DEPARTURE_AIRPORT).option("header", True).csv(f"{out}/departure_airport_stats")
+
+
+@register("lake_published_states")
+def lake_published_states(spark, sf_dir):
+    out = scratch_path(spark, "published")
+    lake.export_marts(_refreshed_lake(spark, sf_dir), out)
+    return spark.read.schema(STATE_MONTHLY).option("header", True).csv(f"{out}/state_stats")
+
+
+@register("lake_stream_daily")
+def lake_stream_daily(spark, sf_dir):
+    # The whole daily load from landed CSV files: a lake without January, then a stream that finds January twice, the
+    # right version second.
+    raw, root, landing = scratch_path(spark, "raw"), scratch_path(spark, "lake"), scratch_path(spark, "landing")
+    land_raw_inputs(spark, sf_dir, raw, flights=False)
+    rf = fixtures.raw_flights(spark, sf_dir)
+    january = F.substring("FL_DATE", 6, 2) == "01"
+    rf.where(~january).write.option("header", True).csv(Layout(raw, root).raw("flights"))
+    lake.build(spark, raw, root, file_rows=LAKE_FILE_ROWS)
+    for name, rows in (("a", rf.withColumn("DEP_DELAY", F.lit(99).cast("bigint"))), ("b", rf)):
+        rows.where(january).write.option("header", True).csv(f"{landing}/{name}")
+    run_daily_lake(spark, landing, raw, root, file_rows=LAKE_FILE_ROWS)
+    return lake.open_lake(spark, root).read("combined").drop(PARTITION_KEY)
+
+
+@register("carrier_month_quantiles")
+def carrier_month_quantiles(spark, sf_dir):
+    # Exact quartiles per month and carrier, merged from histograms of days.
+    values = stats.histogram(flows.combined(spark, sf_dir), lake.CARRIER_DAY, marts.CARRIER_MEASURES)
+    return stats.quantiles_from_histogram(values.withColumn("month", first_of_month("fl_date")), ["month", "op_unique_carrier"],
+                                          list(marts.CARRIER_MEASURES), [0.25, 0.5, 0.75])
+
+
 def queries() -> dict[str, Query]:
     return dict(_REGISTRY)

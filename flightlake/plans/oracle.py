@@ -437,6 +437,41 @@ SELECT CAST(count(*) AS BIGINT) AS raw_rows, CAST(40 AS BIGINT) AS raw_columns,
 FROM flights""")
 
 
+# Lake on snapshots: rows that a load brings stand once per flight key (the greatest row), the others as they are.
+FLIGHT_KEY = ["fl_date", "op_unique_carrier", "op_carrier_fl_num", "origin", "crs_dep_time"]
+LOADED = "month(fl_date) = 1 OR day(fl_date) = 20 OR (day(fl_date) = 7 AND dep_hour < 6)"
+
+
+def lake_views(loaded: str, select: str) -> str:
+    rest = ", ".join(f'"{c}" DESC NULLS LAST' for c in COMBINED_COLS[:40] if c not in FLIGHT_KEY)
+    merged = f"""merged AS (
+ SELECT * FROM flights WHERE NOT ({loaded})
+ UNION ALL SELECT * FROM flights WHERE {loaded}
+  QUALIFY row_number() OVER (PARTITION BY {", ".join(FLIGHT_KEY)} ORDER BY {rest}) = 1
+),
+"""
+    typed = TYPED.replace("combined AS (", merged + "combined AS (").replace("FROM flights f\n", "FROM merged f\n")
+    return "WITH" + RAW + "," + typed + "\n" + select
+
+
+def _select_of(name: str) -> str:
+    """The final SELECT of a registered query."""
+    return _Q[name].removeprefix("WITH" + RAW + "," + TYPED).strip()
+
+
+_Q["lake_refresh_flights"] = lake_views(LOADED, "SELECT * FROM merged")
+_Q["lake_refresh_carriers"] = lake_views(LOADED, _select_of("carrier_daily"))
+_Q["lake_published_airports"] = lake_views(LOADED, _select_of("departure_airport"))
+_Q["lake_published_states"] = lake_views(LOADED, _select_of("state_monthly"))
+_Q["lake_stream_daily"] = lake_views("month(fl_date) = 1", "SELECT * FROM combined")
+q("carrier_month_quantiles", "\nUNION ALL\n".join(
+    f"SELECT CAST(date_trunc('month', fl_date) AS DATE) AS month, op_unique_carrier, '{name}' AS measure, CAST({share} AS DOUBLE) AS share,\n"
+    f" quantile_cont(CAST({column} AS DOUBLE), {share}) AS value\n"
+    f"FROM combined WHERE {column} IS NOT NULL GROUP BY 1, 2"
+    for name, column in (("departure_delay", "dep_delay"), ("airtime", "air_time"), ("distance", "distance"))
+    for share in (0.25, 0.5, 0.75)))
+
+
 # Data dictionary: DuckDB type names spelled the way Spark prints them.
 SPARK_TYPE = ("CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' "
               "ELSE lower(column_type) END")

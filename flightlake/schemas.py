@@ -82,6 +82,16 @@ STATE_MONTHLY = _struct([
     ("airports_per_million_citizens", D), ("departures_per_million_citizens", D),
 ])
 
+# Typed flights with the time and file in which each row landed: the later one wins at every merge.
+LANDED = _struct([("landed", T.TimestampType()), ("landed_file", S)])
+FLIGHTS_LANDED = T.StructType(FLIGHTS.fields + LANDED.fields)
+AIRPORTS = _struct([("airport", S), ("airport_state_name", S), ("airport_state_code", S), ("latitude", D), ("longitude", D)])
+# How often each value of a measure occurs per day and carrier; flights per route.
+CARRIER_VALUES = _struct([("fl_date", T.DateType()), ("op_unique_carrier", S), ("m", T.ByteType()), ("v", L), ("c", L)])
+ROUTES = _struct([("year_month", S), ("origin", S), ("destination", S), ("op_unique_carrier", S),
+                  ("origin_state_name", S), ("origin_state_code", S), ("flights", L), ("origin_state_population", L)])
+ROUTE_TOTALS = _struct([("origin", S), ("destination", S), ("flights", L)])
+
 # Flight key used by incremental loads (last load wins).
 FLIGHT_KEY = ["fl_date", "op_unique_carrier", "op_carrier_fl_num", "origin", "crs_dep_time"]
 
