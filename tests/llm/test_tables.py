@@ -50,6 +50,34 @@ def test_shards_of_a_hot_text_are_near_equal(docs_of):
     assert len(sizes) == 8 and max(r.n for r in sizes) - min(r.n for r in sizes) <= 2 * 151
 
 
+def test_groups_of_equal_texts_over_a_boundary_stay_whole(docs_of):
+    rng = random.Random(7)
+    rows = [(i, "".join(rng.choices("abcdefgh ", k=100))) for i in range(4000)] + [(4000, "z" * 60_000)]
+    made = sorted(zlib.crc32(t.encode()) for _, t in rows)
+    edge = made[len(made) * 3 // 8]     # somewhere near the edge of shards 2 and 3
+    best = min((abs(zlib.crc32(f"copy {k} ".ljust(100, "x").encode()) - edge), k) for k in range(30_000))[1]
+    rows += [(5000 + i, f"copy {best} ".ljust(100, "x")) for i in range(400)]
+    found = shards_of(docs_of(rows))
+    assert found == brute_shards(rows)
+    assert len({s for d, size, _, s, _ in found if size == 101 and int(d) >= 5000}) == 1
+
+
+def test_empty_texts_and_repeated_rows_are_dealt_over_tasks(spark, docs_of, monkeypatch):
+    rows = [(i, "") for i in range(20_000)] + [(50_000 + i, f"{i:04d} " * 400) for i in range(500)] + [(7, "again and again")] * 6000
+    docs = docs_of(rows)
+    parts, real = [], sharding.written
+
+    def keep(spark, df, name):
+        out = real(spark, df, name)
+        if name == "positions":
+            parts.extend(r["count"] for r in out.groupBy("range", "part").count().collect())
+        return out
+
+    monkeypatch.setattr(sharding, "written", keep)
+    assert shards_of(docs) == brute_shards(rows)
+    assert max(parts) <= 3 * len(rows) / sharding.LEAST_RANGES
+
+
 def test_position_counts_bounds(spark):
     bounds = [3, 3, 7, 10, 22, 40, 41, 99]
     rows = spark.range(0, 120).select("id", sharding._position(F.col("id"), bounds).alias("at")).collect()
