@@ -57,7 +57,7 @@ def shard_by_size(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
     rows = columns(docs, F.col(id_col).cast("long").alias("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"),
-                   F.crc32(text).alias("text_crc32"), F.pmod(F.monotonically_increasing_id(), F.lit(1 << SALT_BITS)).alias("salt"))
+                   F.crc32(text).alias("text_crc32"), F.monotonically_increasing_id().alias("salt"))
     rows = written(spark, rows, "records")
     total, count, largest, low, high = rows.agg(
         F.sum("size"), F.count("*"), F.max("size"), F.min("doc_id"), F.max("doc_id")).first()
@@ -76,7 +76,7 @@ def shard_by_size(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col
     # one row per range: as many as `ranges` and their subdivisions, a few thousand per 10**9 records
     rows = rows.join(F.broadcast(offsets), ["range", "part"])
 
-    ordered = Window.partitionBy("range", "part").orderBy("text_crc32", "doc_id", "size", "salt")
+    ordered = Window.partitionBy("range", "part").orderBy("text_crc32", "doc_id", "size", "key")
     running = ordered.rowsBetween(Window.unboundedPreceding, -1)
     group = Window.partitionBy("range", "part", "text_crc32")
     rows = rows.select("doc_id", "size", "text_crc32", "range", "part", F.col("text_crc32").isin(F.col("first_crc"), F.col("last_crc")).alias("edge"),
@@ -103,19 +103,20 @@ def _key(low: int, high: int) -> Column:
     width = (high - low + 1).bit_length()
     spare = min(SALT_BITS, max(0, PLACE_BITS - width))
     place = F.coalesce(F.shiftright(F.col("doc_id") - F.lit(low) + 1, max(0, width - PLACE_BITS)), F.lit(0))
-    return F.col("text_crc32") * F.lit(1 << PLACE_BITS) + F.shiftleft(place, spare) + F.shiftright("salt", SALT_BITS - spare)
+    return F.col("text_crc32") * F.lit(1 << PLACE_BITS) + F.shiftleft(place, spare) + F.pmod("salt", F.lit(1 << spare))
 
 
 def _splitters(rows: DataFrame, ranges: int, total: int, weight: Column) -> list[int]:
     """Quantile boundaries of a weighted key sample: a record is drawn as often as its weight tells, large ones several times."""
     if not total:
         return []
-    uniform = F.pmod(F.xxhash64("key", "doc_id", "size"), F.lit(1 << 30)) / F.lit(1 << 30)
+    uniform = F.pmod(F.xxhash64("key", "salt"), F.lit(1 << 30)) / F.lit(1 << 30)
     draws = F.floor(weight * F.lit(ranges * SAMPLES / total) + uniform).cast("long")
     sample = rows.select("key", draws.alias("draws")).where("draws > 0")
     sample = sample.select(F.explode(F.array_repeat("key", F.col("draws").cast("int"))).alias("key"))  # some ranges * SAMPLES keys
-    found = sample.agg(F.percentile_approx("key", [i / ranges for i in range(1, ranges)], 100 * ranges)).first()[0] or []
-    return sorted(set(found))
+    drawn = sample.agg(F.sort_array(F.collect_list("key")).alias("keys"))  # exact: percentile functions round longs to doubles
+    at = F.transform(F.sequence(F.lit(1), F.lit(ranges - 1)), lambda i: F.get("keys", F.floor(i * F.size("keys") / ranges).cast("int")))
+    return sorted({b for b in drawn.where(F.size("keys") > 0).select(at).head(1)[0][0]}) if not sample.isEmpty() else []
 
 
 def _subdivided(rows: DataFrame, bounds: list[int], mean: float) -> DataFrame:
