@@ -7,14 +7,13 @@ on average) and sends a set on to the child named by the coordinate's minwise to
 follow a common path with high probability, others part quickly. Children with at most ``LEAF``
 sets are compared exhaustively; larger ones branch again.
 
-A large child whose sets are near copies of each other would not shrink. The sets of large children of
-the first level are linked to a few pivots; a child whose sets already form one component has nothing
-left to find and ends. In one with at most ``LEAF`` sets outside its largest component, those are
-compared with all others, dealt out in parts. The rest branch on, and what is still large after ``DEPTH``
-levels is compared in blocks, so no case is dropped.
-
-Candidate pairs pass if their minwise agreement is within ``SLACK`` of the threshold (four standard
-deviations) and their sizes allow the similarity; they are then confirmed on the full sets.
+Before a level is compared, every set of a child is linked to one pivot of the child, confirmed on full sets: the one
+that shares the most tokens in all trees, which in a group of near copies is the text they came from. From then on only pairs
+across components matter, so a group of near copies costs its size, not its square. Children of at most ``LEAF`` sets are
+compared in a task: minwise agreement within ``SLACK`` of the threshold (four standard deviations) tells the sets that
+may link across components, and an inverted index over their full sets the exact similarities; at most a spanning set of links leaves
+the task. Larger children with few sets outside their main component compare those with all others, dealt out in parts; the rest
+branch on, and what is still large after ``DEPTH`` levels is compared in blocks, so no case is dropped.
 
 Defined results: a null, empty or white-space text has an empty set and links with nothing; a text
 with fewer words than the shingle size is one shingle; a null id stays null (its row links, but names
@@ -41,9 +40,10 @@ SHINGLE = 5
 THRESHOLD = (75, 100)
 WIDTH = 128
 TREES = 10
-LEAF = 256
+LEAF = 4096
+#: Shingles of the sets that one task compares, at most (but for two sets).
+LEAF_ITEMS = 4_000_000
 DEPTH = 6
-PIVOTS = 3
 SLACK = 4 * (0.75 * 0.25 / WIDTH) ** 0.5
 #: Candidate ids that may be broadcast when their texts are looked up; beyond it they are shuffled.
 BROADCAST_IDS = 200_000
@@ -141,27 +141,13 @@ def _agree(sk: np.ndarray, n: np.ndarray, i: np.ndarray, j: np.ndarray, part: fl
     return ok
 
 
-def _leaf_pairs(part: float, cross: bool):
-    """Pairs within runs of equal ``group`` (rows sorted by it). ``cross``: only across labels."""
-    def pairs(table: pa.Table) -> tuple[list, list]:
-        table = table.combine_chunks()
-        group = table["group"].to_numpy()
-        n, sk, node = table["n"].to_numpy(), _matrix(table["sketch"].chunk(0)), table["node"].chunk(0)
-        label = np.array([hash(x) if x else i for i, x in enumerate(table["label"].to_pylist())]) if cross else None
-        left, right = [], []
-        for k in range(1, len(group)):
-            i = np.flatnonzero(group[:-k] == group[k:])
-            if not len(i):
-                break
-            if cross:
-                i = i[label[i] != label[i + k]]
-            i = i[_agree(sk, n, i, i + k, part)]
-            left.append(i)
-            right.append(i + k)
-        none = np.empty(0, np.int64)
-        return node.take(pa.array(np.concatenate([none, *left]))), node.take(pa.array(np.concatenate([none, *right])))
-
+def _by_group(work, names: list[str]):
+    """Apply ``work`` to the rows of whole groups (rows come sorted by ``group``), a batch of groups at a time."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def done(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+            for columns_ in work(rows.combine_chunks()):
+                yield pa.RecordBatch.from_arrays(columns_, names=names)
+
         open_rows = None
         for batch in batches:
             if not batch.num_rows:
@@ -170,27 +156,94 @@ def _leaf_pairs(part: float, cross: bool):
             group = rows["group"].to_numpy()
             cut = int(np.searchsorted(group, group[-1]))  # the last group may go on in the next batch
             if cut:
-                a, b = pairs(rows.slice(0, cut))
-                yield pa.RecordBatch.from_arrays([a, b], names=["x", "y"])
+                yield from done(rows.slice(0, cut))
             open_rows = rows.slice(cut)
         if open_rows is not None and len(open_rows):
-            a, b = pairs(open_rows)
-            yield pa.RecordBatch.from_arrays([a, b], names=["x", "y"])
+            yield from done(open_rows)
     return run
 
 
+def _numbered(column: pa.ChunkedArray) -> np.ndarray:
+    """Equal values as equal numbers."""
+    return column.combine_chunks().dictionary_encode().indices.to_numpy()
+
+
+def _open_sets(part: float):
+    """Sets that may reach the similarity with a set of another component in their group: ``(group, node, label)``."""
+    def work(table: pa.Table) -> Iterator[list]:
+        group, label = table["group"].to_numpy(), _numbered(table["label"])
+        n, sk = table["n"].to_numpy(), _matrix(table["sketch"].chunk(0))
+        found = np.zeros(len(group), bool)
+        for k in range(1, len(group)):
+            i = np.flatnonzero(group[:-k] == group[k:])
+            if not len(i):
+                break
+            i = i[label[i] != label[i + k]]
+            i = i[_agree(sk, n, i, i + k, part)]
+            found[i] = found[i + k] = True
+        at = pa.array(np.flatnonzero(found))
+        yield [table[c].chunk(0).take(at) for c in ("group", "node", "label")]
+    return _by_group(work, ["group", "node", "label"])
+
+
+def _linked(sets: list[np.ndarray], label: np.ndarray, least: int, scale: int) -> list[tuple[int, int]]:
+    """Pairs that reach the similarity and join components, at most a spanning set of them. Exact: an inverted
+    index counts what a set shares with all others; only sets outside the largest component ask it."""
+    size = np.array([len(x) for x in sets])
+    owner, start = np.repeat(np.arange(len(sets)), size), np.concatenate(([0], np.cumsum(size)))
+    _, code = np.unique(np.concatenate(sets), return_inverse=True)
+    order = np.argsort(code, kind="stable")
+    posting, first = owner[order], np.concatenate(([0], np.cumsum(np.bincount(code))))
+    root = list(range(len(sets)))
+
+    def top(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for head in np.unique(label):
+        members = np.flatnonzero(label == head)
+        for m in members[1:]:
+            root[m] = members[0]
+    main, links = np.bincount(label).argmax(), []
+    for x in np.flatnonzero(label != main):
+        c = code[start[x]: start[x + 1]]
+        n = first[c + 1] - first[c]
+        shared = np.bincount(posting[np.arange(n.sum()) + np.repeat(first[c] - (np.cumsum(n) - n), n)], minlength=len(sets))
+        for y in np.flatnonzero(scale * shared >= least * (size[x] + size - shared)):
+            p, q = top(int(x)), top(int(y))
+            if p != q:
+                root[p] = q
+                links.append((int(x), int(y)))
+    return links
+
+
+def _links(threshold: tuple[int, int]):
+    """Links across components among the full sets of each group."""
+    def work(table: pa.Table) -> Iterator[list]:
+        group, label, node = table["group"].to_numpy(), _numbered(table["label"]), table["node"].chunk(0)
+        edge = np.concatenate(([0], np.flatnonzero(group[1:] != group[:-1]) + 1, [len(group)]))
+        for a, b in zip(edge[:-1], edge[1:]):
+            sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table["items"].chunk(0).slice(a, b - a)]
+            _, own = np.unique(label[a:b], return_inverse=True)
+            pairs = np.array(_linked(sets, own, *threshold), np.int64).reshape(-1, 2) + a
+            if len(pairs):
+                yield [node.take(pa.array(pairs[:, 0])), node.take(pa.array(pairs[:, 1]))]
+    return _by_group(work, ["x", "y"])
+
+
 def _star_pairs(part: float):
-    """Pairs of each row (node, n, sketch) with its path's pivots (three columns each)."""
+    """Pairs of each row (node, n, sketch) with its group's pivot (three more columns)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             i = np.arange(batch.num_rows)
-            for at in range(3, batch.num_columns, 3):
-                sk = np.concatenate([_matrix(batch.column(2)), _matrix(batch.column(at + 2))])
-                n = np.concatenate([batch.column(1).to_numpy(), batch.column(at + 1).to_numpy()])
-                keep = pa.array(_agree(sk, n, i, i + batch.num_rows, part))
-                yield pa.RecordBatch.from_arrays([batch.column(at).filter(keep), batch.column(0).filter(keep)], names=["x", "y"])
+            sk = np.concatenate([_matrix(batch.column(2)), _matrix(batch.column(5))])
+            n = np.concatenate([batch.column(1).to_numpy(), batch.column(4).to_numpy()])
+            keep = pa.array(_agree(sk, n, i, i + batch.num_rows, part))
+            yield pa.RecordBatch.from_arrays([batch.column(3).filter(keep), batch.column(0).filter(keep)], names=["x", "y"])
     return run
 
 
@@ -198,11 +251,10 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def _lookup(docs: DataFrame, reps: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
-    """``(node, items)`` with the full sets of the nodes in ``pairs``, recomputed from one text each."""
+def _lookup(docs: DataFrame, reps: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """``(node, items)`` with the full sets of the nodes ``wanted``, recomputed from one text each."""
     spark = docs.sparkSession
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    ids = written(spark, reps.join(wanted, "node", "left_semi").select("doc_id", "node"), "wanted")
+    ids = written(spark, reps.join(wanted.distinct(), "node", "left_semi").select("doc_id", "node"), "wanted")
     side = ids.select("doc_id").distinct()
     side = F.broadcast(side) if side.count() <= BROADCAST_IDS else side
     texts = docs.join(side, docs["doc_id"].eqNullSafe(side["doc_id"]), "left_semi")
@@ -224,7 +276,7 @@ def _confirm(docs: DataFrame, reps: DataFrame, pairs: DataFrame, size: int, thre
     """The pairs whose full sets reach the similarity."""
     spark = docs.sparkSession
     pairs = written(spark, pairs, "candidates")
-    sets = _lookup(docs, reps, pairs, size)
+    sets = _lookup(docs, reps, pairs.select(F.col("a").alias("node")).union(pairs.select("b")), size)
     least, scale = threshold
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,41 +309,39 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reps = written(spark, rows.where("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("n", "sketch", "paths")]), "nodes")
 
-    edges, candidates, scratch = [], [], []
+    edges, small, scratch = [], [], []
     labels = None
     # tree nodes hold short ids of sets; should two sets share one, both are compared, which costs only time
     short = reps.select(F.xxhash64("node").alias("id"), "node", "n", "sketch")
     frontier = reps.select(F.explode("paths").alias("path"), F.xxhash64("node").alias("id"))
     for level in range(depth):
         sizes = frontier.groupBy("path").agg(F.count("*").alias("size")).where("size > 1")
-        held = frontier.join(sizes, "path").join(short, "id").drop("id")
-        held = held.withColumn("label", F.col("node")) if labels is None else _labelled(held, labels)
-        held = written(spark, held, "level")
+        grouped = frontier.join(sizes, "path")
+        score = grouped.groupBy("id").agg(F.sum("size").alias("score"))
+        held = written(spark, grouped.join(short.join(score, "id"), "id").drop("id"), "level")
         scratch.append(held)
-        candidates.append(_in_groups(held.where(F.col("size") <= leaf).withColumnRenamed("path", "group"), part, labels is not None))
-        large = held.where(F.col("size") > leaf)
-        if large.isEmpty():
-            break
-        if labels is None:
-            edges.append(_confirm(texts, reps, _ordered(_stars(large, part)), shingle, threshold))
-            labels = components(edges[0])
-            large = written(spark, _labelled(large.drop("label"), labels), "large")
-            scratch.append(large)
-        of_label = large.groupBy("path", "label").agg(F.count("*").alias("own"))
-        main = of_label.groupBy("path").agg(F.max(F.struct("own", "label")).alias("main"))
-        main = main.select("path", F.col("main.label").alias("main"), F.col("main.own").alias("own"))
-        large = large.join(main, "path").withColumn("others", F.col("size") - F.col("own")).where("others > 0")
-        large = written(spark, large, "mixed")
-        scratch.append(large)
-        candidates.append(_against_others(large.where(F.col("others") <= leaf), part, leaf))
-        large = large.where(F.col("others") > leaf)
+        edges.append(_confirm(texts, reps, _ordered(_stars(held, part)), shingle, threshold))
+        labels = components(_union(edges))
+        held = _labelled(held, labels)
+        of_label = held.groupBy("path", "label").agg(F.count("*").alias("own"), F.sum("n").alias("items"))
+        main = of_label.groupBy("path").agg(F.max(F.struct("own", "label")).alias("main"), F.sum("items").alias("items"))
+        main = main.select("path", F.col("main.label").alias("main"), F.col("main.own").alias("own"), "items")
+        mixed = held.join(main, "path").withColumn("others", F.col("size") - F.col("own")).where("others > 0")
+        fits = (F.col("size") <= leaf) & ((F.col("items") <= LEAF_ITEMS) | (F.col("size") == 2))
+        parts = F.greatest(F.ceil(F.col("size") / leaf), F.ceil(F.col("items") / LEAF_ITEMS)).cast("int")
+        mixed = written(spark, mixed.withColumns({"fits": fits, "parts": parts}).drop("score"), "mixed")
+        scratch.append(mixed)
+        small.append(mixed.where("fits").withColumn("group", F.col("path")).select(*GROUPED))
+        few = F.col("others") <= leaf
+        small.append(_against_others(mixed.where(~F.col("fits") & few)))
+        large = mixed.where(~F.col("fits") & ~few)
         if large.isEmpty():
             break
         if level == depth - 1:
-            candidates.append(_in_blocks(large, part, leaf))
+            small.append(_in_blocks(large))
         frontier = large.select("path", F.xxhash64("node").alias("id"), "sketch").mapInArrow(_branch, "path long, id long")
 
-    edges.append(_confirm(texts, reps, _ordered(_union(candidates)), shingle, threshold))
+    edges.append(_compared(texts, reps, _labelled(_union(small), labels), shingle, part, threshold))
     discard(*scratch)
     found = components(_union(edges))
     named = reps.select("node", "doc_id").join(found, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -330,37 +380,49 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def _in_groups(rows: DataFrame, part: float, cross: bool) -> DataFrame:
-    """All pairs within small groups: rows of a group stand together, a batch of groups at a time."""
-    rows = rows.select("group", "node", "n", "sketch", "label").repartition("group").sortWithinPartitions("group")
-    return rows.mapInArrow(_leaf_pairs(part, cross), "x binary, y binary")
+#: columns of the rows of a group that is compared
+GROUPED = ("group", "node", "n", "sketch")
+
+
+def _grouped(rows: DataFrame) -> DataFrame:
+    """Rows of a group stand together."""
+    return rows.repartition("group").sortWithinPartitions("group")
+
+
+def _compared(docs: DataFrame, reps: DataFrame, rows: DataFrame, size: int, part: float, threshold: tuple[int, int]) -> DataFrame:
+    """Links across components within groups: told by sketch which sets may have one, then by their full sets."""
+    spark = docs.sparkSession
+    rows = _grouped(rows.select(*GROUPED, "label"))
+    open_ = written(spark, rows.mapInArrow(_open_sets(part), "group long, node binary, label binary"), "open")
+    sets = _lookup(docs, reps, open_.select("node"), size)
+    full = _grouped(open_.join(sets, "node").select("group", "node", "label", "items"))
+    links = written(spark, _ordered(full.mapInArrow(_links(threshold), "x binary, y binary")), "links")
+    discard(open_, sets)
+    return links
 
 
 def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
-def _stars(large: DataFrame, part: float) -> DataFrame:
-    """Every set of a large group against a few pivots of the group."""
-    least = [F.min(F.struct(F.xxhash64("node", F.lit(k)), "node", "n", "sketch")).alias(f"p{k}") for k in range(PIVOTS)]
-    rows = large.select("path", "node", "n", "sketch").join(large.groupBy("path").agg(*least), "path")
-    pivots = [F.col(f"p{k}.{c}").alias(f"{c}{k}") for k in range(PIVOTS) for c in ("node", "n", "sketch")]
-    return rows.select("node", "n", "sketch", *pivots).mapInArrow(_star_pairs(part), "x binary, y binary")
+def _stars(held: DataFrame, part: float) -> DataFrame:
+    """Every set of a group against the pivot of the group: the set that has most tokens in common with others."""
+    pivot = held.groupBy("path").agg(F.max(F.struct("score", "node", "n", "sketch")).alias("p"))
+    rows = held.select("path", "node", "n", "sketch").join(pivot, "path").where("node <> p.node")
+    return rows.select("node", "n", "sketch", "p.node", "p.n", "p.sketch").toDF("node", "n", "sketch", "node0", "n0", "sketch0").mapInArrow(
+        _star_pairs(part), "x binary, y binary")
 
 
-def _against_others(mixed: DataFrame, part: float, leaf: int) -> DataFrame:
+def _against_others(mixed: DataFrame) -> DataFrame:
     """Groups with a few sets outside their main component: those go to every part of the group."""
-    parts = F.ceil(F.col("size") / leaf).cast("int")
-    own = F.pmod(F.xxhash64("node"), parts).cast("int")
-    where = F.when(F.col("label") == F.col("main"), F.array(own)).otherwise(F.sequence(F.lit(0), parts - 1))
-    dealt = mixed.withColumn("part", F.explode(where))
-    return _in_groups(dealt.withColumn("group", F.xxhash64("path", "part")), part, True)
+    own = F.pmod(F.xxhash64("node"), "parts").cast("int")
+    where = F.when(F.col("label") == F.col("main"), F.array(own)).otherwise(F.sequence(F.lit(0), F.col("parts") - 1))
+    return mixed.withColumn("part", F.explode(where)).withColumn("group", F.xxhash64("path", "part")).select(*GROUPED)
 
 
-def _in_blocks(large: DataFrame, part: float, leaf: int) -> DataFrame:
+def _in_blocks(large: DataFrame) -> DataFrame:
     """Exact comparison, across components, of groups that stayed large: block against block."""
-    rows = large.withColumn("blocks", F.ceil(F.col("size") / (leaf // 2)).cast("int"))
+    rows = large.withColumn("blocks", F.col("parts") * 2)
     rows = rows.withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    group = F.xxhash64("path", F.least("mine", "other"), F.greatest("mine", "other"))
-    return _in_groups(rows.withColumn("group", group), part, True)
+    return rows.withColumn("group", F.xxhash64("path", F.least("mine", "other"), F.greatest("mine", "other"))).select(*GROUPED)

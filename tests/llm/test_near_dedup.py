@@ -74,3 +74,54 @@ def test_repeated_rows_leave_one(docs_of):
 def test_empty_table(docs_of):
     assert N.near_duplicates(docs_of([])).count() == 0
     assert N.keep_one(docs_of([])).count() == 0
+
+
+def test_a_group_of_near_copies_costs_its_size(spark, docs_of, monkeypatch):
+    """No table of pairs or group members grows with the square of a group of near copies."""
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(150)]
+    rows = [(i, edited(base, rng.choice([0.0, 0.01, 0.02, 0.03, 0.05]), rng)) for i in range(700)]
+    sizes, real = {}, N.written
+
+    def keep(spark, df, name):
+        out = real(spark, df, name)
+        sizes[name] = max(sizes.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(N, "written", keep)
+    assert got(N.near_duplicates(docs_of(rows))) == brute(rows)
+    paths = 1.5 * N.TREES * len(rows)
+    assert sizes["level"] <= paths and sizes["mixed"] <= paths and sizes["open"] <= paths
+    assert sizes["candidates"] <= 6 * len(rows) and sizes["links"] <= 6 * len(rows)
+
+
+def test_index_finds_a_spanning_set_of_links():
+    import numpy as np
+    rng = random.Random(2)
+    for _ in range(60):
+        base = list(range(40))
+        sets = [np.array(sorted(set(rng.sample(base, rng.randrange(20, 41)) + [100 + rng.randrange(5)])), np.uint64) for _ in range(rng.randrange(2, 25))]
+        label = np.array([rng.randrange(len(sets)) for _ in sets])
+        def groups(links):
+            parent = list(range(len(sets)))
+            def top(x):
+                while parent[x] != x:
+                    x = parent[x]
+                return x
+            for i in range(len(sets)):
+                for j in range(i):
+                    if label[i] == label[j]:
+                        parent[top(i)] = top(j)
+            for i, j in links:
+                parent[top(i)] = top(j)
+            return {tuple(sorted(k for k in range(len(sets)) if top(k) == top(i))) for i in range(len(sets))}
+        everything = []
+        for i in range(len(sets)):
+            for j in range(i):
+                both = len(np.intersect1d(sets[i], sets[j]))
+                if 100 * both >= 75 * (len(sets[i]) + len(sets[j]) - both):
+                    everything.append((i, j))
+        _, dense = np.unique(label, return_inverse=True)
+        found = N._linked(sets, dense, 75, 100)
+        assert set(found) <= {(i, j) for i, j in everything} | {(j, i) for i, j in everything}
+        assert groups(found) == groups(everything) and len(found) < len(sets)
