@@ -316,22 +316,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     frontier = reps.select(F.explode("paths").alias("path"), F.xxhash64("node").alias("id"))
     for level in range(depth):
         sizes = frontier.groupBy("path").agg(F.count("*").alias("size")).where("size > 1")
-        grouped = frontier.join(sizes, "path")
-        score = grouped.groupBy("id").agg(F.sum("size").alias("score"))
-        held = written(spark, grouped.join(short.join(score, "id"), "id").drop("id"), "level")
-        scratch.append(held)
-        edges.append(_confirm(texts, reps, _ordered(_stars(held, part)), shingle, threshold))
+        grouped = written(spark, frontier.join(sizes, "path"), "level")  # ids only: sketches join what is compared
+        scratch.append(grouped)
+        edges.append(_confirm(texts, reps, _ordered(_stars(grouped, short, part)), shingle, threshold))
         labels = components(_union(edges))
-        held = _labelled(held, labels)
+        held = grouped.join(_labelled(short.select("id", "node", "n"), labels), "id")
         of_label = held.groupBy("path", "label").agg(F.count("*").alias("own"), F.sum("n").alias("items"))
         main = of_label.groupBy("path").agg(F.max(F.struct("own", "label")).alias("main"), F.sum("items").alias("items"))
         main = main.select("path", F.col("main.label").alias("main"), F.col("main.own").alias("own"), "items")
         mixed = held.join(main, "path").withColumn("others", F.col("size") - F.col("own")).where("others > 0")
         fits = (F.col("size") <= leaf) & ((F.col("items") <= LEAF_ITEMS) | (F.col("size") == 2))
         parts = F.greatest(F.ceil(F.col("size") / leaf), F.ceil(F.col("items") / LEAF_ITEMS)).cast("int")
-        mixed = written(spark, mixed.withColumns({"fits": fits, "parts": parts}).drop("score"), "mixed")
+        mixed = written(spark, mixed.select("path", "node", "label", "main", "size", "others", fits.alias("fits"), parts.alias("parts")), "mixed")
         scratch.append(mixed)
-        small.append(mixed.where("fits").withColumn("group", F.col("path")).select(*GROUPED))
+        small.append(mixed.where("fits").select(F.col("path").alias("group"), "node"))
         few = F.col("others") <= leaf
         small.append(_against_others(mixed.where(~F.col("fits") & few)))
         large = mixed.where(~F.col("fits") & ~few)
@@ -339,9 +337,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             break
         if level == depth - 1:
             small.append(_in_blocks(large))
-        frontier = large.select("path", F.xxhash64("node").alias("id"), "sketch").mapInArrow(_branch, "path long, id long")
+        frontier = large.select("path", "node").join(short, "node").select("path", "id", "sketch").mapInArrow(_branch, "path long, id long")
 
-    edges.append(_compared(texts, reps, _labelled(_union(small), labels), shingle, part, threshold))
+    edges.append(_compared(texts, reps, _union(small).join(_labelled(reps.select("node", "n", "sketch"), labels), "node"), shingle, part, threshold))
     discard(*scratch)
     found = components(_union(edges))
     named = reps.select("node", "doc_id").join(found, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -380,10 +378,6 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-#: columns of the rows of a group that is compared
-GROUPED = ("group", "node", "n", "sketch")
-
-
 def _grouped(rows: DataFrame) -> DataFrame:
     """Rows of a group stand together."""
     return rows.repartition("group").sortWithinPartitions("group")
@@ -392,7 +386,7 @@ def _grouped(rows: DataFrame) -> DataFrame:
 def _compared(docs: DataFrame, reps: DataFrame, rows: DataFrame, size: int, part: float, threshold: tuple[int, int]) -> DataFrame:
     """Links across components within groups: told by sketch which sets may have one, then by their full sets."""
     spark = docs.sparkSession
-    rows = _grouped(rows.select(*GROUPED, "label"))
+    rows = _grouped(rows.select("group", "node", "n", "sketch", "label"))
     open_ = written(spark, rows.mapInArrow(_open_sets(part), "group long, node binary, label binary"), "open")
     sets = _lookup(docs, reps, open_.select("node"), size)
     full = _grouped(open_.join(sets, "node").select("group", "node", "label", "items"))
@@ -405,19 +399,21 @@ def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
-def _stars(held: DataFrame, part: float) -> DataFrame:
-    """Every set of a group against the pivot of the group: the set that has most tokens in common with others."""
-    pivot = held.groupBy("path").agg(F.max(F.struct("score", "node", "n", "sketch")).alias("p"))
-    rows = held.select("path", "node", "n", "sketch").join(pivot, "path").where("node <> p.node")
-    return rows.select("node", "n", "sketch", "p.node", "p.n", "p.sketch").toDF("node", "n", "sketch", "node0", "n0", "sketch0").mapInArrow(
-        _star_pairs(part), "x binary, y binary")
+def _stars(grouped: DataFrame, short: DataFrame, part: float) -> DataFrame:
+    """Every set of a group against the pivot of the group: the set that has most tokens in common with others.
+    Groups of one origin have the same pivot, so their pairs are told apart before sketches are looked at."""
+    score = grouped.groupBy("id").agg(F.sum("size").alias("score"))
+    pivot = grouped.join(score, "id").groupBy("path").agg(F.max(F.struct("score", "id")).alias("p"))
+    pairs = grouped.join(pivot.select("path", F.col("p.id").alias("pivot")), "path").where("id <> pivot").select("id", "pivot").distinct()
+    rows = pairs.join(short, "id").drop("id").join(short.toDF("pivot", "node0", "n0", "sketch0"), "pivot").drop("pivot")
+    return rows.select("node", "n", "sketch", "node0", "n0", "sketch0").mapInArrow(_star_pairs(part), "x binary, y binary")
 
 
 def _against_others(mixed: DataFrame) -> DataFrame:
     """Groups with a few sets outside their main component: those go to every part of the group."""
     own = F.pmod(F.xxhash64("node"), "parts").cast("int")
     where = F.when(F.col("label") == F.col("main"), F.array(own)).otherwise(F.sequence(F.lit(0), F.col("parts") - 1))
-    return mixed.withColumn("part", F.explode(where)).withColumn("group", F.xxhash64("path", "part")).select(*GROUPED)
+    return mixed.withColumn("part", F.explode(where)).select(F.xxhash64("path", "part").alias("group"), "node")
 
 
 def _in_blocks(large: DataFrame) -> DataFrame:
@@ -425,4 +421,4 @@ def _in_blocks(large: DataFrame) -> DataFrame:
     rows = large.withColumn("blocks", F.col("parts") * 2)
     rows = rows.withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return rows.withColumn("group", F.xxhash64("path", F.least("mine", "other"), F.greatest("mine", "other"))).select(*GROUPED)
+    return rows.select(F.xxhash64("path", F.least("mine", "other"), F.greatest("mine", "other")).alias("group"), "node")
