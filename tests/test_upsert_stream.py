@@ -157,3 +157,16 @@ def test_published_marts_are_in_order(spark, tmp_out, name, order):
         return [(0, "") if r[o.lstrip("-")] is None else (1, -r[o[1:]] if o[0] == "-" else r[o]) for o in order]
 
     assert rows == sorted(rows, key=key) and len(rows) > 5
+
+
+def test_undated_flights_of_different_days_stay_apart(spark, flights, tmp_out):
+    """Without a date, equal key parts do not make two flights one; a replay adds nothing."""
+    table = os.path.join(tmp_out, "table")
+    two = flights.limit(20).withColumn("fl_date", F.lit(None).cast("date")).withColumn("crs_dep_time", F.lit(None).cast("timestamp_ntz"))
+    days = two.withColumn("dep_delay", F.lit(1).cast("bigint")).unionByName(two.withColumn("dep_delay", F.lit(2).cast("bigint")))
+    upsert.initial_load(flights, table)
+    for _ in range(2):
+        upsert.upsert_months(spark, table, days)
+        left = read_layer(spark, table, FLIGHTS)
+        assert left.where("fl_date is null").count() == days.distinct().count()
+        assert left.where("fl_date is not null").count() == flights.count()
