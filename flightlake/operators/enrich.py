@@ -57,7 +57,8 @@ def combine(flights: DataFrame, lk: Lookups) -> DataFrame:
     Six left lookup joins (origin/destination airport-state, cancellation,
     weather, marketing/operating carrier); every lookup is size-checked and
     broadcast, so the fact table is never shuffled while they fit. Beyond
-    the bound a lookup falls back to a shuffle join. Flight columns keep
+    the bound a lookup goes through a hybrid join: the rows of frequent keys by
+    broadcast, the others by shuffle. Flight columns keep
     their order, followed by the ten enrichment columns.
     """
     small = lk.small()
@@ -68,19 +69,19 @@ def combine(flights: DataFrame, lk: Lookups) -> DataFrame:
     cols = {"airport_state_name": "_state_name", "airport_state_code": "_state_code",
             "airport_state_population": "_state_population"}
     df = lookup_join(flights, states, "origin", "airport",
-                     {k: "origin" + v for k, v in cols.items()}, known_small=states_small)
+                     {k: "origin" + v for k, v in cols.items()}, known_small=states_small, keys_from=flights)
     df = lookup_join(df, states, "destination", "airport",
-                     {k: "destination" + v for k, v in cols.items()}, known_small=states_small)
+                     {k: "destination" + v for k, v in cols.items()}, known_small=states_small, keys_from=flights)
     df = lookup_join(df, lk.cancellation_codes, "cancelled", "STATUS",
                      {"CANCELLATION_REASON": "cancellation_reason"},
-                     known_small=small["cancellation_codes"])
+                     known_small=small["cancellation_codes"], keys_from=flights)
     df = lookup_join(df, lk.weather_codes, "active_weather", "STATUS",
                      {"WEATHER_DESCRIPTION": "weather_description"},
-                     known_small=small["weather_codes"])
+                     known_small=small["weather_codes"], keys_from=flights)
     df = lookup_join(df, lk.carriers, "mkt_unique_carrier", "CODE",
-                     {"DESCRIPTION": "mkt_carrier_name"}, known_small=small["carriers"])
+                     {"DESCRIPTION": "mkt_carrier_name"}, known_small=small["carriers"], keys_from=flights)
     df = lookup_join(df, lk.carriers, "op_unique_carrier", "CODE",
-                     {"DESCRIPTION": "op_carrier_name"}, known_small=small["carriers"])
+                     {"DESCRIPTION": "op_carrier_name"}, known_small=small["carriers"], keys_from=flights)
     return df.select(*flights.columns, *ENRICHMENT.fieldNames())
 
 

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A side is broadcast only when the files behind it hold at most this many
 # bytes. Lookups here are narrow (a key plus one to three short strings);
@@ -41,13 +42,18 @@ def sized_broadcast(df: DataFrame, known_small: bool | None = None) -> DataFrame
 
 def lookup_join(fact: DataFrame, lookup: DataFrame, left_on: str, right_on: str,
                 columns: dict[str, str], how: str = "left",
-                known_small: bool | None = None) -> DataFrame:
+                known_small: bool | None = None, keys_from: DataFrame | None = None) -> DataFrame:
     """Join ``fact`` to a lookup and append ``columns`` (source -> new name).
 
     The lookup key is dropped after the join (the fact keeps its own key),
     and only the named lookup columns travel, so a wide lookup never widens
-    the broadcast.
+    the broadcast. ``keys_from``, a table with the fact's keys, lets a left join to a
+    lookup beyond the broadcast bound go through :func:`hybrid_lookup_join`.
     """
+    if keys_from is not None and how == "left" and _comparable(fact, left_on, lookup, right_on):
+        small = fits(lookup) if known_small is None else known_small
+        if not small:
+            return hybrid_lookup_join(fact, lookup, left_on, right_on, columns, keys_from)
     key = f"__lk_{right_on}"
     side = lookup.select(F.col(right_on).alias(key),
                          *[F.col(src).alias(dst) for src, dst in columns.items()])
@@ -55,6 +61,64 @@ def lookup_join(fact: DataFrame, lookup: DataFrame, left_on: str, right_on: str,
     return fact.join(side, fact[left_on] == side[key], how).drop(key)
 
 
+#: Frequent fact keys that a hybrid join answers from a broadcast, at most, and the share of fact rows sampled to find them.
+HOT_KEYS = 4096
+HOT_SAMPLE = 0.01
+
+
+def heavy_keys(fact: DataFrame, key: str, most: int = HOT_KEYS, fraction: float = HOT_SAMPLE) -> DataFrame:
+    """The (at most ``most``) most frequent non-NULL values of ``key`` in a sample of the rows, as ``hot_key``.
+
+    Lazy, one pass over one column; the counts are merged on the map side.
+    """
+    seen = fact.select(F.col(key).alias("hot_key")).where(F.col("hot_key").isNotNull()).sample(fraction, seed=17)
+    counted = seen.groupBy("hot_key").agg(F.count(F.lit(1)).alias("n"))
+    return counted.orderBy(F.desc("n"), "hot_key").limit(most).select("hot_key")
+
+
+def _comparable(fact: DataFrame, left_on: str, lookup: DataFrame, right_on: str) -> bool:
+    """Does the lookup key have the fact key's type, or an integer type for a double?"""
+    kind, other = fact.schema[left_on].dataType, lookup.schema[right_on].dataType
+    return kind == other or (isinstance(kind, T.DoubleType) and isinstance(other, T.IntegralType))
+
+
+def hybrid_lookup_join(fact: DataFrame, lookup: DataFrame, left_on: str, right_on: str, columns: dict[str, str],
+                       keys_from: DataFrame | None = None, most: int = HOT_KEYS, fraction: float = HOT_SAMPLE) -> DataFrame:
+    """:func:`lookup_join` (left) for a lookup that is too large to broadcast, with frequent or NULL fact keys.
+
+    The lookup's rows of the frequent keys are broadcast: at most ``most`` rows, since a key that
+    repeats in the lookup is left to the shuffle. All other keys go through a shuffle join. Rows that the broadcast has answered,
+    and rows with a NULL key, take part in that shuffle under a hash of the whole row, which
+    matches nothing, so no partition collects them. The frequent keys are sampled from ``keys_from`` (the fact
+    itself; name the table behind it when ``fact`` is a join already, which would run twice). A sample that misses a
+    frequent key costs balance, never rows. An integer lookup key may meet a double.
+    """
+    kind = fact.schema[left_on].dataType
+    if not _comparable(fact, left_on, lookup, right_on):
+        raise TypeError(f"{right_on} does not fit into the type of {left_on} ({kind.simpleString()}): cast one of them")
+    side = lookup.select(F.col(right_on).cast(kind).alias("__key"), F.struct(
+        *[F.col(src).alias(dst) for src, dst in columns.items()]).alias("__row"))
+    hot = heavy_keys(fact if keys_from is None else keys_from, left_on, most, fraction)
+    # one aggregate over lookup rows and marks: a marked key without a lookup row is answered too, with NULLs
+    marked = side.select("__key", "__row", F.lit(1).alias("n"), F.lit(False).alias("hot")).unionByName(
+        hot.select(F.col("hot_key").alias("__key"), F.lit(None).cast(side.schema["__row"].dataType).alias("__row"),
+                   F.lit(0).alias("n"), F.lit(True).alias("hot")))
+    known = marked.groupBy("__key").agg(F.max("hot").alias("hot"), F.sum("n").alias("n"),
+                                        F.first("__row", ignorenulls=True).alias("__hot_row"))
+    known = known.where(F.col("hot") & (F.col("n") <= 1)).select(F.col("__key").alias("__hot"), "__hot_row")
+
+    near = fact.join(F.broadcast(known), fact[left_on] == known["__hot"], "left")
+    settled = F.col("__hot").isNotNull() | F.col(left_on).isNull()
+    place = F.struct(F.when(~settled, F.col(left_on)).alias("k"),
+                     F.when(settled, F.xxhash64(*fact.columns)).alias("spread"))
+    cold = side.where(F.col("__key").isNotNull()).select(
+        F.struct(F.col("__key").alias("k"), F.lit(None).cast("long").alias("spread")).alias("__at"), F.col("__row").alias("__cold_row"))
+    out = near.withColumn("__place", place).join(cold, F.col("__place") == F.col("__at"), "left")
+    return out.select(*[fact[c] for c in fact.columns], *[
+        F.when(F.col("__hot").isNotNull(), F.col(f"__hot_row.{dst}")).otherwise(F.col(f"__cold_row.{dst}")).alias(dst)
+        for dst in columns.values()])
+
+
 def null_safe_keys(left: DataFrame, right: DataFrame, keys: Sequence[str],
                    prefix: str = "__r_") -> tuple[DataFrame, Column]:
     """Rename ``right``'s key columns and build a NULL-safe equality on them.

@@ -7,6 +7,8 @@ flight-shaped fixture inputs, so its work grows with the data.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +16,7 @@ from pyspark.sql import types as T
 
 from flightlake.functions.columns import first_of_month, zero_pad
 from flightlake.operators import analytics, marts, quality, stats
-from flightlake.operators.enrich import combine, guarded_counts
+from flightlake.operators.enrich import LOOKUP_NAMES, combine, guarded_counts
 from flightlake.operators.joins import lookup_join
 from flightlake.operators.transform import (
     PARTITION_KEY,
@@ -35,6 +37,7 @@ from flightlake.schemas import (
     STATE_MONTHLY,
 )
 from flightlake.session import scratch_path
+from flightlake.sinks import clustering
 from flightlake.sinks import upsert as upsert_sink
 from flightlake.sinks.writers import schema_dictionary, write_partitioned
 from flightlake.sources import fixtures
@@ -134,6 +137,15 @@ def join_carrier_roles(spark, sf_dir):
                     "mkt_carrier_name", "op_carrier_name")
 
 
+@register("join_hybrid_all")
+def join_hybrid_all(spark, sf_dir):
+    """The wide table with every lookup treated as too large to broadcast (the join that flights
+    go through beyond the bound)."""
+    t = flows.typed(spark, sf_dir)
+    beyond = dict.fromkeys((*LOOKUP_NAMES, "airport_states"), False)
+    return combine(t.flights, replace(t.lookups, _small=beyond))
+
+
 @register("join_cardinality_guard")
 def join_cardinality_guard(spark, sf_dir):
     t = flows.typed(spark, sf_dir)
@@ -441,6 +453,19 @@ def incremental_refresh(spark, sf_dir):
             .csv(Layout(raw, out).layer("marts", "operating_carrier_stats")))
 
 
+@register("clustered_week_at_airport")
+def clustered_week_at_airport(spark, sf_dir):
+    """Flights of the first week from the first airport, read from all flights laid along a
+    space-filling curve over day and origin: only files whose ranges meet both are opened."""
+    flights = flows.typed(spark, sf_dir).flights
+    path = scratch_path(spark, "clustered")
+    clustering.write_clustered(flights, path, ["fl_date", "origin"], file_rows=2_000)
+    first = spark.read.parquet(f"{path}/{clustering.MANIFEST}").agg(F.min("low_fl_date").alias("day"), F.min("low_origin").alias("at")).first()
+    day = first["day"]
+    bounds = {"fl_date": (day, day + timedelta(days=6) if day else None), "origin": (first["at"], first["at"])}
+    return clustering.read_clustered(spark, path, flights.schema, bounds)
+
+
 @register("layer_size_audit")
 def layer_size_audit(spark, sf_dir):
     # Rows and columns of the raw layer (CSV text) and the typed layer

@@ -138,8 +138,14 @@ def q(name: str, select: str) -> None:
 
 q("combined_wide", "SELECT * FROM combined")
 
+q("join_hybrid_all", "SELECT * FROM combined")
+
 q("flights_typed", "SELECT * FROM flights")
 
+q("clustered_week_at_airport", """
+SELECT * FROM flights WHERE origin = (SELECT min(origin) FROM flights)
+ AND fl_date <= (SELECT min(fl_date) FROM flights) + INTERVAL 6 DAY""")
+
 q("carrier_daily", """
 SELECT fl_date, op_unique_carrier,
  CAST(sum(dep_delay) AS BIGINT) AS total_departure_delay, avg(dep_delay) AS avg_departure_delay,

@@ -1,0 +1,66 @@
+"""Space-filling order: right rows, few files, odd values."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from flightlake.sinks import clustering as C
+
+DAY = dt.date(2022, 1, 1)
+
+
+def flights(spark, n=20_000):
+    day = F.expr("date_add(DATE'2022-01-01', cast(pmod(xxhash64(id, 1), 60) as int))")
+    at = F.concat(F.lit("A"), F.lpad(F.pmod(F.xxhash64("id", F.lit(2)), F.lit(50)).cast("string"), 2, "0"))
+    return spark.range(n).select("id", F.when(F.col("id") % 97 != 0, day).alias("fl_date"), F.when(F.col("id") % 89 != 0, at).alias("origin"))
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("clustered") / "flights")
+    df = flights(spark)
+    return df, path, C.write_clustered(df, path, ["fl_date", "origin"], file_rows=200)
+
+
+def test_all_rows_once(spark, stored):
+    df, path, manifest = stored
+    back = spark.read.parquet(path)
+    assert back.columns == df.columns
+    assert back.exceptAll(df).isEmpty() and df.exceptAll(back).isEmpty()
+    assert manifest.agg(F.sum("rows")).first()[0] == df.count()
+
+
+@pytest.mark.parametrize("bounds, share", [
+    ({"fl_date": (DAY, DAY), "origin": ("A07", "A07")}, 0.08),
+    ({"fl_date": (DAY, DAY + dt.timedelta(2))}, 0.3),
+    ({"origin": ("A07", "A08")}, 0.3),
+    ({"fl_date": (DAY + dt.timedelta(30), None), "origin": (None, "A20")}, 0.5),
+    ({"fl_date": (DAY, DAY), "id": (0, 5000)}, 0.3),
+    ({"origin": ("B", None)}, 0.0),
+])
+def test_filter_reads_few_files(spark, stored, bounds, share):
+    df, path, manifest = stored
+    got = C.read_clustered(spark, path, df.schema, bounds)
+    want = df
+    for c, (low, high) in bounds.items():
+        want = want.where(F.col(c).between(low, high)) if None not in (low, high) else want.where(F.col(c) >= low if high is None else F.col(c) <= high)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    known = {c: b for c, b in bounds.items() if c != "id"}
+    assert C.meeting(manifest, known).count() <= share * manifest.count()
+
+
+def test_hot_cell_is_spread(spark, tmp_path):
+    df = spark.range(4000).select("id", F.lit("X").alias("origin"), F.lit(DAY).alias("fl_date"))
+    manifest = C.write_clustered(df, str(tmp_path / "hot"), ["fl_date", "origin"], file_rows=200)
+    assert manifest.agg(F.max("rows")).first()[0] <= 600
+
+
+def test_empty_and_all_null(spark, tmp_path):
+    df = spark.range(0).select("id", F.lit(None).cast("date").alias("fl_date"))
+    C.write_clustered(df, str(tmp_path / "none"), ["fl_date"])
+    assert C.read_clustered(spark, str(tmp_path / "none"), df.schema, {"fl_date": (DAY, None)}).isEmpty()
+    df = spark.range(10).select("id", F.lit(None).cast("date").alias("fl_date"))
+    C.write_clustered(df, str(tmp_path / "null"), ["fl_date"])
+    assert C.read_clustered(spark, str(tmp_path / "null"), df.schema, {"fl_date": (DAY, None)}).isEmpty()
+    assert spark.read.parquet(str(tmp_path / "null")).count() == 10
