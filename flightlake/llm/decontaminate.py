@@ -16,18 +16,22 @@ most ``EDITS`` of its words edited.
 
 Items of fewer than ``SEEDED`` words have too few windows for that at the limit of edits. They are also cut into
 one run of words more than they may have edits: one run at least is left whole, and its exact match proposes the
-item, so every passage of such an item within the limit is proposed.
+item, so every passage of such an item within the limit is proposed. Items of fewer than ``LEAST_WORDS`` words are one
+such run: they count as found only whole and unedited.
+
+In scripts that are written without spaces (Han, kana, Thai, Lao, Burmese, Khmer) each character is a word.
 
 The benchmark is the small side: it is read in blocks of at most ``BLOCK_ITEMS`` items, and each block is
 searched in all documents, so nothing grows without bound on the driver or in a broadcast.
 
-Defined results: null or empty texts and items with fewer than ``LEAST_WORDS`` words match nothing; a null
+Defined results: null texts, and texts or items without a word, match nothing; a null
 document id is reported as null; repeated documents and repeated items are each reported; empty tables give
 an empty result; other columns are ignored. Very long texts are searched whole.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -40,6 +44,8 @@ from . import hashing
 from .common import columns, ship
 
 EDITS = 0.25
+#: UTF-8 of a character of the scripts without spaces.
+_UNSPACED = re.compile(rb"([\xe3-\xe9][\x80-\xbf]{2}|\xe0[\xb8-\xbb][\x80-\xbf]|\xe1[\x80-\x82\x9e\x9f][\x80-\xbf]|\xf0[\xa0-\xb3][\x80-\xbf]{2})")
 #: Size classes: least words of an item, words of a window.
 WINDOWS = ((12, 9), (6, 5))
 LEAST_WORDS = 6
@@ -56,6 +62,23 @@ SCHEMA = "doc_id long, item_id long, edits int, item_words int, first_word long,
 _ODD = np.random.default_rng(4).integers(0, 2**63, (WALKS, 4 * max(w for _, w in WINDOWS)), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+def slack_of(words: int) -> int:
+    """Words that may be edited in an item."""
+    return int(EDITS * words) if words >= LEAST_WORDS else 0
+
+
+def _words(column: pa.Array) -> Iterator[tuple]:
+    """:func:`hashing.words_of_rows`, with the characters of unspaced scripts set apart."""
+    rows = list(hashing.rows_of(column))
+    high = [i for i, r in enumerate(rows) if len(r) and r.max() >= 0xE0]
+    if high:
+        rows = [r.tobytes() for r in rows]
+        for i in high:
+            rows[i] = _UNSPACED.sub(rb" \1 ", rows[i])
+        column = pa.array(rows, pa.large_binary())
+    return hashing.words_of_rows(column, hashing.SEPARATOR)
+
+
 def _advance(step: int, words: np.ndarray, walk: int) -> np.ndarray:
     """The walk's random bit for the words it stands on."""
     return (words * _ODD[walk, step]) >> np.uint64(63)
@@ -168,11 +191,11 @@ def build_index(items: list[tuple[int, np.ndarray]]) -> Index:
 
 
 def _seeds(items: list[tuple[int, np.ndarray]]) -> dict:
-    """Runs of the items below ``SEEDED`` words, of which ``int(EDITS * n)`` edits leave one whole."""
+    """Runs of the items below ``SEEDED`` words, of which as many edits as they may have leave one whole."""
     runs: dict[int, list] = {}
     for k, (_, words) in enumerate(items):
-        if LEAST_WORDS <= len(words) < SEEDED:
-            parts = int(EDITS * len(words)) + 1
+        if 0 < len(words) < SEEDED:
+            parts = slack_of(len(words)) + 1
             cuts = [i * len(words) // parts for i in range(parts + 1)]
             for a, b in zip(cuts, cuts[1:]):
                 runs.setdefault(b - a, []).append((hashing.shingles(words[a:b], b - a)[0], k, a))
@@ -244,7 +267,7 @@ def passage_distance(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]
 
 def _search(words: np.ndarray, counts: np.ndarray, index: Index, unpacked: list) -> Iterator[tuple[int, int, int, int, int]]:
     """(row, item, edits, first word, last word) of the best passage of each found item, for rows whose words are concatenated."""
-    gap = max([len(w) for w in index.items], default=0) and max(k.window for k in index.classes) + 1
+    gap = max((len(w) for w in index.items), default=0) + max((k.window for k in index.classes), default=0) + 1
     ends = np.cumsum(counts)
     begins = ends - counts
     at = begins + gap * np.arange(len(counts))
@@ -261,7 +284,7 @@ def _search(words: np.ndarray, counts: np.ndarray, index: Index, unpacked: list)
             regions.setdefault((r, item), []).append(start - int(at[r]))
     for (row, item), places in regions.items():
         own, n = index.items[item], len(index.items[item])
-        slack = int(EDITS * n)
+        slack = slack_of(n)
         text = words[begins[row]: ends[row]]
         done = -1
         for place in sorted(places):
@@ -274,6 +297,8 @@ def _search(words: np.ndarray, counts: np.ndarray, index: Index, unpacked: list)
             edits, a, b = passage_distance(own, text[low:high])
             if edits <= slack and (edits, a + low) < best.get((row, item), (n + 1, 0, 0))[:2]:
                 best[row, item] = (edits, a + low, b + low - 1)
+                if not edits:  # the first unedited place: every later one starts later
+                    break
     for (row, item), (edits, a, b) in sorted(best.items()):
         yield row, item, edits, a, b
 
@@ -283,8 +308,8 @@ def _unpacked(index: Index) -> list:
 
 
 def _found(column: pa.Array, index: Index, unpacked: list) -> Iterator[tuple[int, int, int, int, int]]:
-    if index.classes:
-        for first, _, (_, _, h), counts in hashing.words_of_rows(column, hashing.SEPARATOR):
+    if index.classes or index.seeds:
+        for first, _, (_, _, h), counts in _words(column):
             if len(h):
                 for row, *rest in _search(h, counts, index, unpacked):
                     yield first + row, *rest
@@ -299,7 +324,7 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[Index]
         mine = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part) if parts > 1 else items
         rows = mine.orderBy("item_id", "text").collect()  # a block of the benchmark: bounded by BLOCK_ITEMS
         column = pa.array([bytes(r["text"]) for r in rows], pa.binary())
-        words = [h[e - n: e] for _, _, (_, _, h), c in hashing.words_of_rows(column, hashing.SEPARATOR) for n, e in zip(c, np.cumsum(c))]
+        words = [h[e - n: e] for _, _, (_, _, h), c in _words(column) for n, e in zip(c, np.cumsum(c))]
         yield build_index([(r["item_id"], w) for r, w in zip(rows, words)])
 
 

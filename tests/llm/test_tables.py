@@ -240,12 +240,40 @@ def test_leaks_odd_rows(spark, odd, docs_of):
     base = " ".join(f"word{i}" for i in range(5, 25))
     table = spark.createDataFrame([(1, base, "x"), (1, base, "y"), (2, None, "x"), (3, "", "x"), (None, base, "x"), (4, "two words", "z")], "item_id long, text string, doc_id string")
     rows = decontaminate.find_leaks(odd, table).collect()
-    assert sorted((str(r.doc_id), str(r.item_id), r.edits) for r in rows) == sorted((d, i, 0) for d in ("1", "2", "2", "None") for i in ("1", "1", "None"))
+    assert sorted((str(r.doc_id), str(r.item_id), r.edits) for r in rows) == sorted(
+        [(d, i, 0) for d in ("1", "2", "2", "None") for i in ("1", "1", "None")] + [("6", "4", 0), ("7", "4", 0)])
     clean = decontaminate.drop_leaks(odd, table)
-    assert clean.columns == odd.columns and clean.count() == 8
+    assert clean.columns == odd.columns and clean.count() == 6
     assert decontaminate.find_leaks(docs_of([]), table).count() == 0 and decontaminate.find_leaks(odd, table.limit(0)).count() == 0
 
 
+def test_short_items_match_whole_and_unedited(spark, docs_of):
+    """Items of 1 to 5 words, against a plain search; the words' order, case and neighbours vary."""
+    rng = random.Random(5)
+    some = [f"v{i}" for i in range(6)]
+    items = [(n, [rng.choice(some) for _ in range(1 + n % 5)]) for n in range(30)]
+    docs = [(n, [rng.choice(some) for _ in range(rng.randrange(0, 40))]) for n in range(60)]
+    table = spark.createDataFrame([(i, " ".join(w).upper()) for i, w in items], "item_id long, text string")
+    found = {(r.doc_id, r.item_id): (r.edits, r.first_word, r.last_word) for r in decontaminate.find_leaks(docs_of([(d, "\n".join(w)) for d, w in docs]), table).collect()}
+    want = {}
+    for d, text in docs:
+        for i, item in items:
+            at = [a for a in range(len(text) - len(item) + 1) if text[a:a + len(item)] == item]
+            if at:
+                want[d, i] = (0, at[0], at[0] + len(item) - 1)
+    assert found == want and len(want) > 100
+
+
+def test_leaks_in_scripts_without_spaces(spark, docs_of):
+    item, thai = "天地玄黄宇宙洪荒日月盈昃辰宿列張寒来暑往", "กขคงจฉชซฌญฎฏฐฑฒณดตถท"
+    table = spark.createDataFrame([(1, item), (2, thai), (3, "你好")], "item_id long, text string")
+    edited = item[:7] + "水" + item[8:]
+    docs = docs_of([(1, "前文" + item + "後文"), (2, "abc " + edited), (3, "ก" + thai), (4, "前文後文 plain words"), (5, "你 好"), (6, item[:9]), (7, "é ü ж – “quoted”")])
+    rows = {(r.doc_id, r.item_id): (r.edits, r.first_word, r.last_word) for r in decontaminate.find_leaks(docs, table).collect()}
+    assert rows == {(1, 1): (0, 2, 21), (2, 1): (1, 1, 20), (3, 2): (0, 1, 20), (5, 3): (0, 0, 1)}
+    assert [r.doc_id for r in decontaminate.drop_leaks(docs, table).orderBy("doc_id").collect()] == [4, 6, 7]
+
+
 def test_benchmark_in_blocks_gives_the_same(spark, small_docs, monkeypatch):
     table = spark.read.parquet(f"{SMALL}/benchmark.parquet")
     whole = sorted(map(tuple, decontaminate.find_leaks(small_docs, table).collect()))
