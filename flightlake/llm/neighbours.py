@@ -1,10 +1,11 @@
 """Approximate nearest neighbours: a robust-pruned directed graph per shard, searched by beam.
 
-Vectors are dealt at random to shards of about ``SHARD_ROWS``. In each shard a graph is built point by
-point: a greedy search from the entry point proposes neighbours, relaxed distance pruning
+Vectors are dealt at random to shards of about ``SHARD_ROWS``. In each shard a graph is built batch by
+batch: a greedy search from the entry point proposes neighbours, relaxed distance pruning
 (``ALPHA``) keeps edges in diverse directions, and back edges are pruned the same way. The shards' graphs
-are written to the shared folder, one row each. Queries come in blocks of ``BLOCK`` vectors; every block
-meets every shard once, a beam search returns the shard's nearest, and the best over all shards are kept.
+are written to the shared folder, one row each, and stay where they are: queries come to them in blocks of
+about ``QUERY_BYTES``, each broadcast to one pass over the graphs. A beam search returns the shard's nearest for
+every query, and the best over all shards are kept. No shuffle carries points once the index is written.
 
 Equal vectors enter the graph once, with their ``k + 1`` smallest ids (no query can see further: ties go
 to smaller ids, and a query skips only itself), so copies cannot fill up a graph's edges. Distances are
@@ -30,93 +31,142 @@ from .common import columns, ship, written
 
 SHARD_ROWS = 4096
 DEGREE, BEAM_BUILD, BEAM_SEARCH, ALPHA = 24, 48, 96, 1.2
-BLOCK = 1024
+#: Open points expanded at a time; points inserted, or searched, at a time; bytes of queries sent to the shards at a time.
+EXPANDED, BATCH = 4, 64
+QUERY_BYTES = 64 << 20
 
 
 class Graph:
-    """A robust-pruned graph over the rows of ``points``."""
+    """A robust-pruned graph over the rows of ``points``; unused edges are -1. Many points are searched, or pruned, at once."""
 
     def __init__(self, points: np.ndarray, edges: np.ndarray, entry: int):
         self.points, self.edges, self.entry = points, edges, entry
         self.norms = (points * points).sum(axis=1)
 
-    def search(self, query: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
-        """Beam search from the entry: indices seen and their squared distances, nearest first."""
-        seen = np.zeros(len(self.points), bool)
-        seen[self.entry] = True
-        ids = np.array([self.entry])
-        far = self._squared(query, ids)
-        open_ = np.ones(1, bool)
-        visited, visited_far = [], []
+    def search(self, asked: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Beam search from the entry, for each row of ``asked``: ids and squared distances of the ``beam``
+        nearest, nearest first, and of all that were expanded on the way (absent: -1 at infinity)."""
+        rows = len(asked)
+        seen = np.zeros((rows, len(self.points)), bool)
+        seen[:, self.entry] = True
+        ids, far = np.full((rows, beam), -1), np.full((rows, beam), np.inf)
+        ids[:, 0], far[:, 0] = self.entry, ((self.points[self.entry] - asked) ** 2).sum(axis=1)
+        open_ = ids >= 0
+        passed, passed_far = [], []
         while True:
-            at = np.flatnonzero(open_[:beam])
-            if not len(at):
+            live = np.flatnonzero(open_.any(axis=1))
+            if not len(live):
                 break
-            step = at[:4]  # the nearest few that are still open
-            open_[step] = False
-            visited.append(ids[step])
-            visited_far.append(far[step])
-            near = self.edges[ids[step]].ravel()
-            near = near[near >= 0]
-            near = near[~seen[near]]
-            if len(near):
-                near = np.unique(near)
-                seen[near] = True
-                ids, far = np.concatenate([ids, near]), np.concatenate([far, self._squared(query, near)])
-                open_ = np.concatenate([open_, np.ones(len(near), bool)])
-                order = np.argsort(far, kind="stable")[:beam]
-                ids, far, open_ = ids[order], far[order], open_[order]
-        ids, far = np.concatenate([ids, *visited]), np.concatenate([far, *visited_far])
-        ids, first = np.unique(ids, return_index=True)
-        order = np.argsort(far[first], kind="stable")
-        return ids[order], far[first][order]
-
-    def _squared(self, query: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        d = self.points[ids] - query
-        return np.einsum("ij,ij->i", d, d)
-
-    def prune(self, point: int, ids: np.ndarray, far: np.ndarray) -> np.ndarray:
-        """Robust pruning: the nearest candidate stays and removes those it is ``ALPHA`` times closer to."""
-        keep = ids != point
-        ids, far = ids[keep], far[keep]
-        order = np.argsort(far, kind="stable")
-        ids, far = ids[order], far[order]
-        between = self.points[ids] @ self.points[ids].T
-        norms = self.norms[ids]
-        between = norms[:, None] + norms[None, :] - 2 * between
-        alive, kept = np.ones(len(ids), bool), []
-        for i in range(len(ids)):
-            if alive[i]:
-                kept.append(ids[i])
-                if len(kept) == DEGREE:
-                    break
-                alive &= ALPHA * ALPHA * between[i] > far
-        return np.array(kept, np.int64)
+            here, here_far, here_open = ids[live], far[live], open_[live]
+            step = here_open & (np.cumsum(here_open, axis=1) <= EXPANDED)  # the nearest few that are still open
+            at = np.argsort(~step, axis=1, kind="stable")[:, :EXPANDED]
+            chosen = np.where(np.take_along_axis(step, at, 1), np.take_along_axis(here, at, 1), -1)
+            for kept, values, none in ((passed, chosen, -1), (passed_far, np.where(chosen >= 0, np.take_along_axis(here_far, at, 1), np.inf), np.inf)):
+                whole = np.full((rows, EXPANDED), none)
+                whole[live] = values
+                kept.append(whole)
+            near = np.where(chosen[:, :, None] >= 0, self.edges[chosen], -1).reshape(len(live), -1)
+            near.sort(axis=1)
+            new = near >= 0
+            new[:, 1:] &= near[:, 1:] != near[:, :-1]
+            new &= ~seen[live[:, None], near]
+            r, c = np.nonzero(new)
+            found = near[r, c]
+            seen[live[r], found] = True
+            more = np.full(near.shape, np.inf)
+            gap = self.points[found] - asked[live[r]]
+            more[r, c] = np.einsum("ij,ij->i", gap, gap)
+            every, every_far = np.hstack([here, np.where(new, near, -1)]), np.hstack([here_far, more])
+            every_open = np.hstack([here_open & ~step, new])
+            order = np.argsort(every_far, axis=1, kind="stable")[:, :beam]
+            ids[live], far[live], open_[live] = (np.take_along_axis(x, order, 1) for x in (every, every_far, every_open))
+        return ids, far, np.hstack(passed), np.hstack(passed_far)
+
+    def prune(self, own: np.ndarray, ids: np.ndarray, far: np.ndarray) -> np.ndarray:
+        """Robust pruning, for each row: the nearest candidate stays and removes those it is ``ALPHA`` times closer to than
+        ``own`` is, until ``DEGREE`` stay."""
+        far = np.where((ids < 0) | (ids == own[:, None]), np.inf, far)
+        order = np.argsort(far, axis=1, kind="stable")
+        ids, far = np.take_along_axis(ids, order, 1), np.take_along_axis(far, order, 1)
+        points, norms = self.points[ids], self.norms[ids]
+        between = norms[:, :, None] + norms[:, None, :] - 2 * (points @ points.transpose(0, 2, 1))
+        alive, kept = np.isfinite(far), np.full((len(ids), DEGREE), -1)
+        rows = np.arange(len(ids))
+        for i in range(DEGREE):
+            if not alive.any():
+                break
+            first = alive.argmax(axis=1)
+            some = alive[rows, first]
+            kept[some, i] = ids[rows, first][some]
+            alive &= ALPHA * ALPHA * between[rows, first] > far
+            alive[rows, first] = False
+        return kept
+
+    def distances(self, own: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        gap = self.points[ids] - self.points[own][:, None, :]
+        return np.einsum("ijk,ijk->ij", gap, gap)
+
+
+def _batches(n: int) -> Iterator[tuple[int, int]]:
+    """Ranges of 1 to n - 1 that double up to ``BATCH``: a batch is never larger than what stands."""
+    at = 1
+    while at < n:
+        end = min(n, at + min(at, BATCH))
+        yield at, end
+        at = end
 
 
 def build(points: np.ndarray) -> Graph:
-    """The graph of a bounded shard, points inserted one after the other from the medoid on."""
+    """The graph of a bounded shard: from the medoid on, points are inserted batch by batch. Each is searched in the
+    graph so far; what it meets on the way and the rest of its batch are its candidates."""
     n = len(points)
     entry = int(((points - points.mean(axis=0)) ** 2).sum(axis=1).argmin())
-    graph = Graph(points, np.full((n, DEGREE), -1, np.int64), entry)
     order = np.random.default_rng(n).permutation(n)
-    for p in order:
-        if p == entry:
-            continue
-        ids, far = graph.search(points[p], BEAM_BUILD)
-        kept = graph.prune(p, ids[: 2 * BEAM_BUILD], far[: 2 * BEAM_BUILD])
-        graph.edges[p, : len(kept)] = kept
-        for q in kept:
-            row = graph.edges[q]
-            used = int((row >= 0).sum())
-            if used < DEGREE:
-                row[used] = p
-            else:
-                near = np.append(row, p)
-                again = graph.prune(q, near, graph._squared(points[q], near))
-                row[:] = -1
-                row[: len(again)] = again
-    return graph
+    order = np.concatenate(([entry], order[order != entry]))
+    graph = Graph(points, np.full((n, 2 * DEGREE), -1), entry)  # rows are pruned to DEGREE when they are full
+    used = np.zeros(n, np.int64)
+
+    def back(own: np.ndarray, other: np.ndarray) -> None:
+        """Edges from ``own`` (sorted) to ``other``."""
+        who, first, count = np.unique(own, return_index=True, return_counts=True)
+        place = np.arange(len(own)) - np.repeat(first, count)
+        more = np.full((len(who), count.max()), -1)
+        more[np.repeat(np.arange(len(who)), count), place] = other
+        fits = used[who] + count <= 2 * DEGREE
+        easy = np.repeat(fits, count)
+        graph.edges[own[easy], used[own[easy]] + place[easy]] = other[easy]
+        used[who[fits]] += count[fits]
+        full = np.flatnonzero(~fits)
+        for a in range(0, len(full), BATCH):
+            part = full[a: a + BATCH]
+            ids = np.hstack([graph.edges[who[part]], more[part]])
+            settle(who[part], graph.prune(who[part], ids, graph.distances(who[part], ids)))
+
+    def settle(own: np.ndarray, kept: np.ndarray) -> None:
+        graph.edges[own] = -1
+        graph.edges[own, :DEGREE] = kept
+        used[own] = (kept >= 0).sum(axis=1)
+
+    for a, b in _batches(n):
+        own = order[a:b]
+        ids, far, passed, passed_far = graph.search(points[own], BEAM_BUILD)
+        passed = np.where((passed[:, :, None] == ids[:, None, :]).any(axis=2), -1, passed)  # still in the beam: once is enough
+        mates = np.broadcast_to(own, (len(own), len(own)))
+        ids = np.hstack([ids, passed, mates])
+        far = np.hstack([far, np.where(passed >= 0, passed_far, np.inf), graph.distances(own, mates)])
+        nearest = np.argsort(far, axis=1, kind="stable")[:, : 2 * BEAM_BUILD]
+        kept = graph.prune(own, np.take_along_axis(ids, nearest, 1), np.take_along_axis(far, nearest, 1))
+        settle(own, kept)
+        from_, to = np.nonzero(kept >= 0)
+        target, source = kept[from_, to], own[from_]
+        by = np.argsort(target, kind="stable")
+        if len(by):
+            back(target[by], source[by])
+    wide = np.flatnonzero(used > DEGREE)
+    for a in range(0, len(wide), BATCH):
+        part = wide[a: a + BATCH]
+        settle(part, graph.prune(part, graph.edges[part], graph.distances(part, graph.edges[part])))
+    return Graph(points, graph.edges[:, :DEGREE].copy(), entry)
 
 
 def _usable(vector: Column) -> Column:
@@ -159,33 +209,51 @@ def build_index(vectors: DataFrame, k: int, shard_rows: int = SHARD_ROWS) -> Dat
     return written(spark, built, "graphs")
 
 
+def _query_blocks(queries: DataFrame) -> Iterator[dict[int, tuple[np.ndarray, np.ndarray]]]:
+    """The queries in blocks of about ``QUERY_BYTES``: by vector length, ids and vectors."""
+    size = queries.agg(F.sum(F.size("vector").cast("long") * 8)).first()[0] or 0
+    parts = -(-size // QUERY_BYTES)
+    for part in range(parts):
+        mine = queries.where(F.pmod(F.xxhash64("id", "vector"), F.lit(parts)) == part) if parts > 1 else queries
+        rows = mine.orderBy("id").collect()  # a block of the queries: bounded by QUERY_BYTES
+        block = {}
+        for dims in {len(r["vector"]) for r in rows}:
+            own = [r for r in rows if len(r["vector"]) == dims]
+            block[dims] = np.array([r["id"] for r in own]), np.array([r["vector"] for r in own], np.float64)
+        yield block
+
+
 def search(index: DataFrame, queries: DataFrame, k: int, beam: int = BEAM_SEARCH) -> DataFrame:
-    """``query_id, rank, vec_id, score``: the ``k`` nearest ids other than the query's own."""
-    blocks = queries.withColumn("dims", F.size("vector"))
-    count = max(1, -(-blocks.count() // BLOCK))
-    blocks = blocks.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(count)).cast("int")).groupBy("dims", "block").agg(
-        F.collect_list(F.struct("id", "vector")).alias("asked"))  # about BLOCK vectors each
-    pairs = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(count - 1)))).join(blocks, ["dims", "block"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                points = np.frombuffer(row["points"], np.float64).reshape(-1, row["dims"])
-                graph = Graph(points, np.frombuffer(row["edges"], np.int32).reshape(len(points), DEGREE), row["entry"])
-                ids, ends = np.array(row["ids"]), np.cumsum(row["counts"])
-                out = []
-                for asked in row["asked"]:
-                    q = np.array(asked["vector"], np.float64)
-                    found, far = graph.search(q, beam)
-                    far = np.sqrt(far)
-                    near = [(d, i) for p, d in zip(found, far) for i in ids[ends[p] - row["counts"][p]: ends[p]].tolist() if i != asked["id"]]
-                    out += [(asked["id"], i, d) for d, i in sorted(near)[:k]]
-                cols = list(zip(*out)) if out else ([], [], [])
-                yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.float64())],
-                                                 names=["query_id", "vec_id", "score"])
-
-    spread = pairs.repartition("block", F.xxhash64("points"))
-    near = spread.mapInArrow(run, "query_id long, vec_id long, score double")
+    """``query_id, rank, vec_id, score``: the ``k`` nearest ids other than the query's own. ``queries(id, vector)`` is a stored table."""
+    spark, beam = index.sparkSession, max(beam, k + 1)
+    schema = "query_id long, vec_id long, score double"
+    near = None
+    for block in _query_blocks(queries):
+        sent = spark.sparkContext.broadcast(block)
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for row in batch.to_pylist():
+                    if row["dims"] not in sent.value:
+                        continue
+                    asked_ids, asked = sent.value[row["dims"]]
+                    points = np.frombuffer(row["points"], np.float64).reshape(-1, row["dims"])
+                    graph = Graph(points, np.frombuffer(row["edges"], np.int32).reshape(len(points), DEGREE), row["entry"])
+                    ids, ends = np.array(row["ids"]), np.cumsum(row["counts"])
+                    out = []
+                    for a in range(0, len(asked), BATCH):
+                        found, far, _, _ = graph.search(asked[a: a + BATCH], beam)
+                        for own, hits, dists in zip(asked_ids[a: a + BATCH].tolist(), found, np.sqrt(far)):
+                            near = [(d, i) for p, d in zip(hits.tolist(), dists.tolist()) if p >= 0
+                                    for i in ids[ends[p] - row["counts"][p]: ends[p]].tolist() if i != own]
+                            out += [(own, i, d) for d, i in sorted(near)[:k]]
+                    cols = list(zip(*out)) if out else ([], [], [])
+                    yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.float64())],
+                                                     names=["query_id", "vec_id", "score"])
+
+        part = index.mapInArrow(run, schema)
+        near = part if near is None else near.union(part)
+    near = spark.createDataFrame([], schema) if near is None else near
     near = near.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return near.withColumn("rank", rank.cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
@@ -196,4 +264,5 @@ def nearest(embeddings: DataFrame, asked: Column, k: int = 10, id_col: str = "ve
     spark = embeddings.sparkSession
     rows = columns(embeddings, F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
     rows = rows.where(F.col("id").isNotNull() & _usable(F.col("vector")))
-    return search(build_index(rows, k), rows.where(asked).distinct(), k)
+    queries = written(spark, rows.where(asked).distinct(), "asked")
+    return search(build_index(rows, k), queries, k)

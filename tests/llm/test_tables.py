@@ -302,6 +302,38 @@ def test_nearest_reaches_brute_force(spark):
         assert sorted(best) == list(range(1, 11)) and [best[r] for r in sorted(best)] == sorted(best.values())
 
 
+def test_one_whole_shard_reaches_recall():
+    """A shard of ``SHARD_ROWS`` points, evenly spread and in clusters, against brute force."""
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(64, 48)) * 3
+    for points in (rng.normal(size=(neighbours.SHARD_ROWS, 32)), centres[rng.integers(0, 64, neighbours.SHARD_ROWS)] + rng.normal(size=(neighbours.SHARD_ROWS, 48)) * 0.3):
+        graph = neighbours.build(points)
+        assert graph.edges.shape == (len(points), neighbours.DEGREE) and not (graph.edges == np.arange(len(points))[:, None]).any()
+        hits = 0
+        for a in range(0, 512, neighbours.BATCH):
+            asked = points[a: a + neighbours.BATCH] + 1e-3
+            ids, far, _, _ = graph.search(asked, neighbours.BEAM_SEARCH)
+            exact = ((points[None, :, :] - asked[:, None, :]) ** 2).sum(axis=2)
+            for got, dist, want in zip(ids, far, exact):
+                assert len(set(got.tolist())) == len(got) and np.allclose(dist, want[got])
+                hits += len(set(got[:10].tolist()) & set(np.argsort(want)[:10].tolist()))
+        assert hits >= 0.9 * 10 * 512
+
+
+def test_query_blocks_give_the_same(spark, monkeypatch):
+    table = spark.read.parquet(f"{SMALL}/embeddings.parquet")
+    whole = sorted(map(tuple, neighbours.nearest(table, F.col("id") % 5 == 0, 10).collect()))
+    monkeypatch.setattr(neighbours, "QUERY_BYTES", 2_000)
+    assert sorted(map(tuple, neighbours.nearest(table, F.col("id") % 5 == 0, 10).collect())) == whole and whole
+
+
+def test_no_shuffle_carries_points_after_the_index(spark):
+    found = neighbours.nearest(spark.read.parquet(f"{SMALL}/embeddings.parquet"), F.col("id") % 100 == 0, 10)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    shuffles = [line for line in plan.splitlines() if "Exchange" in line]
+    assert shuffles and all("points" not in line for line in shuffles) and "Join" not in plan
+
+
 def test_nearest_odd_vectors(spark):
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.1]), (2, None), (3, [0.0, 0.0]), (4, [float("nan"), 1.0]), (5, [None, 1.0]), (6, [float("inf"), 1.0]), (7, []),
             (8, [1.0, 0.0]), (9, [1.0, 0.0]), (10, [5.0, 5.0, 5.0]), (None, [1.0, 0.0]), (100, [2.0, 2.0]), (200, [1.0, 2.0, 3.0])]
