@@ -1,12 +1,13 @@
 """Personal data replaced by keyed surrogates of the same type and format.
 
-Found: e-mail addresses, telephone, card and social security numbers, IPv4 addresses, and the names
+Found: e-mail addresses, telephone, card, social security and bank account (IBAN) numbers, IPv4 and IPv6 addresses, and the names
 that follow a form of address (which gives the gender), with later bare mentions of such a name in the same
-text. An entity's surrogate is drawn from a keyed hash of its type and canonical form, so an entity gets the
+text. A title that tells no gender (Dr) takes that of another mention of the name in the text. An entity's surrogate is drawn from a keyed hash of its type and canonical form, so an entity gets the
 same one everywhere (coreference), written in the format, letter case and script of each place.
 
 Surrogates are checked over the whole corpus: one that equals another entity's surrogate, or any original,
-is drawn again, round by round, until none collides (distinctness). All of that works on the table of distinct
+is drawn again, round by round, until none collides (distinctness). Later draws are longer than the original, so a form of
+which every value is taken (addresses of one-digit parts) does not run out. All of that works on the table of distinct
 entities; texts are scanned once, and only texts that can hold an entity are joined with their
 replacements, by a hash of the text.
 
@@ -18,6 +19,8 @@ Texts without an entity come back unchanged. Very long texts are scanned whole.
 from __future__ import annotations
 
 import hashlib
+import ipaddress
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -39,15 +42,18 @@ _CAPITAL = r"[A-ZÀ-ÖØ-ÞΑ-ΩΆ-ΏА-ЯЁ][^\W\d_]+(?:[-'’][^\W\d_]+)?"
 PATTERNS = {
     "email": re.compile(r"(?<![\w.%+-])[\w%+-]+(?:\.[\w%+-]+)*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"),
     "ip": re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\w|\.\d)"),
-    "phone": re.compile(r"(?<![\w+.-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?![\w-])"),
+    "ip6": re.compile(r"(?<![\w:.])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![\w:.]\w|[\w:])"),
+    "iban": re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?!\w)"),
+    "phone": re.compile(r"(?<![\w+.-])(?:(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}"
+                        r"|\+\d{1,3}[ .-]?\(?\d{1,4}\)?[ ./-]?\d{5,9}|\+\d{1,3}[ .-]\d{1,2}(?:[ .-]\d{2}){3,4})(?![\w-])"),
     "ssn": re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"),
     "card": re.compile(r"(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w-])"),
     "name": re.compile(rf"(?<!\w)({_FORMS})(\.?\x20+)({_CAPITAL}(?:\x20{_CAPITAL}){{0,2}})"),
 }
 #: Earlier kinds win where two overlap.
-KINDS = ("email", "ip", "card", "ssn", "phone", "name")
+KINDS = ("email", "iban", "ip6", "ip", "card", "ssn", "phone", "name")
 #: What a text must hold for any entity; checked before anything else, in the JVM.
-GATE = rf"[0-9@]|(?:{_FORMS})\.?\x20"
+GATE = rf"[0-9@]|::|(?:{_FORMS})\.?\x20"
 #: Letters and syllables that names are made of, by script.
 SCRIPTS = {
     "latin": ("abcdefghijklmnopqrstuvwxyz", ("ba", "den", "fi", "gor", "ha", "jen", "ka", "lin", "mo", "nar", "pe", "ros", "su", "tal", "vi", "wen")),
@@ -61,7 +67,8 @@ GIVEN = {"latin": {"m": ("o", "us", "el"), "f": ("a", "ine", "elle"), "n": ("is"
 FAMILY = {"latin": {"m": ("son", "er", "ard"), "f": ("son", "er", "ard"), "n": ("son", "er", "ard")},
           "greek": {"m": ("ίδης",), "f": ("ίδου",), "n": ("άκη",)},
           "cyrillic": {"m": ("ов", "ин"), "f": ("ова", "ина"), "n": ("енко",)}}
-ROUNDS = 50
+#: Draws with the original's length; each further as many draws add a character.
+SAME_LENGTH = 8
 
 
 def script_of(word: str) -> str:
@@ -88,6 +95,19 @@ def _name_parts(gender: str, names: str, at: int) -> list[tuple[str, str, int, i
     return [(k, shown(k, w), a, b) for k, (w, a, b) in zip(kinds, words)]
 
 
+def _is_ip6(text: str) -> bool:
+    """A valid address that holds a digit (names in code may look like the rest)."""
+    try:
+        return bool(ipaddress.IPv6Address(text)) and any(c.isdigit() for c in text)
+    except ValueError:
+        return False
+
+
+def _iban_rest(iban: str) -> int:
+    """The account number's checksum: 1 if it is right."""
+    return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
+
+
 def entities(text: str) -> list[tuple[str, str, int, int]]:
     """(kind, canonical form, start, end) of all entities, in order and without overlaps."""
     found: list[tuple[str, str, int, int]] = []
@@ -98,7 +118,15 @@ def entities(text: str) -> list[tuple[str, str, int, int]]:
     if "@" in text:
         for m in PATTERNS["email"].finditer(text):
             add("email", _lower(m[0]), *m.span())
+    if ":" in text:
+        for m in PATTERNS["ip6"].finditer(text):
+            if _is_ip6(m[0]):
+                add("ip6", _lower(m[0]), *m.span())
     if any(c in text for c in "0123456789"):
+        for m in PATTERNS["iban"].finditer(text):
+            plain = m[0].replace(" ", "")
+            if _iban_rest(plain) == 1:
+                add("iban", plain, *m.span())
         for m in PATTERNS["ip"].finditer(text):
             add("ip", m[0], *m.span())
         for kind in ("card", "ssn", "phone"):
@@ -107,14 +135,22 @@ def entities(text: str) -> list[tuple[str, str, int, int]]:
                 if kind != "phone" or 7 <= len(digits) <= 15:
                     add(kind, ("+" if m[0][0] == "+" else "") + digits, *m.span())
     named: dict[str, tuple[str, str]] = {}
-    for m in PATTERNS["name"].finditer(text):
-        for kind, canonical, a, b in _name_parts(_GENDER[m[1]], m[3], m.start(3)):
+    parts = [p for m in PATTERNS["name"].finditer(text) for p in _name_parts(_GENDER[m[1]], m[3], m.start(3))]
+    told: dict[tuple[str, str, str], str] = {}
+    for kind, canonical, _, _ in parts:  # the first gender that the text tells of a name
+        script, gender, word = canonical.split(":", 2)
+        if gender != "n":
+            told.setdefault((kind, script, word), gender)
+    if parts:
+        for kind, canonical, a, b in parts:
+            script, gender, word = canonical.split(":", 2)
+            canonical = f"{script}:{told.get((kind, script, word), 'n') if gender == 'n' else gender}:{word}"
             add(kind, canonical, a, b)
             named.setdefault(text[a:b], (kind, canonical))
     if named:
         for m in re.finditer(r"(?<!\w)(?:" + "|".join(map(re.escape, sorted(named, key=len, reverse=True))) + r")(?!\w)", text):
             add(*named[m[0]], *m.span())
-    rank = {k: i for i, k in enumerate((*KINDS[:5], "given", "family"))}
+    rank = {k: i for i, k in enumerate((*KINDS[:-1], "given", "family"))}
     kept: list[tuple[str, str, int, int]] = []
     for e in sorted(found, key=lambda e: (e[2], rank[e[0]], -e[3])):
         if not kept or e[2] >= kept[-1][3]:
@@ -154,8 +190,9 @@ def _luhn(digits: str) -> int:
 
 
 def surrogate(key: bytes, kind: str, canonical: str, attempt: int) -> str:
-    """The canonical surrogate of an entity: same length and shape (names: same script and gender)."""
+    """The canonical surrogate of an entity: same length and shape (names: same script and gender); longer after ``SAME_LENGTH`` attempts."""
     draw = _Draw(key, kind, canonical, attempt)
+    longer = attempt // SAME_LENGTH
     if kind in ("given", "family"):
         script, gender, _ = canonical.split(":", 2)
         endings = (GIVEN if kind == "given" else FAMILY)[script][gender]
@@ -165,14 +202,21 @@ def surrogate(key: bytes, kind: str, canonical: str, attempt: int) -> str:
     if kind == "email":
         local, _, domain = canonical.rpartition("@")
         host, _, top = domain.rpartition(".")
-        return "".join(_letter(c, draw) for c in local) + "@" + "".join(_letter(c, draw) for c in host) + "." + top
+        return "".join(_letter(c, draw) for c in local + "a" * longer) + "@" + "".join(_letter(c, draw) for c in host) + "." + top
     if kind == "ip":
         ranges = {1: (1, 9), 2: (10, 99), 3: (100, 254)}
-        return ".".join(str(a + draw.below(b - a + 1)) for a, b in (ranges[len(p)] for p in canonical.split(".")))
-    plus, digits = canonical[:1] == "+", canonical.lstrip("+")
-    lead = max(1, len(digits) - 10) if plus else 1 if kind == "card" else 0  # country code; card network
+        return ".".join(str(a + draw.below(b - a + 1)) for a, b in ((1, 254) if longer else ranges[len(p)] for p in canonical.split(".")))
+    if kind == "ip6":
+        if longer:
+            return ":".join(f"{1 + draw.below(65535):x}" for _ in range(8))
+        return re.sub(r"[0-9a-f]+", lambda m: "".join(f"{draw.below(16) if i else 1 + draw.below(15):x}" for i in range(len(m[0]))), canonical)
+    if kind == "iban":
+        body = "".join(str(draw.below(10)) if c.isdigit() else chr(65 + draw.below(26)) for c in canonical[4:] + "0" * longer)
+        return f"{canonical[:2]}{98 - _iban_rest(canonical[:2] + '00' + body):02d}{body}"
+    plus, digits = canonical[:1] == "+", canonical.lstrip("+") + "0" * longer
+    lead = max(1, len(digits) - longer - 10) if plus else 1 if kind == "card" else 0  # country code; card network
     out = digits[:lead] + "".join(str(draw.below(8) + 2 if i == lead and kind == "phone" else draw.below(10)) for i in range(lead, len(digits)))
-    if kind == "card" and _luhn(digits) == 0:
+    if kind == "card" and _luhn(canonical) == 0:
         out = out[:-1] + str((10 - _luhn(out[:-1] + "0")) % 10)
     return "+" * plus + out
 
@@ -183,11 +227,11 @@ def written_as(original: str, kind: str, new: str) -> str:
         word = new.split(":", 2)[2]
         return word.upper() if original.isupper() and len(original) > 1 else word.capitalize()
     if kind == "email":
-        return "".join(b.upper() if a.isupper() else b for a, b in zip(original, new))
-    if kind == "ip":
-        return new
-    digits = iter(new.lstrip("+"))
-    return "".join(next(digits) if c.isdigit() else c for c in original)
+        return "".join(b.upper() if a.isupper() else b for a, b in itertools.zip_longest(original, new, fillvalue=""))
+    if kind in ("ip", "ip6"):
+        return new.upper() if original != original.lower() else new
+    signs = iter(new.lstrip("+"))
+    return "".join(next(signs) if c.isalnum() else c for c in original) + "".join(signs)
 
 
 def _detect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,7 +261,7 @@ def assign(found: DataFrame, key: bytes) -> DataFrame:
     schema = "kind string, canonical string, attempt int, new string"
     drawn = written(spark, found.withColumn("attempt", F.lit(0)).mapInArrow(_draws(key), schema), "drawn")
     originals = found.select("kind", F.col("canonical").alias("new"))
-    for _ in range(ROUNDS):
+    while True:  # later draws are longer, so this ends
         # among equal surrogates the one drawn first stays, so what is settled never changes
         first = drawn.groupBy("kind", "new").agg(F.min(F.struct("attempt", "canonical")).alias("first"))
         taken = originals.withColumn("taken", F.lit(True))
@@ -229,7 +273,6 @@ def assign(found: DataFrame, key: bytes) -> DataFrame:
             return checked.select("kind", "canonical", "new")
         redrawn = again.select("kind", "canonical", (F.col("attempt") + 1).alias("attempt")).mapInArrow(_draws(key), schema)
         drawn = written(spark, checked.where("not loses").drop("loses").union(redrawn), "drawn")
-    raise RuntimeError(f"surrogates still collide after {ROUNDS} rounds")
 
 
 def _replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

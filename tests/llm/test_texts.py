@@ -182,6 +182,41 @@ def test_surrogates_stay_distinct_when_they_collide(spark, docs_of, monkeypatch)
     assert len(set(found.values())) == n and not set(found.values()) & {t for _, t in rows}
 
 
+def test_surrogates_do_not_run_out(docs_of):
+    """More than half of all one-digit addresses: no assignment of that length exists."""
+    rows = [(i, f"{i % 9 + 1}.{i // 9 % 9 + 1}.{i // 81 % 9 + 1}.{i // 729 + 1}") for i in range(4500)] + [(9000 + i, f"{c}@x.org") for i, c in enumerate("abcdefghijklmnopqrstuvwxyz")]
+    found = {r.doc_id: r.text for r in pii.pseudonymise(docs_of(rows), PII_KEY).collect()}
+    assert len(set(found.values())) == len(rows) and not set(found.values()) & {t for _, t in rows}
+
+
+def test_titles_without_gender_keep_coreference(docs_of):
+    texts = [(1, "Dr. Anna Smith called. Mrs. Anna Smith left. Anna went home."), (2, "Dr. Anna Smith spoke.")]
+    text = {r.doc_id: r.text for r in pii.pseudonymise(docs_of(texts), PII_KEY).collect()}
+    m = re.fullmatch(r"Dr\. (\w+) (\w+) called\. Mrs\. (\w+) (\w+) left\. (\w+) went home\.", text[1])
+    assert m[1] == m[3] == m[5] != "Anna" and m[2] == m[4] != "Smith"
+    assert m[1].endswith(pii.GIVEN["latin"]["f"]) and "Anna" not in text[2]
+
+
+@pytest.mark.parametrize("text, kind, kept", [
+    ("pay DE89 3704 0044 0532 0130 00 now", "iban", r"pay DE\d\d \d{4} \d{4} \d{4} \d{4} \d\d now"),
+    ("GB29NWBK60161331926819.", "iban", r"GB\d\d[A-Z]{4}\d{14}\."),
+    ("host 2001:0db8:85a3:0000:0000:8a2e:0370:7334 up", "ip6", r"host ([0-9a-f]{4}:){7}[0-9a-f]{4} up"),
+    ("via fe80::1:2A, then", "ip6", r"via [0-9A-F]{4}::[0-9A-F]:[0-9A-F]{2}, then"),
+    ("call +49 30 1234567 today", "phone", r"call \+\d\d \d\d \d{7} today"),
+    ("call +33 1 23 45 67 89 today", "phone", r"call \+\d\d \d \d\d \d\d \d\d \d\d today"),
+])
+def test_more_forms_of_personal_data(docs_of, text, kind, kept):
+    row = pii.pseudonymise(docs_of([(1, text)]), PII_KEY).first()
+    assert row.kinds == kind and row.n_entities == 1 and row.text != text and re.fullmatch(kept, row.text)
+    if kind == "iban":
+        assert pii._iban_rest(re.search(r"[A-Z]{2}\d\d[A-Z0-9 ]*\d", row.text)[0].replace(" ", "")) == 1
+
+
+def test_what_only_looks_like_personal_data():
+    for text in ("at 12:30:45 or 1:2", "std::cout << a::b", "XX00 ABCD EFGH", "::", "+1 2"):
+        assert pii.entities(text) == []
+
+
 def test_personal_data_odd_rows(odd, docs_of):
     before = sorted((str(r.doc_id), r.text) for r in odd.where("text is not null").collect())
     rows = pii.pseudonymise(odd, PII_KEY).collect()
