@@ -453,16 +453,16 @@ def incremental_refresh(spark, sf_dir):
             .csv(Layout(raw, out).layer("marts", "operating_carrier_stats")))
 
 
-@register("clustered_week_at_airport")
-def clustered_week_at_airport(spark, sf_dir):
-    """Flights of the first week from the first airport, read from all flights laid along a
+@register("clustered_year_at_airport")
+def clustered_year_at_airport(spark, sf_dir):
+    """Flights of the first 365 days from the first airport, read from all flights laid along a
     space-filling curve over day and origin: only files whose ranges meet both are opened."""
     flights = flows.typed(spark, sf_dir).flights
     path = scratch_path(spark, "clustered")
     clustering.write_clustered(flights, path, ["fl_date", "origin"], file_rows=2_000)
     first = spark.read.parquet(f"{path}/{clustering.MANIFEST}").agg(F.min("low_fl_date").alias("day"), F.min("low_origin").alias("at")).first()
     day = first["day"]
-    bounds = {"fl_date": (day, day + timedelta(days=6) if day else None), "origin": (first["at"], first["at"])}
+    bounds = {"fl_date": (day, day + timedelta(days=364) if day else None), "origin": (first["at"], first["at"])}
     return clustering.read_clustered(spark, path, flights.schema, bounds)
 
 

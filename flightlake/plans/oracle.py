@@ -142,9 +142,9 @@ q("join_hybrid_all", "SELECT * FROM combined")
 
 q("flights_typed", "SELECT * FROM flights")
 
-q("clustered_week_at_airport", """
+q("clustered_year_at_airport", """
 SELECT * FROM flights WHERE origin = (SELECT min(origin) FROM flights)
- AND fl_date <= (SELECT min(fl_date) FROM flights) + INTERVAL 6 DAY""")
+ AND fl_date <= (SELECT min(fl_date) FROM flights) + INTERVAL 364 DAY""")
 
 q("carrier_daily", """
 SELECT fl_date, op_unique_carrier,
