@@ -70,13 +70,10 @@ def slack_of(words: int) -> int:
 def _words(column: pa.Array) -> Iterator[tuple]:
     """:func:`hashing.words_of_rows`, with the characters of unspaced scripts set apart."""
     rows = list(hashing.rows_of(column))
-    high = [i for i, r in enumerate(rows) if len(r) and r.max() >= 0xE0]
-    if high:
-        rows = [r.tobytes() for r in rows]
-        for i in high:
-            rows[i] = _UNSPACED.sub(rb" \1 ", rows[i])
-        column = pa.array(rows, pa.large_binary())
-    return hashing.words_of_rows(column, hashing.SEPARATOR)
+    for i, r in enumerate(rows):  # other rows stay views on the batch
+        if len(r) and r.max() >= 0xE0 and _UNSPACED.search(memoryview(r)):
+            rows[i] = np.frombuffer(_UNSPACED.sub(rb" \1 ", memoryview(r)), np.uint8)
+    return hashing.words_of_views(rows, hashing.SEPARATOR)
 
 
 def _advance(step: int, words: np.ndarray, walk: int) -> np.ndarray:

@@ -115,7 +115,11 @@ def groups_of_rows(rows: list[np.ndarray], most: int = BLOCK) -> Iterator[tuple[
 def words_of_rows(column: pa.Array, separators: np.ndarray, lower: bool = True) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """For groups of rows: the first row's index, the joined bytes, and starts, ends and hashes
     of words with ``counts`` of words per row: ``(first, data, (starts, ends, hashes), counts)``."""
-    rows = list(rows_of(column))
+    return words_of_views(list(rows_of(column)), separators, lower)
+
+
+def words_of_views(rows: list[np.ndarray], separators: np.ndarray, lower: bool = True) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """:func:`words_of_rows` of rows that are given as bytes."""
     gap = np.array([32], np.uint8)
     for a, b in groups_of_rows(rows):
         pieces = [x for r in rows[a:b] for x in (r, gap)]
