@@ -3,12 +3,15 @@
 What the fixed patterns find are the labelled credentials, by kind. For each kind a bounded sample of
 distinct ones becomes a prefix tree over character classes; states whose observed continuations agree
 (Hoeffding bound on every continuation, recursively) are merged, which leaves a small probabilistic
-automaton. Candidates, all other runs of credential characters, are scored by their log likelihood per
-character under the best automaton against an automaton inferred from ordinary candidates. Those that
-beat it by ``MARGIN`` and are as typical of the kind as its own sample become spans of kind ``format``.
+automaton. Its states come from the first ``TREE_DEPTH`` characters of the strings, its counts from a walk of
+the whole strings. Candidates are all other runs of ``LEAST_RUN`` or more credential characters, and what of
+a run lies outside base spans. They are scored by their log likelihood per character under the best
+automaton against automata inferred from ordinary candidates, short ones and long ones apart. Those that
+beat both by ``MARGIN`` and are as typical of the kind as its own sample become spans of kind ``format``.
 
-Texts are read once: a first pass writes base spans and candidate strings (a few bytes a document) to
-the shared folder, from which the samples are drawn and the candidates are scored.
+Texts are read twice. The first pass keeps, of each kind, the ``SAMPLE`` distinct strings with the smallest
+checksum in each task, so the smallest of all documents are among them; the second scores every candidate.
+A text costs time linear in its spans and candidates (both are sorted, and merged).
 
 Defined results: a null text counts as empty; ids may be null or repeated (each row is scanned);
 an empty table gives an empty result; with nothing to learn from, there are only base spans; other
@@ -17,16 +20,18 @@ columns are ignored; positions count code points.
 
 from __future__ import annotations
 
+import heapq
 import json
 import math
 import re
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import columns, ship, written
+from .common import columns, discard, ship, written
 
 #: The base patterns by kind, in their order, and the least length that counts.
 ASSIGN = re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -34,11 +39,15 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 KINDS = ("assign", "access", "hex", "format")
-#: Candidate strings: runs of credential characters.
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+#: Candidate strings: runs of credential characters, as short as the shortest labelled credential.
+LEAST_RUN = min(LEAST.values())
+CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST_RUN},}}")
+#: Ordinary candidates of this length on are long ones, with an automaton of their own.
+LONG = 16
+ORDINARY = ("short", "long")
 #: Sampled strings per kind that an automaton is inferred from, at most.
 SAMPLE = 1500
-#: Characters of a sampled string that enter the prefix tree.
+#: Characters of a sampled string that enter the prefix tree (the counts come from whole strings).
 TREE_DEPTH = 64
 #: Confidence parameter of the state merging test.
 ALPHA = 0.01
@@ -52,7 +61,10 @@ LEAST_SAMPLE = 5
 #: Fixed value: the class of a character.
 CLASSES = "".join("d" if 48 <= c < 58 else "h" if chr(c) in "abcdef" else "H" if chr(c) in "ABCDEF"
                   else "l" if 97 <= c < 123 else "U" if 65 <= c < 91 else "s" for c in range(128))
+_CLASS = str.maketrans({c: k for c, k in enumerate(CLASSES)})
 _END = "$"
+#: Class strings whose scores a task remembers, at most.
+REMEMBERED = 200_000
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -79,7 +91,31 @@ def joined(spans: list[tuple[str, int, int]]) -> str:
 
 
 def classes(value: str) -> str:
-    return "".join(CLASSES[ord(c)] for c in value)
+    return value.translate(_CLASS)
+
+
+def candidates(text: str, base: list[tuple[str, int, int]]) -> Iterator[tuple[int, int]]:
+    """Places of the runs, and parts of runs, outside the base spans (which are ordered by start)."""
+    covered: list[list[int]] = []
+    for _, a, b in base:
+        if covered and a <= covered[-1][1]:
+            covered[-1][1] = max(covered[-1][1], b)
+        else:
+            covered.append([a, b])
+    at = 0
+    for m in CANDIDATE.finditer(text):
+        start, stop = m.span()
+        while at < len(covered) and covered[at][1] <= start:
+            at += 1
+        while at < len(covered) and covered[at][0] < stop:
+            if covered[at][0] - start >= LEAST_RUN:
+                yield start, covered[at][0]
+            start = covered[at][1]
+            if start > stop:  # this span reaches into the next run
+                break
+            at += 1
+        if stop - start >= LEAST_RUN:
+            yield start, stop
 
 
 class Automaton:
@@ -88,6 +124,7 @@ class Automaton:
 
     def __init__(self, moves: list[dict[str, list[int]]]):
         self.moves = moves  # state -> symbol -> [target, count]
+        self._logs: list[tuple[dict[str, tuple[int, float]], tuple[int, float]]] | None = None
 
     @staticmethod
     def tree(words: list[str]) -> Automaton:
@@ -156,94 +193,135 @@ class Automaton:
         names = {s: i for i, s in enumerate(settled)}
         return Automaton([{a: [names.get(t, 0), n] for a, (t, n) in self.moves[s].items()} for s in settled])
 
+    def recount(self, words: list[str]) -> Automaton:
+        """The same states, with the counts of a walk of the whole ``words``; continuations not seen before lead to the start."""
+        moves: list[dict[str, list[int]]] = [{a: [t, 0] for a, (t, _) in each.items()} for each in self.moves]
+        for word in words:
+            state = 0
+            for symbol in [*word, _END]:
+                step = moves[state].setdefault(symbol, [0, 0])
+                step[1] += 1
+                state = step[0]
+        return Automaton(moves)
+
     def rate(self, word: str) -> float:
         """Log likelihood per symbol, the end included; symbols never seen count half a time."""
+        if self._logs is None:
+            totals = [self.total(s) + 4 for s in range(len(self.moves))]
+            self._logs = [({a: (t, math.log((c + 0.5) / n)) for a, (t, c) in each.items()}, (0, math.log(0.5 / n))) for each, n in zip(self.moves, totals)]
         state, total = 0, 0.0
-        for symbol in [*word, _END]:
-            moves = self.moves[state]
-            n = sum(c for _, c in moves.values())
-            step = moves.get(symbol)
-            total += math.log(((step[1] if step else 0) + 0.5) / (n + 4))
-            state = step[0] if step else 0
+        for symbol in word + _END:
+            known, unseen = self._logs[state]
+            state, log = known.get(symbol, unseen)
+            total += log
         return total / (len(word) + 1)
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, base spans and the other candidate strings with their places."""
+class Scorer:
+    """Scores class strings under the learned automata, remembering those met before."""
+
+    def __init__(self, automata: dict[str, tuple[list, float, float]], margin: float):
+        self.plain = [Automaton(automata[k][0]) for k in ORDINARY if k in automata]
+        self.kinds = [(Automaton(m), least, most) for k, (m, least, most) in automata.items() if k not in ORDINARY]
+        self.ready = bool(self.plain and self.kinds)
+        self.margin = margin
+        self.known: dict[str, tuple[float, bool]] = {}
+
+    def score(self, word: str) -> tuple[float, bool]:
+        """By how much a credential format is likelier than ordinary text, and whether that makes a span."""
+        found = self.known.get(word)
+        if found is None:
+            rates = [(a.rate(word), least, most) for a, least, most in self.kinds]
+            score = max(r for r, _, _ in rates) - max(a.rate(word) for a in self.plain)
+            found = score, score >= self.margin and any(least <= r <= most for r, least, most in rates)
+            if len(self.known) >= REMEMBERED:
+                self.known.clear()
+            self.known[word] = found
+        return found
+
+
+def _checksum(value: str) -> tuple[int, str]:
+    return zlib.crc32(value.encode()), value
+
+
+def _least(values: set[str], bound: int) -> set[str]:
+    return values if len(values) <= bound else set(heapq.nsmallest(bound, values, key=_checksum))
+
+
+def samples(docs: DataFrame, text_col: str = "text", bound: int = SAMPLE) -> DataFrame:
+    """``kind, value``: for every kind, the distinct strings with the smallest checksums of each task."""
     ship(docs.sparkSession)
-    schema = ("doc_id long, kinds array<string>, starts array<int>, ends array<int>, values array<string>, "
-              "c_starts array<int>, c_values array<string>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[str, set[str]] = {k: set() for k in (*KINDS[:3], *ORDINARY)}
         for batch in batches:
-            rows = []
-            for text in batch.column(1).to_pylist():
-                text = text or ""
+            for text in batch.column(0).to_pylist():
+                if not text:
+                    continue
                 spans = base_spans(text)
-                values = [ASSIGN.match(text, a)[2] if k == "assign" else text[a:b] for k, a, b in spans]
-                other = [(m.start(), m[0]) for m in CANDIDATE.finditer(text) if not any(a < m.end() and m.start() < b for _, a, b in spans)]
-                rows.append(([s[0] for s in spans], [s[1] for s in spans], [s[2] for s in spans], values, [c[0] for c in other], [c[1] for c in other]))
-            kinds = [pa.list_(t) for t in (pa.string(), pa.int32(), pa.int32(), pa.string(), pa.int32(), pa.string())]
-            cols = [pa.array(list(c), t) for c, t in zip(zip(*rows), kinds)] if rows else [pa.array([], t) for t in kinds]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *cols], names=["doc_id", "kinds", "starts", "ends", "values", "c_starts", "c_values"])
+                for k, a, b in spans:
+                    seen[k].add(ASSIGN.match(text, a)[2] if k == "assign" else text[a:b])
+                for a, b in candidates(text, spans):
+                    seen["short" if b - a < LONG else "long"].add(text[a:b])
+                for k, values in seen.items():
+                    if len(values) > 4 * bound:
+                        seen[k] = _least(values, bound)
+        rows = [(k, v) for k, values in seen.items() for v in sorted(_least(values, bound))]
+        yield pa.RecordBatch.from_pydict({"kind": pa.array([k for k, _ in rows], pa.string()), "value": pa.array([v for _, v in rows], pa.string())})
 
-    return columns(docs, F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
+    return columns(docs, F.col(text_col).cast("string").alias("text")).mapInArrow(run, "kind string, value string")
 
 
-def learn(scanned: DataFrame) -> dict[str, tuple[list, float, float]]:
-    """Automata and typical rates by kind (and ``ordinary``), each inferred in a task from a bounded sample."""
-    known = scanned.select(F.explode(F.arrays_zip("kinds", "values")).alias("s")).select(F.col("s.kinds").alias("kind"), F.col("s.values").alias("value"))
-    plain = scanned.select(F.lit("ordinary").alias("kind"), F.explode("c_values").alias("value"))
+def learn(sampled: DataFrame) -> dict[str, tuple[list, float, float]]:
+    """Automata and typical rates by kind, each inferred in a task from ``SAMPLE`` strings at most."""
     sample = None
-    for kind in (*KINDS[:3], "ordinary"):
-        rows = (plain if kind == "ordinary" else known.where(F.col("kind") == kind)).distinct()
-        rows = rows.orderBy(F.xxhash64("value"), "value").limit(SAMPLE)  # SAMPLE strings per kind
+    for kind in (*KINDS[:3], *ORDINARY):
+        rows = sampled.where(F.col("kind") == kind).distinct()
+        rows = rows.orderBy(F.crc32(F.col("value").cast("binary")), "value").limit(SAMPLE)  # SAMPLE strings per kind
         sample = rows if sample is None else sample.union(rows)
 
     def infer(key: tuple, table: pa.Table) -> pa.Table:
-        words = [classes(v) for v in table["value"].to_pylist()]
+        words = sorted(classes(v) for v in table["value"].to_pylist())
         if len(words) < LEAST_SAMPLE:
             return pa.table({"kind": pa.array([], pa.string()), "moves": pa.array([], pa.string()), "least": pa.array([], pa.float64()), "most": pa.array([], pa.float64())})
-        grown = Automaton.tree(sorted(words)).infer()
+        grown = Automaton.tree(words).infer().recount(words)
         rates = sorted(map(grown.rate, words))
         least, most = (rates[int(q * (len(rates) - 1))] for q in TYPICAL)
         return pa.table({"kind": [key[0].as_py()], "moves": [json.dumps(grown.moves)], "least": [least - BELOW], "most": [most]})
 
-    found = sample.groupBy("kind").applyInArrow(infer, "kind string, moves string, least double, most double").collect()  # four automata
+    found = sample.groupBy("kind").applyInArrow(infer, "kind string, moves string, least double, most double").collect()  # five automata
     return {r["kind"]: (json.loads(r["moves"]), r["least"], r["most"]) for r in found}
 
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", margin: float = MARGIN) -> DataFrame:
     """Per row: id, counts by base kind, ``base_spans`` and all ``spans`` as ``kind:start:end``, and the best score of a candidate."""
     spark = docs.sparkSession
-    scanned = written(spark, scan(docs, id_col, text_col), "scanned")
-    automata = learn(scanned)
+    sampled = written(spark, samples(docs, text_col), "secret-samples")
+    automata = learn(sampled)
+    discard(sampled)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ready = {k: (Automaton(m), least, most) for k, (m, least, most) in automata.items()}
-        plain, *_ = ready.pop("ordinary", (None,))
+        scorer = Scorer(automata, margin)
         for batch in batches:
             rows = []
-            for r in batch.to_pylist():
-                base = list(zip(r["kinds"], r["starts"], r["ends"]))
+            for text in batch.column(1).to_pylist():
+                text = text or ""
+                base = base_spans(text)
                 spans, best = list(base), None
-                for start, value in zip(r["c_starts"], r["c_values"]):
-                    if not ready or plain is None:
-                        break
-                    word = classes(value)
-                    rates = [(a.rate(word), least, most) for a, least, most in ready.values()]
-                    score = max(r for r, _, _ in rates) - plain.rate(word)
-                    best = score if best is None else max(best, score)
-                    if score >= margin and any(least <= r <= most for r, least, most in rates):
-                        spans.append(("format", start, start + len(value)))
-                counts = [sum(k == kind for k in r["kinds"]) for kind in KINDS[:3]]
-                rows.append((r["doc_id"], *counts, joined(base), joined(sorted(spans, key=_place)), best))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.float64())
+                for start, stop in candidates(text, base) if scorer.ready else ():
+                    score, found = scorer.score(classes(text[start:stop]))
+                    best = score if best is None or score > best else best
+                    if found:
+                        spans.append(("format", start, stop))
+                counts = [sum(k == kind for k, _, _ in base) for kind in KINDS[:3]]
+                rows.append((*counts, joined(base), joined(sorted(spans, key=_place)), best))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.float64())
             names = ["doc_id", "n_assign", "n_access", "n_hex", "base_spans", "spans", "best_format"]
             cols = [pa.array(list(c), t) for c, t in zip(zip(*rows), kinds)] if rows else [pa.array([], t) for t in kinds]
-            yield pa.RecordBatch.from_arrays(cols, names=names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *cols], names=names)
 
-    return scanned.mapInArrow(run, "doc_id long, n_assign long, n_access long, n_hex long, base_spans string, spans string, best_format double")
+    rows = columns(docs, F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return rows.mapInArrow(run, "doc_id long, n_assign long, n_access long, n_hex long, base_spans string, spans string, best_format double")
 
 
 def digest(found: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Token counts, quality, licences, secrets and personal data."""
 
 import hashlib
+import math
 import re
 import zlib
 
@@ -149,6 +150,74 @@ def test_secret_automata_score_formats(spark, docs_of):
     assert all(found[i].base_spans in found[i].spans or set(found[i].base_spans.split(",")) <= set(found[i].spans.split(",")) for i in range(200))
 
 
+def plain_candidates(text, base):
+    """Every maximal stretch of credential characters that no base span covers, character by character."""
+    inside = {i for _, a, b in base for i in range(a, b)}
+    free = "".join(c if i not in inside and re.match("[A-Za-z0-9+/_=-]", c) else "\0" for i, c in enumerate(text))
+    return [m.span() for m in re.finditer("[^\0]{6,}", free)]
+
+
+def test_secret_candidates_are_all_runs_outside_base_spans():
+    import random
+    rng = random.Random(4)
+    pieces = ["AKIA" + "Q7" * 9, "0123456789abcdef" * 2, "token=abc/def.ghi", "my_password: x", "PASSWD='zzzzzz'", " ", "é", "abc", "Longer_word-12", "=", ".", "AKIA"]
+    for _ in range(400):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randrange(1, 14)))
+        base = secrets.base_spans(text)
+        assert list(secrets.candidates(text, base)) == plain_candidates(text, base), text
+
+
+def test_every_candidate_is_scored_by_the_plain_likelihood(spark, docs_of):
+    import random
+    rng = random.Random(9)
+    short = lambda n: "".join(rng.choice("0123456789") if i % 2 else rng.choice("QWRTZXCVB") for i in range(n))
+    rows = [(i, f"password={short(10)} then plainly{'abcdefghij'[i % 10]}written sentence number words") for i in range(300)]
+    rows += [(1000, f"see {short(10)} here"), (1001, None), (1002, ""), (1003, f"{short(10)}AKIA" + "B2" * 9)]
+    docs = docs_of(rows)
+    automata = secrets.learn(secrets.samples(docs))
+    ready = {k: (secrets.Automaton(m), least, most) for k, (m, least, most) in automata.items()}
+
+    def plain(automaton, word):
+        state, total = 0, 0.0
+        for symbol in [*word, "$"]:
+            step = automaton.moves[state].get(symbol, [0, 0])
+            total += math.log((step[1] + 0.5) / (automaton.total(state) + 4))
+            state = step[0]
+        return total / (len(word) + 1)
+
+    found = {r.doc_id: r for r in secrets.find_secrets(docs).collect()}
+    for i, text in rows:
+        base, want, best = secrets.base_spans(text or ""), [], None
+        for a, b in plain_candidates(text or "", base):
+            word = secrets.classes(text[a:b])
+            kinds = [(plain(g, word), least, most) for k, (g, least, most) in ready.items() if k not in secrets.ORDINARY]
+            score = max(r for r, _, _ in kinds) - max(plain(ready[k][0], word) for k in secrets.ORDINARY if k in ready)
+            best = score if best is None else max(best, score)
+            want += [("format", a, b)] if score >= secrets.MARGIN and any(x <= r <= y for r, x, y in kinds) else []
+        assert found[i].spans == secrets.joined(sorted(base + want, key=secrets._place)) and found[i].best_format == pytest.approx(best)
+    assert found[1000].spans == "format:4:14"
+    assert not any("format" in found[i].spans for i in range(300))
+
+
+def test_a_long_text_of_spans_and_candidates_takes_linear_time(spark, docs_of):
+    import time
+    text = " ".join(f"token=abc{i:06d} LongWord{i:06d}x" for i in range(100_000))
+    start = time.time()
+    assert secrets.find_secrets(docs_of([(1, text)])).first().n_assign == 100_000
+    assert time.time() - start < 60
+
+
+def test_whole_strings_are_counted_and_samples_are_the_smallest(docs_of):
+    words = ["l" * 70 + "d" * n for n in range(1, 30)]
+    grown = secrets.Automaton.tree(words).infer().recount(words)
+    assert sum(each.get("$", [0, 0])[1] for each in grown.moves) == len(words)
+    assert sum(n for each in grown.moves for _, n in each.values()) == sum(len(w) + 1 for w in words)
+    values = {f"Word{i:05d}" for i in range(500)}
+    docs = docs_of([(i, f"{v} {v}") for i, v in enumerate(sorted(values))])
+    kept = {r.value for r in secrets.samples(docs, bound=5).collect()}
+    assert set(sorted(values, key=secrets._checksum)[:5]) <= kept < values
+
+
 def test_state_merging_learns_a_small_automaton():
     words = ["ab" * n for n in range(1, 40)] * 5
     grown = secrets.Automaton.tree(words).infer()
