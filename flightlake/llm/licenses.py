@@ -2,10 +2,11 @@
 
 A text is normalised to its lower-cased words (digits, letters, non-ASCII) with single spaces between. The
 rules are regular expressions over that form, each with a label, a family keyword, a priority and a
-confidence. A rule runs only in texts that hold its keyword; a text without any keyword runs none. All
-matches of a text, as intervals of the normalised form, are resolved in one ordered pass: an interval
-inside another is suppressed (of equal ones, the rule of higher priority stays), and where two overlap in
-part, the one of higher priority stays.
+confidence. A rule runs only in texts that hold its keyword, which every match of it holds; a text without
+any keyword runs none. All matches of a text, as intervals of the normalised form, are resolved by priority,
+then by length: one that overlaps a stronger one in part is suppressed (of equal intervals the strongest
+stays), and of those left, whatever lies inside another is suppressed too. A match that a suppressed one
+alone would have contained therefore stays. Intervals that form no chain of overlaps are resolved apart.
 
 Besides, the base phrases are located word by word.
 
@@ -33,7 +34,8 @@ VAGUE = "unknown"
 
 @dataclass(frozen=True)
 class Rule:
-    """``pattern`` is matched between spaces of the normalised text that holds ``keyword``."""
+    """``pattern`` is matched between spaces of the normalised text that holds ``keyword`` as a word, or as
+    the beginning of one if ``keyword`` ends with ``*``."""
 
     label: str
     keyword: str
@@ -41,6 +43,10 @@ class Rule:
     priority: int
     confidence: float
 
+    @property
+    def gate(self) -> str:
+        return f" {self.keyword[:-1]}" if self.keyword.endswith("*") else f" {self.keyword} "
+
 
 def _gnu() -> list[Rule]:
     out = []
@@ -53,7 +59,7 @@ def _gnu() -> list[Rule]:
             for words, key in ((f"gnu {name} (?:public )?{_LIC}", "gnu"), (f"{name} {_LIC}", "general"), (f"(?:gnu )?{short}", short)):
                 out += [Rule(f"{short}-{dot}-or-later", key, f"{words}(?: as published by the free software foundation)?(?: either)? {number}(?: of the {_LIC})?(?: or)?(?: at your option)? (?:or )?(?:any )?later(?: version)?", 9, 1.0),
                         Rule(f"{short}-{dot}", key, f"{words} {number}(?: only)?", 8, 0.95)]
-            out += [Rule(f"{short}-{dot}", short, f"{short}v{v}", 8, 0.95), Rule(f"{short}-{dot}-or-later", short, f"{short}v?{v} ?(?:plus|or later)", 9, 1.0)]
+            out += [Rule(f"{short}-{dot}", f"{short}*", f"{short}v{v}", 8, 0.95), Rule(f"{short}-{dot}-or-later", f"{short}*", f"{short}v?{v} ?(?:plus|or later)", 9, 1.0)]
         out.append(Rule(short, "general" if short != "agpl" else "affero", f"(?:gnu )?{name} {_LIC}", 4, 0.7))
     for v in ("1 1", "1 2", "1 3"):
         out.append(Rule(f"gfdl-{v.replace(' ', '.')}", "gnu", f"gnu free documentation {_LIC}(?: version)? {v}", 8, 0.95))
@@ -121,9 +127,9 @@ def _single() -> list[Rule]:
         ("mit", "permission", "permission is hereby granted free of charge to any person obtaining a copy of this software", 8, 0.9),
         ("isc", "isc", f"isc {_LIC}", 7, 0.9),
         ("isc", "permission", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", 8, 0.9),
-        ("bsd-2-clause", "bsd", f"(?:bsd 2|2|two) clause (?:bsd )?(?:simplified )?{_LIC}", 8, 0.95),
-        ("bsd-3-clause", "bsd", f"(?:bsd 3|3|three) clause (?:bsd )?(?:new )?{_LIC}", 8, 0.95),
-        ("bsd-4-clause", "bsd", f"(?:bsd 4|4|four) clause (?:bsd )?{_LIC}", 8, 0.95),
+        ("bsd-2-clause", "clause", f"(?:bsd 2|2|two) clause (?:bsd )?(?:simplified )?{_LIC}", 8, 0.95),
+        ("bsd-3-clause", "clause", f"(?:bsd 3|3|three) clause (?:bsd )?(?:new )?{_LIC}", 8, 0.95),
+        ("bsd-4-clause", "clause", f"(?:bsd 4|4|four) clause (?:bsd )?{_LIC}", 8, 0.95),
         ("bsd-2-clause", "bsd", "bsd 2 clause", 7, 0.9),
         ("bsd-3-clause", "bsd", "bsd 3 clause", 7, 0.9),
         ("bsd-4-clause", "bsd", "bsd 4 clause", 7, 0.9),
@@ -140,11 +146,66 @@ def _single() -> list[Rule]:
         ("openssl", "openssl", f"openssl {_LIC}", 7, 0.9),
         ("postgresql", "postgresql", f"postgresql {_LIC}", 7, 0.9),
         ("curl", "curl", f"curl {_LIC}", 6, 0.8),
-        ("beerware", "beer", f"beer ?ware {_LIC}", 6, 0.85),
+        ("beerware", "beer*", f"beer ?ware {_LIC}", 6, 0.85),
         ("public-domain", "public", "(?:released |placed )?(?:in|into) the public domain", 5, 0.8),
         ("all-rights-reserved", "reserved", "all rights reserved", 3, 0.6),
         ("proprietary", "proprietary", "proprietary and confidential", 5, 0.8),
         ("open-government-3.0", "government", f"open government {_LIC}(?: v| version)? ?3 0", 7, 0.9),
+        ("mit", "liable", "in no event shall the authors or copyright holders be liable for any claim damages or other liability", 5, 0.8),
+        ("mit", "notice", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", 7, 0.9),
+        ("mit-0", "mit", f"mit no attribution(?: {_LIC})?", 8, 0.95),
+        ("mit-0", "mit", f"mit 0(?: {_LIC})?", 8, 0.9),
+        ("x11", "x11", f"x11 {_LIC}", 7, 0.9),
+        ("expat", "expat", f"expat {_LIC}", 7, 0.9),
+        ("bsd-3-clause", "endorse", "(?:may|to) be used to endorse or promote products derived from this software without specific prior written permission", 7, 0.9),
+        ("bsd-4-clause", "advertising", "all advertising materials mentioning features or use of this software must display the following acknowledge?ment", 8, 0.95),
+        ("bsd", "redistributions", "redistributions of source code must retain the (?:above )?copyright notice", 6, 0.85),
+        ("apache-2.0", "apache", f"http www apache org licenses {_LIC} 2 0", 9, 1.0),
+        ("apache-2.0", "compliance", f"you may not use this file except in compliance with the {_LIC}", 7, 0.85),
+        ("gpl", "foundation", f"free software you can redistribute it and or modify it under the terms of the gnu general public {_LIC} as published by the free software foundation", 6, 0.85),
+        ("gpl", "copyleft", f"the gnu general public {_LIC} is a free copyleft {_LIC} for software", 6, 0.9),
+        ("gpl", "www", "www gnu org licenses gpl(?: html)?", 5, 0.8),
+        ("lgpl", "www", "www gnu org licenses lgpl(?: html)?", 5, 0.8),
+        ("agpl", "www", "www gnu org licenses agpl(?: html)?", 5, 0.8),
+        ("agpl", "remotely", "all users interacting with it remotely through a computer network", 7, 0.85),
+        ("mpl-2.0", "mozilla", f"this source code form is subject to the terms of the mozilla public {_LIC} v 2 0", 9, 1.0),
+        ("mpl", "www", "www mozilla org mpl", 5, 0.8),
+        ("epl", "www", "www eclipse org legal epl(?: v10| v20| 2 0)?(?: html)?", 6, 0.85),
+        ("zlib", "altered", "altered source versions must be plainly marked as such and must not be misrepresented as being the original software", 8, 0.95),
+        ("zlib", "express", "this software is provided as is without any express or implied warranty in no event will the authors be held liable", 7, 0.85),
+        ("bsl-1.0", "boost", f"distributed under the boost software {_LIC} version 1 0", 9, 1.0),
+        ("ofl-1.1", "scripts", "scripts sil org ofl", 7, 0.9),
+        ("cc0-1.0", "waived", "(?:has )?waived all copyright and related or neighboring rights", 7, 0.9),
+        ("public-domain", "dedicate*", "dedicates? (?:any and all copyright interest in )?(?:the|this) (?:software|work) to the public domain", 7, 0.85),
+        ("public-domain", "disclaims", "the author disclaims copyright to this source code", 7, 0.85),
+        ("jquery", "jquery", f"jquery {_LIC}", 6, 0.8),
+        ("json", "evil", "the software shall be used for good not evil", 9, 1.0),
+        ("ncsa", "illinois", f"university of illinois(?: ncsa)? open source {_LIC}", 8, 0.95),
+        ("w3c", "w3c", f"w3c software(?: notice and)? {_LIC}", 8, 0.9),
+        ("icu", "icu", f"icu {_LIC}", 7, 0.85),
+        ("unicode", "unicode", f"unicode(?: inc)? {_LIC}(?: agreement)?", 7, 0.85),
+        ("libpng", "libpng", f"libpng {_LIC}", 7, 0.85),
+        ("libpng", "png", f"png reference library {_LIC}", 7, 0.85),
+        ("imagemagick", "imagemagick", f"imagemagick {_LIC}", 7, 0.9),
+        ("vim", "vim", f"vim {_LIC}", 7, 0.85),
+        ("tcl", "tcl", f"tcl(?: tk)? {_LIC}", 7, 0.85),
+        ("mulan-psl", "mulan", f"mulan permissive software {_LIC}", 8, 0.95),
+        ("cecill", "cecill", f"cecill(?: free software)? {_LIC}(?: agreement)?", 8, 0.9),
+        ("sspl", "server", f"server side public {_LIC}", 8, 0.95),
+        ("busl", "business", f"business source {_LIC}", 8, 0.95),
+        ("elastic", "elastic", f"elastic {_LIC}", 7, 0.9),
+        ("commons-clause", "commons", f"commons clause {_LIC} condition", 8, 0.95),
+        ("polyform", "polyform", f"polyform (?:noncommercial|shield|strict|perimeter|small business) {_LIC}", 8, 0.95),
+        ("openrail", "openrail*", "openrail(?: m)?", 7, 0.85),
+        ("llama-community", "llama", f"llama (?:2|3|3 1|3 2|3 3) community {_LIC}(?: agreement)?", 9, 1.0),
+        ("odc-by", "attribution", f"open data commons attribution {_LIC}", 8, 0.95),
+        ("pddl", "dedication", f"public domain dedication and {_LIC}", 8, 0.95),
+        ("etalab", "etalab", f"etalab(?: open)? {_LIC}", 7, 0.85),
+        ("artistic", "perl", "same terms as perl itself", 7, 0.85),
+        ("proprietary", "unauthori*", "unauthori[sz]ed (?:copying|use|reproduction|distribution)(?: or [a-z]+)? of this (?:file|software|document|work)(?: [a-z]+ [a-z]+ [a-z]+)? is strictly prohibited", 7, 0.85),
+        ("proprietary", "reproduced", "(?:may be|be) reproduced (?:or transmitted )?in any form (?:or by any means )?without (?:the )?(?:prior )?written permission", 6, 0.8),
+        ("non-commercial", "commercial", "for non commercial (?:use|purposes) only", 5, 0.7),
+        ("non-commercial", "noncommercial", "for noncommercial (?:use|purposes) only", 5, 0.7),
         (VAGUE, "licensed", "licensed under", 1, 0.3),
     )
     return [Rule(*r) for r in rows]
@@ -163,8 +224,10 @@ def words_of(text: Column) -> Column:
 
 
 def _held(words: Column, keywords: list[str]) -> Column:
-    """The keywords that stand in the text as words."""
-    return F.filter(F.array(*[F.lit(k) for k in keywords]), lambda k: F.contains(words, k))
+    """The keywords that stand in the text as words. Without the space before it (which most places of a text
+    would begin to match) a keyword is found faster, and few are left to be looked up with it."""
+    near = F.filter(F.array(*[F.lit(k.lstrip()) for k in keywords]), lambda k: F.contains(words, k))
+    return F.filter(F.transform(near, lambda k: F.concat(F.lit(" "), k)), lambda k: F.contains(words, k))
 
 
 def _matches(words: Column, chosen: Column) -> Column:
@@ -189,19 +252,36 @@ _SPAN = "struct<start:int,minus_stop:int,minus_priority:int,label:string,confide
 
 
 def _resolved(matches: Column) -> Column:
-    """Matches left by containment and, for partial overlaps, priority."""
-    ordered = F.array_sort(matches)  # by start, longest first, highest priority first
+    """Matches left by priority and containment, in order of their places."""
+    none = F.array().cast(f"array<{_SPAN}>")
+
+    def stronger_first(a: Column, b: Column) -> Column:
+        key = lambda m: F.struct(m["minus_priority"], m["start"] + m["minus_stop"], m["start"], m["label"])
+        return F.when(key(a) < key(b), -1).when(key(a) > key(b), 1).otherwise(0)
+
+    def holds(o: Column, m: Column) -> Column:
+        return (o["start"] <= m["start"]) & (o["minus_stop"] <= m["minus_stop"])
+
+    def barred(kept: Column, m: Column) -> Column:
+        """Equal to one that is kept, or overlapping it in part."""
+        def by(o: Column) -> Column:
+            meet = (o["start"] < -m["minus_stop"]) & (m["start"] < -o["minus_stop"])
+            return meet & (holds(o, m) == holds(m, o))
+        return F.exists(kept, by)
+
+    def chain(group: Column) -> Column:
+        kept = F.aggregate(F.array_sort(group, stronger_first), none, lambda acc, m: F.when(barred(acc, m), acc).otherwise(F.concat(acc, F.array(m))))
+        outer = F.transform(F.array(kept), lambda all_: F.filter(all_, lambda m: ~F.exists(all_, lambda o: holds(o, m) & ~holds(m, o))))[0]
+        return F.when(F.size(group) < 2, group).otherwise(F.array_sort(outer))
 
     def step(acc: Column, m: Column) -> Column:
-        last = F.get(acc, F.size(acc) - 1)
-        inside = m["minus_stop"] >= last["minus_stop"]
-        overlaps = m["start"] < -last["minus_stop"]
-        stronger = m["minus_priority"] < last["minus_priority"]
-        return (F.when(F.size(acc) == 0, F.array(m)).when(inside, acc)
-                .when(~overlaps, F.concat(acc, F.array(m)))
-                .when(stronger, F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(m))).otherwise(acc))
+        """``group`` gathers a chain of overlapping intervals, which is resolved at its end."""
+        stop = -m["minus_stop"]
+        return F.when(m["start"] < acc["stop"], F.struct(acc["done"].alias("done"), F.concat(acc["group"], F.array(m)).alias("group"), F.greatest(acc["stop"], stop).alias("stop"))
+                      ).otherwise(F.struct(F.concat(acc["done"], chain(acc["group"])).alias("done"), F.array(m).alias("group"), stop.alias("stop")))
 
-    return F.aggregate(ordered, F.array().cast(f"array<{_SPAN}>"), step)
+    start = F.struct(none.alias("done"), none.alias("group"), F.lit(0).alias("stop"))
+    return F.aggregate(F.array_sort(matches), start, step, lambda acc: F.concat(acc["done"], chain(acc["group"])))
 
 
 def _base_places(words: Column, phrases: dict[str, str]) -> Column:
@@ -229,7 +309,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     phrases, ruleset = phrases or BASE, ruleset or rules()
     by_key: dict[str, list[Rule]] = {}
     for r in ruleset:
-        by_key.setdefault(f" {r.keyword} " if not r.pattern.startswith(f"{r.keyword}v") else f" {r.keyword}v", []).append(r)
+        by_key.setdefault(r.gate, []).append(r)
     keys = sorted(by_key)
     table = F.array(*[F.struct(
         F.lit(k).alias("key"), F.array(*[F.struct(F.lit(r.label).alias("label"), F.lit(f"(?<= )(?:{r.pattern})(?= )").alias("pattern"),

@@ -8,6 +8,7 @@ import zlib
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from flightlake.llm import licenses, pii, quality, secrets, tokens
@@ -111,6 +112,63 @@ def test_license_rules_resolve_overlaps(docs_of):
     assert len(licenses.rules()) >= 300
 
 
+def forms(parsed):
+    """All texts that a parsed pattern of literals, options, branches and small classes matches."""
+    out = [""]
+    for op, arg in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            each = [chr(arg)]
+        elif name == "IN":
+            each = [chr(v) if str(o) == "LITERAL" else chr(v[0]) for o, v in arg]
+        elif name == "BRANCH":
+            each = [f for branch in arg[1] for f in forms(branch)]
+        elif name == "SUBPATTERN":
+            each = forms(arg[3])
+        else:
+            assert name == "MAX_REPEAT", name
+            least, most, inner = arg
+            each = ([""] if least == 0 else []) + (forms(inner) if most else [])
+        out = [a + b for a in out for b in each]
+    return out
+
+
+def test_every_form_of_a_rule_holds_its_keyword():
+    for rule in licenses.rules():
+        for form in set(forms(re._parser.parse(rule.pattern))):
+            assert rule.gate in f" {form} ", (rule, form)
+
+
+def resolve(spans):
+    """``(start, stop, priority)``: the strongest first, those that cross or equal one kept go, then those inside another."""
+    kept = []
+    for a, b, p in sorted(spans, key=lambda s: (-s[2], s[0] - s[1], s[0])):
+        if not any((a, b) == (c, d) or (max(a, c) < min(b, d) and not (a <= c and d <= b) and not (c <= a and b <= d)) for c, d, _ in kept):
+            kept.append((a, b, p))
+    return sorted(s for s in kept if not any(o != s and o[0] <= s[0] and s[1] <= o[1] for o in kept))
+
+
+def test_resolution_equals_the_plain_rule(spark):
+    import random
+    rng = random.Random(6)
+    cases = []
+    for i in range(300):
+        spans = {(a, a + rng.randrange(1, 9), rng.randrange(1, 4)) for a in (rng.randrange(30) for _ in range(rng.randrange(12)))}
+        cases.append((i, [(a, -b, -p, "x", 1.0) for a, b, p in spans]))
+    rows = spark.createDataFrame(cases, f"id long, m array<{licenses._SPAN}>").select("id", licenses._resolved(F.col("m")).alias("m")).collect()
+    got = {r.id: [(m.start, -m.minus_stop, -m.minus_priority) for m in r.m] for r in rows}
+    assert got == {i: resolve([(a, -b, -p) for a, b, p, _, _ in m]) for i, m in cases}
+
+
+def test_license_matches_the_prefilter_and_the_sweep_once_lost(docs_of):
+    texts = ["released under gpl2 or later", "lgpl3 or later applies", "beerware license", "GPLv3plus", "dedicates this work to the public domain"]
+    found = {r.doc_id: r.labels for r in licenses.scan_licenses(docs_of(enumerate(texts))).collect()}
+    assert found == {0: "gpl-2-or-later", 1: "lgpl-3-or-later", 2: "beerware", 3: "gpl-3-or-later", 4: "public-domain"}
+    made = [licenses.Rule(*r, 1.0) for r in (("weak", "aa", "aa bb cc dd ee", 1), ("strong", "bb", "bb cc", 9), ("third", "ee", "ee ff", 5))]
+    assert licenses.scan_licenses(docs_of([(1, "aa bb cc dd ee ff")]), ruleset=made).first().labels == "strong,third"
+    assert licenses.scan_licenses(docs_of([(1, "aa bb cc dd ee gg")]), ruleset=made).first().labels == "weak"
+
+
 def brute_secrets(text):
     found = []
     for m in re.finditer(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text):
