@@ -544,6 +544,21 @@ def lake_refresh_flights(spark, sf_dir):
     return _refreshed_lake(spark, sf_dir).read("flights").select(*FLIGHTS.fieldNames())
 
 
+@register("lake_stored_duplicates")
+def lake_stored_duplicates(spark, sf_dir):
+    # A load of flights that are stored already (hour 0) and of the same with another distance, against the filters of all flights.
+    flights = flows.typed(spark, sf_dir).flights
+    store = lake.open_lake(spark, scratch_path(spark, "lake"))
+    change = store.change()
+    rows = lake.with_partition_key(flights).select("*", F.lit(None).cast("timestamp").alias("landed"), F.lit("first").alias("landed_file"))
+    change.replace("flights", rows)
+    lake.keep_filters(change, None)
+    change.commit()
+    again = flights.where("dep_hour = 0")
+    found = lake.stored_duplicates(store, again.unionByName(again.withColumn("distance", F.col("distance") + 1)))
+    return lake.with_partition_key(found).groupBy(PARTITION_KEY).agg(F.sum("copies").alias("stored_rows"))
+
+
 @register("lake_refresh_carriers")
 def lake_refresh_carriers(spark, sf_dir):
     # The carrier mart, kept from the stored histogram of the touched days only.

@@ -332,6 +332,16 @@ FROM (SELECT *, count(*) AS c
       GROUP BY ALL HAVING count(*) > 1) x
 GROUP BY year_month""")
 
+q("lake_stored_duplicates", """
+SELECT year_month, CAST(sum(loaded) AS BIGINT) AS stored_rows
+FROM (SELECT * EXCLUDE (stored, loaded), sum(stored) AS stored, sum(loaded) AS loaded
+      FROM (SELECT *, strftime(fl_date, '%Y_%m') AS year_month, 1 AS stored, 0 AS loaded FROM flights
+            UNION ALL SELECT *, strftime(fl_date, '%Y_%m') AS year_month, 0, 1 FROM flights WHERE dep_hour = 0
+            UNION ALL SELECT * REPLACE (distance + 1 AS distance), strftime(fl_date, '%Y_%m') AS year_month, 0, 1 FROM flights WHERE dep_hour = 0) s
+      GROUP BY ALL) x
+WHERE stored > 0 AND loaded > 0
+GROUP BY year_month""")
+
 COMBINED_COLS = [
     "fl_date", "dep_hour", "mkt_unique_carrier", "mkt_carrier_fl_num", "op_unique_carrier",
     "op_carrier_fl_num", "tail_num", "origin", "destination", "dep_time", "crs_dep_time",
