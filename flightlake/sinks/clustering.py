@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 #: Rows aimed at per file; bits of the curve per column; rows sampled for the quantiles.
 FILE_ROWS = 2_000_000
 BITS = 6
+#: Tasks that write, from which on each writes several files; rows per task from which on there are more tasks.
+MOST_TASKS, TASK_ROWS = 1_000, 2_000_000
 SAMPLE_ROWS = 10_000
 MANIFEST = "_files"
 
@@ -43,27 +45,27 @@ def curve(df: DataFrame, bounds: Mapping[str, Sequence], bits: int = BITS) -> Co
     for j, (c, cuts) in enumerate(bounds.items()):
         if not cuts:
             continue
-        listed = F.array(*[F.lit(v).cast(df.schema[c].dataType) for v in cuts])
-        bucket = F.size(F.filter(listed, _at_most(F.col(c)))).cast("long")  # a NULL passes no cut
+        kind = df.schema[c].dataType
+        bucket = reduce(add, [F.when(F.lit(v).cast(kind) <= F.col(c), F.lit(1)).otherwise(F.lit(0)) for v in cuts]).cast("long")  # a NULL passes no cut
         bits_of += [F.shiftleft(F.shiftright(bucket, i).bitwiseAND(F.lit(1).cast("long")), i * len(bounds) + j) for i in range(bits)]
     return reduce(add, bits_of, F.lit(0).cast("long"))
 
 
-def _at_most(value: Column):
-    return lambda cut: cut <= value
-
-
 def write_clustered(df: DataFrame, path: str, columns: Sequence[str], file_rows: int = FILE_ROWS, bits: int = BITS) -> DataFrame:
     """Write ``df`` to ``path`` along the curve over ``columns``; returns the manifest.
 
-    ``df`` is read three times (count and sample; places; rows): give it as a stored table.
+    ``df`` is read three times (count and sample; places; rows): give it as a stored table. Of very many files each task
+    writes a piece of the curve, file after file, so that the shuffle has a bounded number of partitions.
     """
     if not 0 < bits * len(columns) < 63:
         raise ValueError("bits of all columns together must be 1 to 62")
-    files = max(1, -(-df.count() // file_rows))
+    n = df.count()
+    files = max(1, -(-n // file_rows))
+    tasks = min(files, max(MOST_TASKS, -(-n // TASK_ROWS)))
     placed = df.withColumn("__z", curve(df, quantile_bounds(df, columns, bits), bits)).withColumn("__spread", F.xxhash64(*df.columns))
-    laid = placed.repartitionByRange(files, "__z", "__spread").sortWithinPartitions(*columns)
-    laid.drop("__z", "__spread").write.parquet(path)
+    along = ["__z"] if tasks < files else []  # files of one task follow the curve too
+    laid = placed.repartitionByRange(tasks, "__z", "__spread").sortWithinPartitions(*along, *columns)
+    laid.drop("__z", "__spread").write.option("maxRecordsPerFile", file_rows if along else 0).parquet(path)
     manifest = _ranges(df.sparkSession, path, df, columns)
     manifest.coalesce(1).write.parquet(f"{path}/{MANIFEST}")
     return df.sparkSession.read.schema(manifest.schema).parquet(f"{path}/{MANIFEST}")
