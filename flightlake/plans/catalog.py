@@ -477,7 +477,7 @@ def layer_size_audit(spark, sf_dir):
     # (Parquet), both read back (bytes on storage are in Run.sizes).
     raw = fixtures.raw_flights(spark, sf_dir)
     raw_path, typed_path = scratch_path(spark, "raw-csv"), scratch_path(spark, "typed-parquet")
-    raw.write.mode("overwrite").option("header", True).csv(raw_path)
+    raw.write.mode("overwrite").option("header", True).option("compression", "gzip").csv(raw_path)
     landed = read_csv_table(spark, raw_path, RAW_FLIGHTS)
     write_partitioned(with_partition_key(transform_flights(landed)), typed_path)
     layer = read_layer(spark, typed_path, FLIGHTS).drop(PARTITION_KEY)
