@@ -233,7 +233,7 @@ def _stored_flights(spark, sf_dir):
 
 @register("dq_flights_metrics")
 def dq_flights_metrics(spark, sf_dir):
-    f = with_partition_key(flows.typed(spark, sf_dir).flights)
+    f = with_partition_key(_stored_flights(spark, sf_dir))
     return quality.flight_metrics(f, PARTITION_KEY, FLIGHT_REQUIRED)
 
 
@@ -495,7 +495,7 @@ def flights_typed_reordered(spark, sf_dir):
     shuffled = [F.col(f"`{c}`") for c in sorted(raw.columns, reverse=True)]
     path = scratch_path(spark, "raw-reordered")
     (raw.select(F.lit("x").alias("REMARK"), *shuffled[:7], F.lit(1).alias("SOURCE ROW"), *shuffled[7:])
-     .write.option("header", True).csv(path))
+     .write.option("header", True).option("compression", "gzip").csv(path))
     return transform_flights(read_csv_table(spark, path, RAW_FLIGHTS))
 
 
