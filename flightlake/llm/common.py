@@ -8,8 +8,11 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _PACKAGE = __name__.split(".")[0]
+#: Narrow rows (ids, keys, labels) that may be broadcast; beyond it they are shuffled.
+BROADCAST_ROWS = 200_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,6 +50,12 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def beside(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """A narrow side of a join: broadcast while it is small, else left to be shuffled. ``rows``: how many it has at
+    most, if that is known; else ``df`` should read a written table, where counting is cheap."""
+    return F.broadcast(df) if (df.count() if rows is None else rows) <= BROADCAST_ROWS else df
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete tables that ``written`` returned, once all that was computed from them is written too."""
     for df in tables:

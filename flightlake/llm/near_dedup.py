@@ -29,11 +29,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import hashing
-from .common import columns, discard, ship, written
+from .common import BROADCAST_ROWS, beside, columns, discard, ship, written
 from .graph import components
 
 SHINGLE = 5
@@ -44,9 +44,9 @@ LEAF = 4096
 #: Shingles of the sets that one task compares, at most (but for two sets).
 LEAF_ITEMS = 4_000_000
 DEPTH = 6
+#: Bytes of full sets, and rows with sketches, that may be broadcast; beyond it they are shuffled.
+BROADCAST_BYTES, BROADCAST_SKETCHES = 16_000_000, 40_000
 SLACK = 4 * (0.75 * 0.25 / WIDTH) ** 0.5
-#: Candidate ids that may be broadcast when their texts are looked up; beyond it they are shuffled.
-BROADCAST_IDS = 200_000
 _RNG = np.random.default_rng(75)
 _MUL = _RNG.integers(0, 2**32, WIDTH, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
 _XOR = _RNG.integers(0, 2**32, WIDTH, dtype=np.uint64).astype(np.uint32)
@@ -243,7 +243,7 @@ def _star_pairs(part: float):
             sk = np.concatenate([_matrix(batch.column(2)), _matrix(batch.column(5))])
             n = np.concatenate([batch.column(1).to_numpy(), batch.column(4).to_numpy()])
             keep = pa.array(_agree(sk, n, i, i + batch.num_rows, part))
-            yield pa.RecordBatch.from_arrays([batch.column(3).filter(keep), batch.column(0).filter(keep)], names=["x", "y"])
+            yield pa.RecordBatch.from_arrays([batch.column(3).filter(keep), batch.column(0).filter(keep)], names=["a", "b"])
     return run
 
 
@@ -251,12 +251,13 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def _lookup(docs: DataFrame, reps: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """``(node, items)`` with the full sets of the nodes ``wanted``, recomputed from one text each."""
+def _lookup(docs: DataFrame, reps: DataFrame, wanted: DataFrame, some: int, size: int) -> DataFrame:
+    """``(node, items)`` with the full sets of the nodes ``wanted`` (``some`` rows), recomputed from one text each."""
     spark = docs.sparkSession
-    ids = written(spark, reps.join(wanted.distinct(), "node", "left_semi").select("doc_id", "node"), "wanted")
-    side = ids.select("doc_id").distinct()
-    side = F.broadcast(side) if side.count() <= BROADCAST_IDS else side
+    wanted = wanted if some <= BROADCAST_ROWS else wanted.distinct()
+    ids = written(spark, reps.join(beside(wanted, some), "node", "left_semi").select("doc_id", "node"), "wanted")
+    some = ids.count()
+    side = beside(ids.select("doc_id"), some)
     texts = docs.join(side, docs["doc_id"].eqNullSafe(side["doc_id"]), "left_semi")
 
     def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,7 +267,7 @@ def _lookup(docs: DataFrame, reps: DataFrame, wanted: DataFrame, size: int) -> D
                 [pa.array([_key(s) if len(s) else None for s in sets], pa.binary()),
                  pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "items"])
 
-    found = texts.mapInArrow(full, "node binary, items binary").join(ids.select("node"), "node", "left_semi")
+    found = texts.mapInArrow(full, "node binary, items binary").join(beside(ids.select("node"), some), "node", "left_semi")
     sets = written(spark, found.groupBy("node").agg(F.first("items").alias("items")), "sets")
     discard(ids)
     return sets
@@ -276,7 +277,8 @@ def _confirm(docs: DataFrame, reps: DataFrame, pairs: DataFrame, size: int, thre
     """The pairs whose full sets reach the similarity."""
     spark = docs.sparkSession
     pairs = written(spark, pairs, "candidates")
-    sets = _lookup(docs, reps, pairs.select(F.col("a").alias("node")).union(pairs.select("b")), size)
+    some = pairs.count()
+    sets = _lookup(docs, reps, pairs.select(F.col("a").alias("node")).union(pairs.select("b")), 2 * some, size)
     least, scale = threshold
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -289,9 +291,11 @@ def _confirm(docs: DataFrame, reps: DataFrame, pairs: DataFrame, size: int, thre
             keep = pa.array(good, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
 
-    rows = pairs.join(sets.select(F.col("node").alias("b"), F.col("items").alias("t")), "b")
-    rows = rows.join(sets.select(F.col("node").alias("a"), F.col("items").alias("s")), "a").select("a", "b", "s", "t")
-    links = written(spark, rows.mapInArrow(check, "a binary, b binary"), "links")
+    heads = sets.join(beside(pairs.select(F.col("a").alias("node")), some), "node", "left_semi").select(F.col("node").alias("a"), F.col("items").alias("s"))
+    if (heads.agg(F.sum(F.length("s"))).first()[0] or 0) <= BROADCAST_BYTES:
+        heads = F.broadcast(heads)
+    rows = sets.select(F.col("node").alias("b"), F.col("items").alias("t")).join(beside(pairs, some), "b").join(heads, "a")
+    links = written(spark, rows.select("a", "b", "s", "t").mapInArrow(check, "a binary, b binary"), "links")
     discard(pairs, sets)
     return links
 
@@ -309,25 +313,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reps = written(spark, rows.where("node is not null").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("n", "sketch", "paths")]), "nodes")
 
-    edges, small, scratch = [], [], []
-    labels = None
+    small, scratch = [], []
+    labels = None  # of all sets that have a link so far
     # tree nodes hold short ids of sets; should two sets share one, both are compared, which costs only time
     short = reps.select(F.xxhash64("node").alias("id"), "node", "n", "sketch")
     frontier = reps.select(F.explode("paths").alias("path"), F.xxhash64("node").alias("id"))
     for level in range(depth):
-        sizes = frontier.groupBy("path").agg(F.count("*").alias("size")).where("size > 1")
-        grouped = written(spark, frontier.join(sizes, "path"), "level")  # ids only: sketches join what is compared
-        scratch.append(grouped)
-        edges.append(_confirm(texts, reps, _ordered(_stars(grouped, short, part)), shingle, threshold))
-        labels = components(_union(edges))
-        held = grouped.join(_labelled(short.select("id", "node", "n"), labels), "id")
+        sizes = written(spark, frontier.groupBy("path").agg(F.count("*").alias("size")).where("size > 1"), "sizes")
+        groups = sizes.count()
+        grouped = written(spark, frontier.join(beside(sizes, groups), "path"), "level")  # ids only: sketches join what is compared
+        labels = _joined(labels, _confirm(texts, reps, _stars(grouped, groups, short, part), shingle, threshold))
+        held = written(spark, grouped.join(_labelled(short.select("id", "node", "n"), labels), "id").drop("id"), "held")
         of_label = held.groupBy("path", "label").agg(F.count("*").alias("own"), F.sum("n").alias("items"))
         main = of_label.groupBy("path").agg(F.max(F.struct("own", "label")).alias("main"), F.sum("items").alias("items"))
-        main = main.select("path", F.col("main.label").alias("main"), F.col("main.own").alias("own"), "items")
-        mixed = held.join(main, "path").withColumn("others", F.col("size") - F.col("own")).where("others > 0")
+        main = written(spark, main.select("path", F.col("main.label").alias("main"), F.col("main.own").alias("own"), "items"), "main")
+        mixed = held.join(beside(main, groups), "path").withColumn("others", F.col("size") - F.col("own")).where("others > 0")
         fits = (F.col("size") <= leaf) & ((F.col("items") <= LEAF_ITEMS) | (F.col("size") == 2))
         parts = F.greatest(F.ceil(F.col("size") / leaf), F.ceil(F.col("items") / LEAF_ITEMS)).cast("int")
         mixed = written(spark, mixed.select("path", "node", "label", "main", "size", "others", fits.alias("fits"), parts.alias("parts")), "mixed")
+        discard(sizes, grouped, held, main)
         scratch.append(mixed)
         small.append(mixed.where("fits").select(F.col("path").alias("group"), "node"))
         few = F.col("others") <= leaf
@@ -337,14 +341,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             break
         if level == depth - 1:
             small.append(_in_blocks(large))
+            break
         frontier = large.select("path", "node").join(short, "node").select("path", "id", "sketch").mapInArrow(_branch, "path long, id long")
+        frontier = written(spark, frontier, "frontier")
+        scratch.append(frontier)
 
-    edges.append(_compared(texts, reps, _union(small).join(_labelled(reps.select("node", "n", "sketch"), labels), "node"), shingle, part, threshold))
+    labels = _joined(labels, _compared(texts, reps, _union(small).join(_labelled(reps.select("node", "n", "sketch"), labels), "node"), shingle, part, threshold))
     discard(*scratch)
-    found = components(_union(edges))
-    named = reps.select("node", "doc_id").join(found, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    least = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    classes = named.join(least, "label").select("node", "component_id")
+    named = reps.select("node", "doc_id").join(beside(labels), "node", "left")
+    least = written(spark, named.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("component_id")), "least")
+    named = named.withColumn("label", F.coalesce("label", "node"))  # else all sets without a link would meet in one task
+    classes = named.join(beside(least), "label", "left").select("node", F.coalesce("component_id", "doc_id").alias("component_id"))
     out = rows.select("doc_id", "text_key", "node", F.col("n").alias("n_shingles")).join(classes, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
@@ -359,7 +366,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_key"))
 
     def without(rows: DataFrame, keys: DataFrame) -> DataFrame:
-        keys = F.broadcast(keys) if keys.count() <= BROADCAST_IDS else keys
+        keys = beside(keys)
         return rows.join(keys, rows["doc_id"].eqNullSafe(keys["doc_id"]) & (rows["text_key"] == keys["text_key"]), "left_anti")
 
     gone = classes.where(~F.col("kept")).select("doc_id", "text_key").distinct()
@@ -388,25 +395,40 @@ def _compared(docs: DataFrame, reps: DataFrame, rows: DataFrame, size: int, part
     spark = docs.sparkSession
     rows = _grouped(rows.select("group", "node", "n", "sketch", "label"))
     open_ = written(spark, rows.mapInArrow(_open_sets(part), "group long, node binary, label binary"), "open")
-    sets = _lookup(docs, reps, open_.select("node"), size)
+    sets = _lookup(docs, reps, open_.select("node"), open_.count(), size)
     full = _grouped(open_.join(sets, "node").select("group", "node", "label", "items"))
     links = written(spark, _ordered(full.mapInArrow(_links(threshold), "x binary, y binary")), "links")
     discard(open_, sets)
     return links
 
 
+def _joined(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """The labels after more links: components go on from those found before, not from all links again."""
+    if labels is None:
+        return components(links)
+    if links.isEmpty():
+        return labels
+    after = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(links.select("a", "b")))
+    discard(labels)
+    return after
+
+
 def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    return rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    return rows.join(beside(labels), "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
-def _stars(grouped: DataFrame, short: DataFrame, part: float) -> DataFrame:
+def _stars(grouped: DataFrame, groups: int, short: DataFrame, part: float) -> DataFrame:
     """Every set of a group against the pivot of the group: the set that has most tokens in common with others.
     Groups of one origin have the same pivot, so their pairs are told apart before sketches are looked at."""
-    score = grouped.groupBy("id").agg(F.sum("size").alias("score"))
-    pivot = grouped.join(score, "id").groupBy("path").agg(F.max(F.struct("score", "id")).alias("p"))
-    pairs = grouped.join(pivot.select("path", F.col("p.id").alias("pivot")), "path").where("id <> pivot").select("id", "pivot").distinct()
-    rows = pairs.join(short, "id").drop("id").join(short.toDF("pivot", "node0", "n0", "sketch0"), "pivot").drop("pivot")
-    return rows.select("node", "n", "sketch", "node0", "n0", "sketch0").mapInArrow(_star_pairs(part), "x binary, y binary")
+    score = F.sum("size").over(Window.partitionBy("id"))  # rows of an id: as many as the roots it goes to
+    scored = grouped.select("path", F.struct(score.alias("score"), "id").alias("p"))
+    pivot = written(grouped.sparkSession, scored.groupBy("path").agg(F.max("p").alias("p")).select("path", F.col("p.id").alias("pivot")), "pivots")
+    # a pivot has the larger score, so no pair comes a second time the other way round
+    heads = short.join(beside(pivot.select(F.col("pivot").alias("id")), groups), "id", "left_semi").toDF("pivot", "node0", "n0", "sketch0")
+    heads = F.broadcast(heads) if groups <= BROADCAST_SKETCHES else heads
+    pairs = grouped.join(beside(pivot, groups), "path").where("id <> pivot").select("id", "pivot").repartition("id").distinct()
+    rows = pairs.join(short, "id").join(heads, "pivot")
+    return rows.select("node", "n", "sketch", "node0", "n0", "sketch0").mapInArrow(_star_pairs(part), "a binary, b binary")
 
 
 def _against_others(mixed: DataFrame) -> DataFrame:
