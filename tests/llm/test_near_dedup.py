@@ -125,3 +125,51 @@ def test_index_finds_a_spanning_set_of_links():
         found = N._linked(sets, dense, 75, 100)
         assert set(found) <= {(i, j) for i, j in everything} | {(j, i) for i, j in everything}
         assert groups(found) == groups(everything) and len(found) < len(sets)
+
+
+def test_shuffles_are_few(spark, docs_of, monkeypatch):
+    """With many shuffle partitions each shuffle has its price, however small the tables: they are counted in the plans."""
+    from flightlake.llm import graph
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(80)]
+    rows = [(i, edited(base, rng.choice([0.0, 0.01, 0.02]), rng)) for i in range(30)]
+    plans, real = [], N.written
+
+    def keep(spark, df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning"))
+        return real(spark, df, name)
+
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        monkeypatch.setattr(N, "written", keep)
+        monkeypatch.setattr(graph, "written", keep)
+        assert got(N.near_duplicates(docs_of(rows))) == brute(rows)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert sum(plans) <= 32, plans
+
+
+def test_components_by_broadcast_and_by_shuffle(spark, monkeypatch):
+    from flightlake.llm import common, graph
+    rng = random.Random(6)
+    chain = [f"c{i:03}" for i in range(40)]
+    rng.shuffle(chain)
+    edges = list(zip(chain, chain[1:])) + [("hub", f"s{i}") for i in range(30)] + [("x", "x"), ("y", "z"), ("z", "y"), ("y", "z")]
+    want = {x: min(chain) for x in chain} | {x: "hub" for x in ["hub", *(f"s{i}" for i in range(30))]} | {"x": "x", "y": "y", "z": "y"}
+    table = common.written(spark, spark.createDataFrame([(a.encode(), b.encode()) for a, b in edges], "a binary, b binary"), "links")
+    for most in (common.BROADCAST_ROWS, 0):
+        monkeypatch.setattr(common, "BROADCAST_ROWS", most)
+        found = [(bytes(r.node).decode(), bytes(r.label).decode()) for r in graph.components(table).collect()]
+        assert len(found) == len(want) and dict(found) == want
+    assert graph.components(table.where("false")).count() == 0
+
+
+def test_large_sides_are_shuffled_with_the_same_result(docs_of, monkeypatch):
+    from flightlake.llm import common
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(60)]
+    rows = [(i, edited(base, rng.choice([0.0, 0.02, 0.05]), rng)) for i in range(25)] + [(25, None), (26, "own text"), (None, "own text")]
+    for module, name in ((common, "BROADCAST_ROWS"), (N, "BROADCAST_ROWS"), (N, "BROADCAST_BYTES"), (N, "BROADCAST_SKETCHES")):
+        monkeypatch.setattr(module, name, 0)
+    assert got(N.near_duplicates(docs_of(rows), leaf=4, depth=2)) == brute(rows)
