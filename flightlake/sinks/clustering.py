@@ -17,6 +17,9 @@ from operator import and_, add
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flightlake.session import exists, freed_shuffles, remove_path, scratch_path
+from flightlake.sinks.writers import waves_of
+
 #: Rows aimed at per file; bits of the curve per column; rows sampled for the quantiles.
 FILE_ROWS = 2_000_000
 BITS = 6
@@ -55,22 +58,53 @@ def write_clustered(df: DataFrame, path: str, columns: Sequence[str], file_rows:
     """Write ``df`` to ``path`` along the curve over ``columns``; returns the manifest.
 
     ``df`` is read three times (count and sample; places; rows): give it as a stored table. Of very many files each task
-    writes a piece of the curve, file after file, so that the shuffle has a bounded number of partitions.
+    writes a piece of the curve, file after file, so that the shuffle has a bounded number of partitions. Very many rows
+    (:func:`~flightlake.sinks.writers.waves_of`) are first dealt to long pieces of the curve in a scratch copy, without a shuffle, and then
+    shuffled piece by piece.
     """
     if not 0 < bits * len(columns) < 63:
         raise ValueError("bits of all columns together must be 1 to 62")
+    with freed_shuffles(df.sparkSession):
+        return _write_clustered(df, path, columns, file_rows, bits)
+
+
+def _write_clustered(df: DataFrame, path: str, columns: Sequence[str], file_rows: int, bits: int) -> DataFrame:
     n = df.count()
     files = max(1, -(-n // file_rows))
     tasks = min(files, max(MOST_TASKS, -(-n // TASK_ROWS)))
     placed = df.withColumn("__z", curve(df, quantile_bounds(df, columns, bits), bits)).withColumn("__spread", F.xxhash64(*df.columns))
     along = ["__z"] if tasks < files else []  # files of one task follow the curve too
-    laid = placed.repartitionByRange(tasks, "__z", "__spread").sortWithinPartitions(*along, *columns)
-    laid.drop("__z", "__spread").write.option("maxRecordsPerFile", file_rows if along else 0).parquet(path)
+    waves, scratch = waves_of(n), None
+    try:
+        if waves > 1:
+            scratch = scratch_path(df.sparkSession, "curve")
+            placed.withColumn("__piece", _piece(placed, waves)).write.partitionBy("__piece").parquet(scratch)
+        for i in range(waves):
+            at, piece = f"{scratch}/__piece={i}", placed
+            if scratch and not exists(df.sparkSession, at):
+                continue
+            if scratch:
+                piece = df.sparkSession.read.schema(placed.schema).parquet(at)
+            laid = piece.repartitionByRange(-(-tasks // waves), "__z", "__spread").sortWithinPartitions(*along, *columns)
+            laid.drop("__z", "__spread").write.mode("append" if scratch else "errorifexists").option("maxRecordsPerFile", file_rows if along else 0).parquet(path)
+            if scratch:
+                remove_path(df.sparkSession, at)
+    finally:
+        if scratch:
+            remove_path(df.sparkSession, scratch)
     manifest = _ranges(df.sparkSession, path, df, columns)
     manifest.coalesce(1).write.parquet(f"{path}/{MANIFEST}")
     return df.sparkSession.read.schema(manifest.schema).parquet(f"{path}/{MANIFEST}")
 
 
+def _piece(placed: DataFrame, pieces: int) -> Column:
+    """Number of the piece of the curve that a row lies in; pieces have about equal rows, by the quantiles of a bounded sample."""
+    sample = sorted(tuple(r) for r in placed.select("__z", "__spread").orderBy(F.xxhash64("__spread")).limit(SAMPLE_ROWS).collect())  # SAMPLE_ROWS rows
+    cuts = [sample[i * len(sample) // pieces] for i in range(1, pieces)]
+    z, spread = F.col("__z"), F.col("__spread")
+    return reduce(add, [F.when((z > a) | ((z == a) & (spread >= b)), 1).otherwise(0) for a, b in cuts])
+
+
 def _ranges(spark: SparkSession, path: str, df: DataFrame, columns: Sequence[str]) -> DataFrame:
     rows = spark.read.schema(df.schema).parquet(path)
     found = rows.select(F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_size").alias("bytes"), *columns)

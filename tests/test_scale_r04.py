@@ -93,6 +93,20 @@ def test_upsert_in_waves(spark, flights, small_waves, tmp_path, monkeypatch, sto
     assert same(read_layer(spark, str(tmp_path / "waves"), schema), read_layer(spark, str(tmp_path / "one"), schema))
 
 
+def test_curve_in_pieces(spark, small_waves, tmp_path):
+    df = flows.stored(spark, spark.range(900).select("id", F.expr("date_add(DATE'2022-01-01', cast(pmod(xxhash64(id, 1), 60) as int))").alias("day"),
+                      F.when(F.col("id") % 9 != 0, F.pmod(F.xxhash64("id", F.lit(2)), F.lit(50))).alias("at")), "curve-rows")
+    before = shuffle_files(spark)
+    manifest = clustering.write_clustered(df, str(tmp_path / "c"), ["day", "at"], file_rows=30)
+    assert freed(spark, before)
+    assert writes(f"{tmp_path}/c/part-*") == 9
+    assert manifest.agg(F.sum("rows")).first()[0] == 900 and manifest.agg(F.max("rows")).first()[0] <= 90
+    assert same(clustering.read_clustered(spark, str(tmp_path / "c"), df.schema, {"at": (7, 8)}), df.where("at between 7 and 8"))
+    one = spark.range(500).select(F.lit(1).alias("day"), F.lit("x").alias("at"))   # a single value
+    clustering.write_clustered(one, str(tmp_path / "one"), ["day"], file_rows=50)
+    assert clustering.read_clustered(spark, str(tmp_path / "one"), one.schema, {"day": (1, 1)}).count() == 500
+
+
 def test_upsert_query_makes_flights_once(spark, tmp_path, monkeypatch):
     made, real = [], flows.stored
     monkeypatch.setattr(flows, "stored", lambda s, rows, name: made.append(name) or real(s, rows, name))
