@@ -107,6 +107,39 @@ def test_curve_in_pieces(spark, small_waves, tmp_path):
     assert clustering.read_clustered(spark, str(tmp_path / "one"), one.schema, {"day": (1, 1)}).count() == 500
 
 
+def test_layer_is_written_in_waves(spark, small_waves, tmp_path, monkeypatch):
+    layer = Layer("numbers", T.StructType([T.StructField("day", T.StringType()), T.StructField("n", T.LongType())]), "day", ("n",))
+    store = Lake(spark, str(tmp_path / "lake"), [layer], 20)
+    dealt, real = [], Change._dealt
+    monkeypatch.setattr(Change, "_dealt", lambda self, *a: dealt.append(real(self, *a)) or dealt[-1])
+    rows = spark.range(900).select(F.when(F.col("id") % 3 != 0, (F.col("id") % 40).cast("string")).alias("day"), F.col("id").alias("n"))
+    before = shuffle_files(spark)
+    change = store.change()
+    assert change.replace("numbers", rows).rows == 900 and len(dealt[0]) >= 8
+    change.commit()
+    assert freed(spark, before)
+    assert same(store.read("numbers"), rows)
+    assert store.files("numbers").agg(F.max("rows")).first()[0] <= 40
+    hot = spark.range(300).select(F.lit("7").alias("day"), F.lit(5).cast("long").alias("n"))   # all in one file, the other waves are empty
+    change = store.change()
+    assert change.replace("numbers", hot, ["7"]).rows == 300
+    change.commit()
+    assert same(store.read("numbers"), rows.where("day is null or day <> '7'").unionByName(hot))
+
+
+def test_a_build_shuffles_no_combined_rows(spark, flights, small_waves, tmp_path, monkeypatch):
+    dealt, real = [], Change._dealt
+    monkeypatch.setattr(Change, "_dealt", lambda self, layer, *a: dealt.append(layer.name) or real(self, layer, *a))
+    raw, root = str(tmp_path / "raw"), str(tmp_path / "lake")
+    catalog.land_raw_inputs(spark, SF_SMALL, raw, flights=False)
+    lake.build(spark, raw, root, catalog._landed(flights, 1), 40)
+    assert "flights" in dealt and "combined" not in dealt
+    opened = lake.open_lake(spark, root)
+    ranges = {name: sorted(map(tuple, opened.files(name).select("low", "high", "rows").collect())) for name in ("flights", "combined")}
+    assert ranges["flights"] == ranges["combined"] and len(ranges["flights"]) > 3
+    assert opened.read("combined").count() == flights.count()
+
+
 def test_upsert_query_makes_flights_once(spark, tmp_path, monkeypatch):
     made, real = [], flows.stored
     monkeypatch.setattr(flows, "stored", lambda s, rows, name: made.append(name) or real(s, rows, name))
