@@ -140,6 +140,14 @@ def test_a_build_shuffles_no_combined_rows(spark, flights, small_waves, tmp_path
     assert opened.read("combined").count() == flights.count()
 
 
+@pytest.mark.parametrize("query", ["lake_stream_daily", "incremental_refresh"])
+def test_landed_text_is_compressed(spark, tmp_path, monkeypatch, query):
+    monkeypatch.setattr(catalog, "scratch_path", lambda _spark, name: str(tmp_path / name))
+    assert catalog.queries()[query](spark, SF_SMALL).count()
+    raw = [f for d in ("raw/flights", "landing/*", "daily") for f in glob.glob(f"{tmp_path}/{d}/part-*")]
+    assert len(raw) >= 2 and all(f.endswith(".csv.gz") for f in raw)
+
+
 def test_upsert_query_makes_flights_once(spark, tmp_path, monkeypatch):
     made, real = [], flows.stored
     monkeypatch.setattr(flows, "stored", lambda s, rows, name: made.append(name) or real(s, rows, name))
