@@ -445,14 +445,12 @@ def incremental_refresh(spark, sf_dir):
     from flightlake.plans.pipeline import Layout, land_raw_inputs, run, run_incremental
 
     raw, out = scratch_path(spark, "raw"), scratch_path(spark, "lake")
-    land_raw_inputs(spark, sf_dir, raw)
+    land_raw_inputs(spark, sf_dir, raw, flights=False)
     rf = fixtures.raw_flights(spark, sf_dir)
     month = F.substring("FL_DATE", 6, 2)
-    rf.where(month != "01").write.mode("overwrite").option("header", True).csv(
-        Layout(raw, out).raw("flights"))
+    _land_csv(rf.where(month != "01"), Layout(raw, out).raw("flights"))
     daily = scratch_path(spark, "daily")
-    (rf.where((month == "01") | ((month == "02") & (F.col("DEP_HOUR") < 6)))
-     .write.option("header", True).csv(daily))
+    _land_csv(rf.where((month == "01") | ((month == "02") & (F.col("DEP_HOUR") < 6))), daily)
     run(spark, raw, out)
     run_incremental(spark, raw, out, daily)
     return (spark.read.schema(CARRIER_DAILY).option("header", True)
@@ -513,13 +511,13 @@ def airports_extra_columns(spark, sf_dir):
 
 
 # ------------------------------------------------------ lake on snapshots
+
 def _land_csv(rows, path):
     """Raw flights as text, compressed; the joins that make them leave no shuffle files behind."""
     with freed_shuffles(rows.sparkSession):
         rows.write.mode("overwrite").option("header", True).option("compression", "gzip").csv(path)
 
 
-
 #: Rows per file in the lakes of these queries: files of a few days each, so that refreshes rewrite only a part.
 LAKE_FILE_ROWS = 50_000
 
